@@ -1,7 +1,7 @@
 """Byte-level BPE over Arrow batches with the tokenizers library, and its exact inverse.
 
-Texts are cut into the matches of the public pattern; each distinct match is encoded once per
-worker (a bounded memo), and ids are put together per text. A token is a string in which every
+Texts are cut into the matches of the public pattern; each distinct chunk of matches is encoded
+once per worker (a bounded memo), and ids are put together per text. A token is a string in which every
 byte stands for itself through the byte-to-character table; decoding reverses that table, joins
 the bytes of all tokens and only then reads UTF-8, so characters split over tokens come back whole.
 
@@ -14,8 +14,9 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import islice
 
 import pyarrow as pa
 import regex
@@ -24,8 +25,14 @@ from pyspark.sql import functions as F
 
 from tracesieve.llm.common import texts
 
-#: Distinct matches that a worker remembers, and the longest that it remembers, in characters.
-MEMO, LONGEST = 400_000, 48
+#: Distinct chunks that a worker remembers, and the longest that it remembers, in characters.
+MEMO, LONGEST = 500_000, 48
+
+#: White space and what follows it up to the next white space. Where a text has no other white
+#: space than these four characters, no match of the pattern crosses a border of such chunks.
+_CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+#: Everything that any engine may take for white space, besides those four.
+_OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 
 
 def byte_characters() -> dict[int, str]:
@@ -36,6 +43,18 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Memo(dict):
+    def __init__(self, make) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, chunk: str) -> str:
+        out = self.make(chunk)
+        if len(chunk) <= LONGEST:
+            self[chunk] = out
+        return out
+
+
 class Codec:
     """vocabulary: a tokenizers JSON file; pattern: what the texts are cut by."""
 
@@ -45,26 +64,37 @@ class Codec:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
+        if self.tokenizer.get_vocab_size() > 0xD800:
+            raise ValueError("ids are kept as code points: a vocabulary has 55,296 entries at most")
         self.find = regex.compile(pattern).findall
-        back = {c: b for b, c in byte_characters().items()}
+        self.pieces = self.tokenizer.model.tokenize
+        self.characters = byte_characters()
+        back = {c: b for b, c in self.characters.items()}
         size = self.tokenizer.get_vocab_size()
         named = (self.tokenizer.id_to_token(i) for i in range(size))
         self.bytes_of = [bytes(back[c] for c in t) if all(c in back for c in t) else t.encode() for t in named]
         self.decimal = [str(i) for i in range(size)]
-        self.memo: dict[str, list[int]] = {}
+        self.memo = Memo(self._encode_chunk)
+
+    def _encode_chunk(self, chunk: str) -> str:
+        """Each match of the pattern in byte characters, through the library's merges."""
+        if chunk.isascii() and chunk[:1] == " " and chunk[1:].isalpha():  # one match, most often
+            return "".join([chr(t.id) for t in self.pieces(self.characters[32] + chunk[1:])])
+        mapped = (m.encode().decode("latin-1").translate(self.characters) for m in self.find(chunk))
+        return "".join([chr(t.id) for m in mapped for t in self.pieces(m)])
+
+    def encode_packed(self, text: str) -> str:
+        """The ids as the code points of a string, which is far smaller than a list."""
+        if _OTHER_SPACE.search(text):
+            return self._encode_chunk(text)
+        memo = self.memo
+        if len(memo) > MEMO:  # the older half goes
+            for x in list(islice(memo, MEMO // 2)):
+                del memo[x]
+        return "".join([memo[x] for x in _CHUNK.findall(text)])
 
     def encode(self, text: str) -> list[int]:
-        found, memo = self.find(text), self.memo
-        try:
-            return list(chain.from_iterable([memo[x] for x in found]))
-        except KeyError:
-            pass
-        if len(memo) > MEMO:
-            memo.clear()
-        new = list({x for x in found if x not in memo})
-        here = {x: e.ids for x, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True)}
-        memo.update((x, ids) for x, ids in here.items() if len(x) <= LONGEST)
-        return list(chain.from_iterable([here[x] if x in here else memo[x] for x in found]))
+        return list(map(ord, self.encode_packed(text)))
 
     def decode_bytes(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
