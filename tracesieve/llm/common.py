@@ -8,6 +8,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def texts(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -
 def slices(column: pa.Array, max_chars: int):
     """(from, to) row ranges of a string column holding about max_chars bytes each; a single
     longer text is a range of its own."""
-    sizes = pa.compute.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
     start, total = 0, 0
     for i, n in enumerate(sizes):
         if i > start and total + n > max_chars:
@@ -90,15 +91,29 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 
-#: Powers of an odd multiplier, for position-dependent byte hashes.
+#: The odd multiplier of byte hashes.
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@functools.lru_cache(maxsize=2)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse, 2^bits + 1 of each."""
+    out = []
+    for base in (_MULTIPLIER, pow(_MULTIPLIER, -1, 1 << 64)):
+        x = np.full((1 << bits) + 1, base, np.uint64)
+        x[0] = 1
+        out.append(np.cumprod(x))
+    return out[0], out[1]
+
+
+_BYTE_CODES = mix64(np.arange(1, 257, dtype=np.uint64))
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word (maximal run without separators; texts are word borders),
     and the n + 1 word offsets of the texts."""
     solid = np.zeros(len(data) + 2, bool)
-    solid[1:-1] = ~SPACE[data]
+    solid[1:-1] = ~separators[data]
     inner = offsets[1:-1]
     starts = solid[1:-1] & ~solid[:-2]
     ends = solid[1:-1] & ~solid[2:]
@@ -114,14 +129,30 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     sum of (byte + 1) * m^i, divided by m^start (m is odd, so it has an inverse)."""
     if not len(starts):
         return np.empty(0, np.uint64)
-    lengths = ends - starts
     with np.errstate(over="ignore"):
-        powers = np.full(len(data) + 1, _MULTIPLIER, np.uint64)
-        powers[0] = 1
-        np.cumprod(powers, out=powers)
+        powers, inverse = _powers(max(12, int(len(data)).bit_length()))
         prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(powers[:-1] * mix64(np.arange(1, 257, dtype=np.uint64))[data], out=prefix[1:])
-        inverse = np.full(len(data) + 1, pow(_MULTIPLIER, -1, 1 << 64), np.uint64)
-        inverse[0] = 1
-        np.cumprod(inverse, out=inverse)
-        return mix64((prefix[ends] - prefix[starts]) * inverse[starts] + lengths.astype(np.uint64))
+        np.cumsum(powers[: len(data)] * _BYTE_CODES[data], out=prefix[1:])
+        return mix64((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sums of values between consecutive offsets; 0 where there are none."""
+    total = np.zeros((len(values) + 1, *values.shape[1:]), np.float64)
+    np.cumsum(values, axis=0, out=total[1:])
+    return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with A-Z and the capitals U+00C0 to U+00DE (but for U+00D7) in lower case."""
+    out = data + np.where((data >= 65) & (data <= 90), 32, 0).astype(np.uint8)
+    if len(data) > 1:
+        wide = np.zeros(len(data), bool)
+        wide[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        out[wide] += 32
+    return out
+
+
+#: Separates runs of letters: every ASCII byte that isn't one.
+NO_LETTER = np.ones(256, bool)
+NO_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False

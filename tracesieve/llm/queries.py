@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracesieve.llm import bpe, secrets
+from tracesieve.llm import bpe, language, quality, secrets, toxicity
 from tracesieve.llm.common import table
 
 
@@ -13,9 +13,21 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op5_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_byte_bpe, op6_secret_ledger)}
+def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op4_byte_bpe, op5_ftrl_toxicity, op6_secret_ledger, op8_language_mixture, op10_quality_discriminant)}
 ORACLES: dict[str, str] = {}
