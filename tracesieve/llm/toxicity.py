@@ -1,7 +1,7 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features of a text are the hashes of its words (runs of letters, in lower case), of pairs of
-neighbours and of pairs with one word between. Per-coordinate learning rates and L1 leave few
+Features of a text are the hashes of its words (runs of letters, in lower case), whole and cut
+to stems, of pairs of neighbours and of pairs with one word between. Per-coordinate learning rates and L1 leave few
 weights other than 0, which are broadcast (2^BITS entries at most) and summed over a text's
 distinct features. The classifier learns from a bounded sample of the labelled training rows
 (SAMPLE of each class, by the order of a hash of the id); the intercept is corrected for that.
@@ -25,6 +25,8 @@ THRESHOLD = 0.3
 BITS = 20
 #: Most labelled rows of each class that the model learns from.
 SAMPLE = {0: 11_000, 1: 7_000}
+#: Bytes of the stems that longer words are cut to, beside the whole words.
+STEMS = (4, 5)
 _BLOCK = 4 << 20
 
 
@@ -35,6 +37,10 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     starts, ends, at = word_spans(data, offsets, NO_LETTER)
     words, owner = span_hashes(data, starts, ends), np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(at))
     keys, owners = [words], [owner]
+    for size in STEMS:
+        longer = ends - starts > size
+        keys.append(mix64(span_hashes(data, starts[longer], starts[longer] + size) + np.uint64(size)))
+        owners.append(owner[longer])
     with np.errstate(over="ignore"):
         for gap, salt in ((1, 0x51), (2, 0x52)):
             inside = owner[gap:] == owner[:-gap]
@@ -54,7 +60,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array((both & 0xFFFFFFFF).astype(np.int32)))], ["doc_id", "f"])
 
 
-def ftrl(rows: list[tuple[int, np.ndarray]], epochs: int = 3, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.6, l2: float = 0.1) -> tuple[np.ndarray, float]:
+def ftrl(rows: list[tuple[int, np.ndarray]], epochs: int = 6, alpha: float = 1.0, beta: float = 1.0, l1: float = 4.0, l2: float = 0.1) -> tuple[np.ndarray, float]:
     """Weights and intercept from (label, features) rows, taken in order."""
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     z0 = n0 = b = 0.0
