@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracesieve.llm import bpe, language, quality, secrets, toxicity
+from tracesieve.llm import bpe, language, quality, secrets, templates, toxicity, vectors
 from tracesieve.llm.common import table
 
 
+def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
@@ -25,9 +29,24 @@ def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
 
+def op9_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op4_byte_bpe, op5_ftrl_toxicity, op6_secret_ledger, op8_language_mixture, op10_quality_discriminant)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op3_template_decontamination,
+        op4_byte_bpe,
+        op5_ftrl_toxicity,
+        op6_secret_ledger,
+        op8_language_mixture,
+        op9_prefix_forest,
+        op10_quality_discriminant,
+    )
+}
 ORACLES: dict[str, str] = {}

@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from tracesieve.llm.common import cut
 
 NEAREST = 20
-TREES, BITS, SHARD, QUERIES = 12, 32, 8192, 4096
+TREES, BITS, SHARD, QUERIES = 16, 32, 8192, 4096
 #: Share of a shard's entries, counted once per tree, to gather before the ascent stops.
-GATHER = 4.0
+GATHER = 0.8
 
 
 def valid(df: DataFrame) -> tuple[DataFrame, int, float]:
