@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracesieve.llm import bpe, language, quality, secrets, templates, toxicity, vectors
+from tracesieve.llm import bpe, language, pages, quality, secrets, templates, toxicity, vectors
 from tracesieve.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_template_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES = {
         op4_byte_bpe,
         op5_ftrl_toxicity,
         op6_secret_ledger,
+        op7_template_pages,
         op8_language_mixture,
         op9_prefix_forest,
         op10_quality_discriminant,
