@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracesieve.llm import bpe, language, pages, quality, secrets, templates, toxicity, vectors
+from tracesieve.llm import bpe, language, neardup, pages, quality, secrets, templates, toxicity, vectors
 from tracesieve.llm.common import table
 
 
+def op2_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,6 +48,7 @@ def op10_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_probminhash,
         op3_template_decontamination,
         op4_byte_bpe,
         op5_ftrl_toxicity,

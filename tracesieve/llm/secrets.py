@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracesieve.llm.common import texts
+from tracesieve.llm.common import cut, texts
 
 RULE_VERSION = "rules-1"
 
@@ -130,3 +130,28 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str = R
     if ledger is not None:
         rows = rows.unionByName(ledger.filter(F.col("rule_version") == rule_version).select(_NAMES))
     return findings(docs, rows)
+
+
+def put_out(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str = RULE_VERSION) -> DataFrame:
+    """docs, all rows and columns, with "[secret]" in place of every span in text, and n_chars
+    (where there is such a column) of the new text. Texts without findings stay as they are."""
+    rows = scan_unseen(docs, ledger, rule_version)
+    if ledger is not None:
+        rows = rows.unionByName(ledger.filter(F.col("rule_version") == rule_version).select(_NAMES))
+    spans = cut(rows.filter("spans != ''").select("blob", "spans"))
+
+    def run(text: pa.Array, spans: pa.Array) -> pa.Array:
+        return pa.array([redact(t.as_py(), s.as_py()) if s.is_valid else t.as_py() for t, s in zip(text, spans, strict=True)], pa.string())
+
+    run.__annotations__ = {"text": pa.Array, "spans": pa.Array, "return": pa.Array}
+    packed = docs.select(F.struct("*").alias("row"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("blob"))
+    found = packed.join(spans, "blob", "left").withColumn("new", F.arrow_udf(run, "string")("row.text", "spans"))
+    columns = []
+    for name in docs.columns:
+        old = F.col("row").getField(name)
+        if name == "text":
+            old = F.col("new")
+        elif name == "n_chars":
+            old = F.when(F.col("spans").isNull(), old).otherwise(F.length("new").cast(docs.schema[name].dataType))
+        columns.append(old.alias(name))
+    return found.select(*columns)
