@@ -80,7 +80,7 @@ class Codec:
         """Each match of the pattern in byte characters, through the library's merges."""
         if chunk.isascii() and chunk[:1] == " " and chunk[1:].isalpha():  # one match, most often
             return "".join([chr(t.id) for t in self.pieces(self.characters[32] + chunk[1:])])
-        mapped = (m.encode().decode("latin-1").translate(self.characters) for m in self.find(chunk))
+        mapped = [m.encode().decode("latin-1").translate(self.characters) for m in self.find(chunk)]
         return "".join([chr(t.id) for m in mapped for t in self.pieces(m)])
 
     def encode_packed(self, text: str) -> str:

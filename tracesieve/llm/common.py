@@ -124,18 +124,23 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = S
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span, by prefix sums of a polynomial over the byte stream:
-    sum of (byte + 1) * m^i, divided by m^start (m is odd, so it has an inverse)."""
+def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of codes (uint64), by prefix sums of a polynomial over all of
+    them: sum of code * m^i, divided by m^start (m is odd, so it has an inverse)."""
     if not len(starts):
         return np.empty(0, np.uint64)
     with np.errstate(over="ignore"):
-        powers, inverse = _powers(max(12, int(len(data)).bit_length()))
-        prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(powers[: len(data)] * _BYTE_CODES[data], out=prefix[1:])
+        powers, inverse = _powers(max(12, int(len(codes)).bit_length()))
+        prefix = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(powers[: len(codes)] * codes, out=prefix[1:])
         return mix64((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte span."""
+    return run_hashes(_BYTE_CODES[data], starts, ends)
+
+
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums of values between consecutive offsets; 0 where there are none."""
     total = np.zeros((len(values) + 1, *values.shape[1:]), np.float64)

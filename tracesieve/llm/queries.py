@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracesieve.llm import bpe, language, neardup, pages, quality, secrets, templates, toxicity, vectors
+from tracesieve.llm import bpe, language, lm, neardup, pages, quality, secrets, templates, toxicity, vectors
 from tracesieve.llm.common import table
 
 
+def op1_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 def op2_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_attention_lm,
         op2_probminhash,
         op3_template_decontamination,
         op4_byte_bpe,
