@@ -112,14 +112,14 @@ def exponential_weights(losses: DataFrame, beta: float) -> DataFrame:
     return raw.select("judge", "loss", (F.col("raw") / F.sum("raw").over(every)).alias("weight"))
 
 
-def rating_lookup(requests: DataFrame, ratings: DataFrame) -> DataFrame:
+def rating_lookup(requests: DataFrame, ratings: DataFrame, tie: str = "n_updates") -> DataFrame:
     """requests (judge, area) with the rating used: usable in the area, usable anywhere, any in the
-    area, any anywhere. ratings: judge, area (null: global), mean_brier, n_updates."""
+    area, any anywhere; then by tie. ratings: judge, area (null: global), mean_brier, n_updates."""
     usable = (F.col("n_updates") > 0) & F.col("mean_brier").isNotNull()
     best = (
         F.when(usable & F.col("rating_area").isNotNull(), 0).when(usable, 1).when(F.col("rating_area").isNotNull(), 2).otherwise(3)
     )
     r = ratings.withColumnRenamed("area", "rating_area")
     fits = requests.join(r, "judge", "left").filter("rating_area is null or rating_area = area")
-    picked = fits.groupBy("judge", "area").agg(F.min_by(F.struct("rating_area", "mean_brier", "n_updates"), best).alias("r"))
+    picked = fits.groupBy("judge", "area").agg(F.min_by(F.struct("rating_area", "mean_brier", "n_updates"), F.struct(best, F.col(tie))).alias("r"))
     return requests.select("judge", "area").distinct().join(picked, ["judge", "area"], "left").select("judge", "area", "r.*")
