@@ -18,6 +18,7 @@ import re
 from collections.abc import Iterator
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -147,7 +148,10 @@ def with_ids(docs: DataFrame, vocabulary: str, pattern: str, ids_column: str = "
     def run(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         c = codec(vocabulary, pattern)
         for texts_ in column:
-            yield pa.array([c.encode(x.as_py() or "") for x in texts_], pa.list_(pa.int32()))
+            packed = [np.frombuffer(c.encode_packed(x.as_py() or "").encode("utf-16-le"), np.uint16) for x in texts_]
+            at = np.r_[0, np.cumsum([len(x) for x in packed], dtype=np.int64)]
+            flat = np.concatenate([np.empty(0, np.uint16), *packed]).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))
 
     run.__annotations__ = {"column": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return docs.withColumn(ids_column, F.arrow_udf(run, "array<int>")(F.col("text")))
