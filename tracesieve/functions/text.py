@@ -37,11 +37,20 @@ def tokenize(x: Column) -> Column:
     return F.filter(F.split(ascii_lower(x), f"[{SEPARATORS}]+"), lambda w: w != "")
 
 
+def once(x: Column, use) -> Column:
+    """use(x) with x evaluated a single time: an expression that stands inside another lambda would
+    be evaluated anew for every element."""
+    return F.transform(F.array(x), use)[0]
+
+
 def shingles(words: Column, n: int) -> Column:
     """Distinct n-grams of an array of words, joined by one space; none if there are fewer words."""
-    starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-    made = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.when(F.size(words) >= n, F.array_distinct(made)).otherwise(F.array().cast("array<string>"))
+
+    def made(w: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(F.size(w) >= n, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+
+    return once(words, made)
 
 
 def jaccard(a: Column, b: Column) -> Column:

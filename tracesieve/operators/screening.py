@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracesieve.functions.text import jaccard, shingles, tokenize
+from tracesieve.functions.text import shingles, tokenize
 from tracesieve.sources.tables import cut
 
 #: Defaults: n-gram lengths, least common run of words, least Jaccard similarity.
@@ -29,29 +27,26 @@ def distinct_texts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return reps, members.join(first, "digest").select("id", "rep")
 
 
-def _prefixed(reps: DataFrame, n: int, threshold: float) -> DataFrame:
-    """(rep, s, m, h): h are the shingles of which a pair of this similarity shares one: all but
-    threshold of them, by one order for all (the hash)."""
-    sets = reps.select("rep", hashed_shingles(F.col("words"), n).alias("s")).filter("size(s) > 0").withColumn("m", F.size("s"))
-    head = F.slice("s", 1, F.col("m") - F.ceil(F.col("m") * threshold - 1e-9).cast("int") + 1)
-    return sets.withColumn("head", head)
+def _sets(reps: DataFrame, ngrams: tuple[int, int], threshold: float) -> DataFrame:
+    """(rep, n, s, m, head): s are the shingles, head those of which a pair of this similarity
+    shares one: all but the threshold's share of them, by one order for all (the hash)."""
+    each = F.array(*(F.struct(F.lit(n).alias("n"), hashed_shingles(F.col("words"), n).alias("s")) for n in range(ngrams[0], ngrams[1] + 1)))
+    sets = reps.select("rep", F.inline(each)).filter("size(s) > 0").withColumn("m", F.size("s"))
+    return sets.withColumn("head", F.slice("s", 1, F.col("m") - F.ceil(F.col("m") * threshold - 1e-9).cast("int") + 1))
 
 
 def similar_pairs(reps: DataFrame, ngrams: tuple[int, int] = NGRAMS, threshold: float = SIMILARITY) -> DataFrame:
     """(a, b, n, intersection, total) for the pairs a < b whose n-grams reach the similarity, for
-    each n that does. Only pairs that share a shingle of both prefixes are compared."""
-    out = []
-    for n in range(ngrams[0], ngrams[1] + 1):
-        sets = _prefixed(reps, n, threshold)
-        heads = sets.select("rep", "m", F.explode("head").alias("h"))
-        a, b = heads.toDF("a", "ma", "h"), heads.toDF("b", "mb", "h")
-        close = a.join(b, "h").filter((F.col("a") < F.col("b")) & (F.col("ma") >= threshold * F.col("mb") - 1e-9) & (F.col("mb") >= threshold * F.col("ma") - 1e-9))
-        pairs = close.select("a", "b").distinct()
-        both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("rep").alias("b"), F.col("s").alias("sb")), "b")
-        shared = F.size(F.array_intersect("sa", "sb"))
-        counted = both.select("a", "b", F.lit(n).alias("n"), shared.alias("intersection"), (F.size("sa") + F.size("sb") - shared).alias("total"))
-        out.append(counted.filter(F.col("intersection") >= threshold * F.col("total")))
-    return reduce(DataFrame.unionByName, out)
+    each n that does. Only pairs that share a shingle of both heads are compared."""
+    sets = cut(_sets(reps, ngrams, threshold))
+    heads = sets.select("rep", "n", "m", F.explode("head").alias("h"))
+    a, b = heads.toDF("a", "n", "ma", "h"), heads.toDF("b", "n", "mb", "h")
+    close = a.join(b, ["n", "h"]).filter((F.col("a") < F.col("b")) & (F.col("ma") >= threshold * F.col("mb") - 1e-9) & (F.col("mb") >= threshold * F.col("ma") - 1e-9))
+    pairs = close.select("n", "a", "b").distinct()
+    both = pairs.join(sets.select("n", F.col("rep").alias("a"), F.col("s").alias("sa")), ["n", "a"]).join(sets.select("n", F.col("rep").alias("b"), F.col("s").alias("sb")), ["n", "b"])
+    shared = F.size(F.array_intersect("sa", "sb"))
+    counted = both.select("a", "b", "n", shared.alias("intersection"), (F.size("sa") + F.size("sb") - shared).alias("total"))
+    return counted.filter(F.col("intersection") >= threshold * F.col("total"))
 
 
 def protected_matches(texts: DataFrame, items: DataFrame, n: int, threshold: float) -> DataFrame:

@@ -11,8 +11,11 @@ LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz
 WORDS = f"list_filter(regexp_split_to_array({LOWER.format('text')}, '{SEPARATORS}'), lambda w: w <> '')"
 
 
-def shingles(n: int) -> str:
-    return f"case when len(words) >= {n} then list_distinct(list_transform(range(1, len(words) - {n} + 2), lambda i: array_to_string(words[i:i + {n} - 1], ' '))) else [] end"
+def shingles(n: int, table: str, key: str) -> str:
+    """A SELECT of the distinct n-grams g of each key; table has key and words."""
+    gram = " || ' ' || ".join(["w", *(f"lead(w, {i}) over o" for i in range(1, n))])
+    flat = f"select {key}, unnest(words) as w, generate_subscripts(words, 1) as p from {table}"
+    return f"select distinct {key}, {n} as n, g from (select {key}, {gram} as g from ({flat}) window o as (partition by {key} order by p)) where g is not null"
 
 
 VOTES = """votes as (select l_orderkey as record_id, l_linenumber as pos, 'judge' || (l_suppkey % 5) as judge, l_discount * 10 as score,
