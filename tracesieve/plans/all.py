@@ -1,3 +1,3 @@
 """Imports all queries."""
 
-from tracesieve.plans import corpus, judging  # noqa: F401
+from tracesieve.plans import chat, corpus, judging, logs  # noqa: F401

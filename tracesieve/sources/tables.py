@@ -32,9 +32,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def prompt_lines(lines: DataFrame) -> DataFrame:
-    """Lines (value) that hold a prompt: trimmed; blank ones and those from # on go."""
-    text = F.trim("value")
-    return lines.select(text.alias("value")).filter((F.col("value") != "") & ~F.startswith("value", F.lit("#")))
+    """The rows whose value is a prompt, trimmed; blank lines and those from # on go."""
+    trimmed = lines.withColumn("value", F.trim("value"))
+    return trimmed.filter((F.col("value") != "") & ~F.startswith("value", F.lit("#")))
 
 
 def messages(conversations: DataFrame) -> DataFrame:
