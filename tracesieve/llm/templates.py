@@ -137,19 +137,20 @@ class Index:
 
     def judge(self, item: int, rows: np.ndarray, values: np.ndarray) -> tuple[int, int, int]:
         """Canonical words of the item that consistent windows cover, its slots among them, and
-        the slots with another value. Shifts between item and document are taken by what they
-        cover; one whose slots contradict those taken is left out."""
+        the slots with another value. Shifts between item and document are taken by their windows,
+        most first; a window whose slots contradict what was taken is left out."""
         size = int(rows[0, 4])
-        shift = rows[:, 2] - rows[:, 3]
+        shift, many = np.unique(rows[:, 2] - rows[:, 3], return_counts=True)
         covered, meaning, other = set(), {}, set()
-        by_shift = {s: np.unique((rows[shift == s, 3][:, None] + np.arange(size)).ravel()) for s in np.unique(shift)}
-        for s, places in sorted(by_shift.items(), key=lambda x: (-len(x[1]), x[0])):
-            fresh = dict(meaning)
-            slots = [p for p in places.tolist() if self.kinds[p] != LITERAL]
-            if all(fresh.setdefault((self.kinds[p], self.values[p]), values[p + s]) == values[p + s] for p in slots):
-                meaning = fresh
-                covered.update(places.tolist())
-                other.update(p for p in slots if self.values[p] != values[p + s])
+        for s in shift[np.lexsort((shift, -many))].tolist():
+            for begin in np.unique(rows[rows[:, 2] - rows[:, 3] == s, 3]).tolist():
+                places = range(begin, begin + size)
+                pairs = {}
+                slots = [(p, (self.kinds[p], self.values[p]), values[p + s]) for p in places if self.kinds[p] != LITERAL]
+                if all(pairs.setdefault(x, meaning.get(x, y)) == y for _, x, y in slots):
+                    meaning |= pairs
+                    covered.update(places)
+                    other.update(p for p, _, y in slots if self.values[p] != y)
         return len(covered), sum(self.kinds[p] != LITERAL for p in covered), len(other)
 
 

@@ -130,7 +130,9 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 kept = some[key]
                 both = np.unique((owner[kept].astype(np.int64) << 32) | key[kept])
                 z = np.bincount(both >> 32, dense[both & 0xFFFFFFFF], minlength=b - a) + intercept
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(1 / (1 + np.exp(-z.clip(-500, 500))))], ["doc_id", "score"])
+                with np.errstate(over="ignore"):
+                    score = 1 / (1 + np.exp(-z))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(score)], ["doc_id", "score"])
 
     out = texts(docs).mapInArrow(run, "doc_id long, score double")
     return out.select("doc_id", (bucket("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
