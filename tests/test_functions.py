@@ -101,3 +101,18 @@ def test_stream_and_batch_agree(spark, tmp_path):
     query.awaitTermination()
     want = ledger.latest(spark.createDataFrame(rows, schema), "record_id", ["event_id"], ["state", "event_id"])
     assert {tuple(r) for r in read_states(spark, f"{tmp_path}/out").collect()} == {tuple(r) for r in want.collect()}
+
+
+def test_publish_and_verify(spark, tmp_path):
+    import pytest
+
+    from tracesieve.sources import export
+
+    rows = spark.createDataFrame([(f"r{i}", i % 3, None if i % 2 else 1.5) for i in range(20)], "record_id string, n int, s double")
+    at = f"file://{tmp_path}/out"
+    first = export.publish(rows, at)
+    assert export.publish(rows.repartition(7), at) == first and export.verify(spark, at) == []
+    with pytest.raises(ValueError, match="other rows"):
+        export.publish(rows.limit(3), at)
+    rows.limit(5).write.mode("overwrite").parquet(f"{at}/data")
+    assert "n_records" in export.verify(spark, at)

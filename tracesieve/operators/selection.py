@@ -43,3 +43,17 @@ def reward_valid(ids: Column, vocabulary: int, control: Column, eos: int) -> Col
     inside = F.forall(ids, lambda x: (x >= 0) & (x < vocabulary))
     body = F.when((F.size(ids) > 0) & (F.element_at(ids, -1) == eos), F.slice(ids, 1, F.size(ids) - 1)).otherwise(ids)
     return inside & ~F.arrays_overlap(body, control)
+
+
+def label_tokens(offsets: Column, owners: Column, ids: Column) -> Column:
+    """Labels of tokens: the id where the token lies inside a supervised span, -100 where it touches
+    none; null for the row if a token lies in both. offsets: array of struct(start, end); owners:
+    array of struct(start, end) of the supervised spans, in order."""
+
+    def of(t: Column, i: Column) -> Column:
+        inside = F.exists(owners, lambda o: (o["start"] <= t["start"]) & (t["end"] <= o["end"]))
+        touches = F.exists(owners, lambda o: (o["start"] < t["end"]) & (t["start"] < o["end"]))
+        return F.when(inside, F.element_at(ids, i + 1).cast("long")).when(~touches, F.lit(-100).cast("long"))
+
+    labels = F.transform(offsets, of)
+    return F.when(~F.exists(labels, lambda x: x.isNull()), labels)

@@ -301,3 +301,22 @@ def score_band(spark: SparkSession, d: str) -> DataFrame:
     from tracesieve.operators.consensus import band
 
     return table(spark, d, "customer").select("c_custkey", band((F.col("c_custkey") % 101) / 100.0).alias("band"))
+
+
+# A conversation's characters in tokens of four; the assistant's turns are supervised.
+@query(f"""with {MESSAGES}, o as (select conv_id, turn, role, sum(length(content)) over (partition by conv_id order by turn) as e, length(content) as n from turns),
+ t as (select conv_id, unnest(range(0, (max(e) // 4)::bigint)) as i from o group by 1),
+ l as (select t.conv_id, t.i, bool_or(o.e - o.n <= 4 * i and 4 * i + 4 <= o.e) filter (role = 'assistant') as inside, bool_or(o.e - o.n < 4 * i + 4 and 4 * i < o.e) filter (role = 'assistant') as touches from t join o using (conv_id) group by 1, 2)
+ select conv_id, count(*) as tokens, count(*) filter (inside) as supervised, coalesce(bool_or(touches and not inside), false) as mixed from l group by 1""")
+def label_tokens(spark: SparkSession, d: str) -> DataFrame:
+    from tracesieve.operators.selection import label_tokens as labelled
+
+    step = lambda s, m: F.struct((s["e"] + F.length(m["content"])).alias("e"), F.when(m["role"] == "assistant", F.concat(s["o"], F.array(F.struct(s["e"].alias("start"), (s["e"] + F.length(m["content"])).alias("end"))))).otherwise(s["o"]).alias("o"))
+    start = F.struct(F.lit(0).alias("e"), F.array().cast("array<struct<start:int,end:int>>").alias("o"))
+    rows = _messages(spark, d).select("conv_id", F.aggregate("messages", start, step).alias("x"))
+    places = F.slice(F.sequence(F.lit(0), F.floor(F.col("x.e") / 4).cast("int")), 1, F.floor(F.col("x.e") / 4).cast("int"))
+    rows = rows.select("conv_id", "x", places.alias("ids"))
+    spans = F.transform("ids", lambda i: F.struct((i * 4).alias("start"), (i * 4 + 4).alias("end")))
+    rows = rows.select("conv_id", "ids", F.col("x.o").alias("owners"), spans.alias("spans"))
+    whole = F.filter("spans", lambda t: F.exists("owners", lambda o: (o["start"] <= t["start"]) & (t["end"] <= o["end"])))
+    return rows.filter("size(ids) > 0").select("conv_id", F.size("ids").cast("long").alias("tokens"), F.size(whole).cast("long").alias("supervised"), labelled(F.col("spans"), F.col("owners"), F.col("ids")).isNull().alias("mixed"))

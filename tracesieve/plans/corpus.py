@@ -36,7 +36,7 @@ _ITEMS = f"items as (select item_id, {WORDS} as words from benchmark)"
 
 
 @query(f"with {_ITEMS} select item_id, g as shingle from ({shingles(8, 'items', 'item_id')})")
-def shingles_of_items(spark: SparkSession, d: str) -> DataFrame:
+def shingles_query(spark: SparkSession, d: str) -> DataFrame:
     b = table(spark, d, "benchmark").select("item_id", T.tokenize(F.col("text")).alias("words"))
     return b.select("item_id", F.explode(T.shingles(F.col("words"), 8)).alias("shingle"))
 

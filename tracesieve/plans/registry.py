@@ -15,9 +15,10 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Registers a function under its own name, with the SQL that tells its result."""
 
     def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        name = f.__name__.removesuffix("_query")  # where a function of that name is imported
+        QUERIES[name] = f
         if sql is not None:
-            ORACLES[f.__name__] = sql
+            ORACLES[name] = sql
         return f
 
     return register
