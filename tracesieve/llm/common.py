@@ -95,7 +95,7 @@ SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse, 2^bits + 1 of each."""
     out = []
@@ -130,7 +130,7 @@ def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     if not len(starts):
         return np.empty(0, np.uint64)
     with np.errstate(over="ignore"):
-        powers, inverse = _powers(max(12, int(len(codes)).bit_length()))
+        powers, inverse = _powers(max(21, int(len(codes)).bit_length()))
         prefix = np.zeros(len(codes) + 1, np.uint64)
         np.cumsum(powers[: len(codes)] * codes, out=prefix[1:])
         return mix64((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))

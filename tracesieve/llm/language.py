@@ -24,7 +24,7 @@ from tracesieve.llm.common import NO_LETTER, bucket, byte_view, lowered, slices,
 BITS = 16
 #: Words in a segment, iterations, and nats for a further language per log of the segments.
 SEGMENT, ITERATIONS, PENALTY = 4, 8, 2.0
-_BLOCK = 2 << 20
+_BLOCK = 2_000_000
 _LETTER = re.compile(r"[^\W\d_]")
 
 

@@ -25,7 +25,7 @@ from tracesieve.llm.common import SPACE, bucket, byte_view, cut, slices, span_ha
 #: Score from which a document counts as good.
 THRESHOLD = 0.7
 #: Bytes of text looked at together.
-_BLOCK = 4 << 20
+_BLOCK = 2_000_000
 
 _UPPER, _LOWER, _DIGIT = (np.zeros(256, bool) for _ in range(3))
 _UPPER[65:91] = _LOWER[97:123] = _DIGIT[48:58] = True

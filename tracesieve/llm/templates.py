@@ -28,7 +28,7 @@ WINDOW, COVERED, LONG = 7, 0.5, 24
 #: Most canonical words of the benchmark in one broadcast; a larger benchmark goes in blocks of
 #: items, each a further pass over the documents.
 BLOCK_WORDS = 4_000_000
-_BLOCK = 4 << 20
+_BLOCK = 2_000_000
 
 # Words that are units after a number.
 UNITS = """mm cm m km in ft yd mi mg g kg t lb oz ml l s sec secs second seconds min mins minute minutes h hr hrs hour hours

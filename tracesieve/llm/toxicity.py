@@ -27,7 +27,7 @@ BITS = 20
 SAMPLE = {0: 11_000, 1: 7_000}
 #: Bytes of the stems that longer words are cut to, beside the whole words.
 STEMS = (4, 5)
-_BLOCK = 4 << 20
+_BLOCK = 2_000_000
 
 
 def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
