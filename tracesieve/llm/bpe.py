@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tracesieve.llm.common import texts
 
 #: Distinct chunks that a worker remembers, and the longest that it remembers, in characters.
-MEMO, LONGEST = 500_000, 48
+MEMO, LONGEST = 250_000, 48
 
 #: White space and what follows it up to the next white space. Where a text has no other white
 #: space than these four characters, no match of the pattern crosses a border of such chunks.
