@@ -27,7 +27,7 @@ from tracesieve.llm.common import cut
 NEAREST = 20
 TREES, BITS, SHARD, QUERIES = 16, 32, 8192, 4096
 #: Share of a shard's entries, counted once per tree, to gather before the ascent stops.
-GATHER = 0.8
+GATHER = 1.3
 
 
 def valid(df: DataFrame) -> tuple[DataFrame, int, float]:
