@@ -145,7 +145,8 @@ def put_out(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str
 
     run.__annotations__ = {"text": pa.Array, "spans": pa.Array, "return": pa.Array}
     packed = docs.select(F.struct("*").alias("row"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("blob"))
-    found = packed.join(spans, "blob", "left").withColumn("new", F.arrow_udf(run, "string")("row.text", "spans"))
+    # one plan at every size: a small table of findings would be broadcast, a large one not
+    found = packed.join(spans.hint("merge"), "blob", "left").withColumn("new", F.arrow_udf(run, "string")("row.text", "spans"))
     columns = []
     for name in docs.columns:
         old = F.col("row").getField(name)
