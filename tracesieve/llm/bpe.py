@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracesieve.llm.common import texts
+from tracesieve.llm.common import texts, trim
 
 #: Distinct chunks that a worker remembers, and the longest that it remembers, in characters.
 MEMO, LONGEST = 250_000, 48
@@ -152,6 +152,8 @@ def with_ids(docs: DataFrame, vocabulary: str, pattern: str, ids_column: str = "
             at = np.r_[0, np.cumsum([len(x) for x in packed], dtype=np.int64)]
             flat = np.concatenate([np.empty(0, np.uint16), *packed]).astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))
+            del packed, flat
+            trim()
 
     run.__annotations__ = {"column": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return docs.withColumn(ids_column, F.arrow_udf(run, "array<int>")(F.col("text")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import tempfile
 import uuid
@@ -65,6 +66,17 @@ def slices(column: pa.Array, max_chars: int):
         yield start, len(sizes)
 
 
+def trim() -> None:
+    """Gives freed memory back to the system: Python workers live on between stages, and what the
+    allocators keep for them counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBRARY, "malloc_trim"):
+        _LIBRARY.malloc_trim(0)
+
+
+_LIBRARY = ctypes.CDLL(None)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """splitmix64's finaliser: a bijection of 64-bit words, as uint64."""
     x = x.astype(np.uint64, copy=True)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracesieve.llm.common import SPACE, bucket, byte_view, cut, slices, span_hashes, sums, texts, word_spans
+from tracesieve.llm.common import SPACE, bucket, byte_view, cut, slices, span_hashes, sums, texts, trim, word_spans
 
 #: Score from which a document counts as good.
 THRESHOLD = 0.7
@@ -97,6 +97,7 @@ def features(docs: DataFrame) -> DataFrame:
         for batch in batches:
             x = statistics(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(x)], ["doc_id", "x"])
+            trim()
 
     return texts(docs).mapInArrow(run, "doc_id long, x array<double>")
 
@@ -180,7 +181,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     model = train(features(docs), labels)
 
     def run(column: pa.Array) -> pa.Array:
-        return pa.array(model.score(statistics(column)))
+        out = pa.array(model.score(statistics(column)))
+        trim()
+        return out
 
     run.__annotations__ = {"column": pa.Array, "return": pa.Array}
     return docs.filter(F.arrow_udf(run, "double")(F.coalesce(F.col("text"), F.lit(""))) >= threshold)

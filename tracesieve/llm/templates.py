@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracesieve.llm.common import byte_view, lowered, slices, span_hashes, texts, word_spans
+from tracesieve.llm.common import byte_view, lowered, slices, span_hashes, texts, trim, word_spans
 
 WINDOW, COVERED, LONG = 7, 0.5, 24
 #: Most canonical words of the benchmark in one broadcast; a larger benchmark goes in blocks of
@@ -212,6 +212,7 @@ def _bound(scan):
         hit = np.zeros(len(column), bool)
         for found in scan([numbered]):
             hit[found.column("doc_id").to_numpy()] = True
+        trim()
         return pa.array(~hit)
 
     clean.__annotations__ = {"column": pa.Array, "return": pa.Array}
