@@ -179,6 +179,35 @@ def test_near_duplicates_against_brute_force(spark):
     assert got == brute_classes(docs)
 
 
+def test_near_duplicates_in_large_buckets(spark, monkeypatch):
+    """Groups of more than SMALL copies whose buckets mix with many documents of one passage."""
+    r = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(100))
+    tail = lambda: " ".join(f"t{r.random()}" for _ in range(22))
+    texts = [f"{passage} {tail()}" for _ in range(160)]
+    for _ in range(3):
+        own = tail()
+        texts += [f"{passage} {own} e{r.random()}" for _ in range(neardup.SMALL + 6)]
+    docs = list(enumerate(texts))
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(odd(spark, docs)).collect()}
+    # no shingle repeats: plain Jaccard
+    monkeypatch.setitem(globals(), "probability_jaccard", lambda a, b: len(a.keys() & b.keys()) / len(a.keys() | b.keys()))
+    assert got == brute_classes(docs)
+
+
+def test_near_duplicates_bound(spark):
+    """A sketch never rules out a pair that reaches the threshold."""
+    r = random.Random(7)
+    made = [" ".join(r.choice("abc") for _ in range(r.randint(5, 60))) for _ in range(60)]
+    made += [f"{x} {r.choice('abc')}" for x in made]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(made))), pa.array(made)], ["doc_id", "text"])
+    sketch = {i: np.frombuffer(x, np.uint16) for b in neardup._sketch([batch]) for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)}
+    sets = [counted(t) for t in made]
+    for i in range(len(made)):
+        for j in range(i):
+            assert probability_jaccard(sets[i], sets[j]) <= np.minimum(sketch[i], sketch[j]).sum() / 65535 + 1e-9
+
+
 def test_near_duplicates_odd_rows(spark):
     rows = neardup.classes(odd(spark)).collect()
     assert len(rows) == len(ODD)

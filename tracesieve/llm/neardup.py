@@ -8,12 +8,14 @@ firsts. Two texts agree in a register with their probability Jaccard similarity.
 joined in bands; documents that share a band are candidates, and a pair is linked if its exact
 probability Jaccard similarity (plain Jaccard where no shingle repeats) reaches THRESHOLD.
 
-Exact copies are one representative. Comparisons grow with the documents, not with the pairs of a
-bucket: every document is compared with one hub, the smallest id of all its buckets; then, as long
-as it isn't connected with it, with the bucket mate that came closest to such a hub (lightly edited
-copies have most in common with all others), then with mates by a new random order in each turn.
-In buckets of up to SMALL members every pair that is still apart is compared. So a link is lost
-only between documents of a large bucket that neither share a small bucket nor a chain of links.
+Exact copies are one representative. First every document is compared with a few hubs: the
+smallest id of all its buckets; then, as long as it isn't connected with it, with the bucket mate
+that came closest to such a hub (lightly edited copies have most in common with all others), then
+with mates by a new random order in each turn. After that, in every bucket of any size, members
+outside its largest component are compared with all members that they are still apart from, in
+rounds of more and more of them, until no such pair is left. Only pairs that share a band but
+can't reach the threshold are spared: the similarity is at most the shares that two texts' shingles
+have in common, and these at most what they have in common by cells of the shingles' hashes.
 Links stay distributed; classes are found by contraction.
 
 Empty and null texts have no shingles: they are copies of texts that are exactly equal, nothing
@@ -37,9 +39,12 @@ from tracesieve.llm.common import byte_view, cut, mix64, slices, span_hashes, te
 WORDS, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares no band once in 1,500.
 BANDS, ROWS = 40, 8
-#: Further hubs that a document is compared with while it is apart from them; buckets up to SMALL
-#: members are compared in full after that.
-TURNS, SMALL = 4, 16
+#: Further hubs that a document is compared with while it is apart from them. After that, buckets
+#: of up to SMALL members are compared in full, and of larger ones about SMALL members with all
+#: others, GROWTH times as many in each further round, until none is left out.
+TURNS, SMALL, GROWTH = 4, 16, 8
+#: Cells of a sketch, and members of a bucket that are joined as one block.
+CELLS, SALTED = 256, 512
 _BLOCK = 2_000_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -167,6 +172,31 @@ def _verified(pairs: DataFrame, pool: DataFrame) -> DataFrame:
     return cut(both.select("a", "b", F.arrow_udf(_similarities, "double")("text_a", "text_b").alias("s")))
 
 
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shares of a text's shingles that fall into each of CELLS cells, in units of 1 / 65,535,
+    rounded up."""
+    for batch in batches:
+        for a, b in slices(batch.column("text"), _BLOCK):
+            part = batch.slice(a, b - a)
+            owner, keys, counts = shingles(part.column("text"))
+            cells = np.bincount(owner * CELLS + (mix64(keys) % np.uint64(CELLS)).astype(np.int64), counts, len(part) * CELLS).reshape(-1, CELLS)
+            shares = np.ceil(cells / np.maximum(cells.sum(1, keepdims=True), 1) * 65535).astype(np.uint16)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([x.tobytes() for x in shares], pa.binary())], ["doc_id", "sketch"])
+        trim()
+
+
+def _may_link(threshold: float):
+    """Whether two sketches leave open that their texts' similarity reaches the threshold. With
+    shares x and y, each shingle adds 1 / sum of max(x_j / x_i, y_j / y_i) <= min(x_i, y_i)."""
+
+    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+        x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(-1, CELLS) for c in (left, right))
+        return pa.array(np.minimum(x, y).sum(1, dtype=np.int64) >= threshold * 65535 - 1)
+
+    run.__annotations__ = {"left": pa.Array, "right": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "boolean")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node with an edge (a, b): root is the smallest node it is connected
     with. Each pass hangs every node on its smallest neighbour, follows these links to their ends
@@ -224,25 +254,58 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     for turn in range(TURNS):
         # first the members that were closest to the first hub, which have most in common with all
         # others; then any, by another order in every turn
-        ranked = shared.join(central, "doc_id", "left").withColumn("s", F.coalesce("s", F.lit(1.0))) if not turn else shared.withColumn("s", F.lit(0.0))
+        ranked = shared.join(central, "doc_id", "left").withColumn("s", F.coalesce("s", F.lit(-1.0))) if not turn else shared.withColumn("s", F.lit(0.0))
         mark = F.struct(-F.col("s"), F.xxhash64("doc_id", F.lit(turn)), "doc_id")
         best = ranked.groupBy("band").agg(F.min_by("doc_id", mark).alias("hub"), F.min(mark).alias("mark"))
         more = _verified(_new(_apart(tries(best, [F.col("mark")]), roots), tried), pool)
         tried = tried.unionByName(more)
         roots = components(_linked(tried, threshold))
 
-    # small buckets: all pairs that are still apart and that no comparison with a hub rules out
-    named = shared.filter(F.col("members") <= SMALL).join(roots.toDF("doc_id", "root"), "doc_id", "left").select("band", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-    many = named.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("band")
-    open_ = named.join(many, "band", "left_semi")
-    rest = open_.toDF("band", "a", "ra").join(open_.toDF("band", "b", "rb"), "band").filter("a < b and ra != rb").select("a", "b").distinct()
-    last = _verified(_new(rest, tried), pool)
-    if not _linked(last, threshold).isEmpty():
-        roots = components(_linked(tried.unionByName(last), threshold))
+    largest = shared.agg(F.max("members")).first()[0] or 0
+    sketches, size = None, SMALL
+    while True:
+        open_ = cut(_open(shared, roots))
+        if open_.isEmpty():
+            break
+        if sketches is None:  # what is open later is open now
+            sketches = cut(pool.join(open_.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_sketch, "doc_id long, sketch binary"))
+        more = _verified(_new(_rest(open_, sketches, None if size >= largest else size, threshold), tried), pool)
+        tried = tried.unionByName(more)
+        if not _linked(more, threshold).isEmpty():
+            roots = components(_linked(tried, threshold))
+        if size >= largest:
+            break
+        size *= GROWTH
     out = members.join(roots.toDF("rep", "root"), "rep", "left")
     return out.select("doc_id", F.coalesce("root", "rep").alias("class_id"))
 
 
+def _open(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(band, doc_id, members, root, main): the members of the buckets that hold more than one
+    component; main is the largest."""
+    named = shared.join(roots.toDF("doc_id", "root"), "doc_id", "left").select("band", "doc_id", "members", F.coalesce("root", "doc_id").alias("root"))
+    each = named.groupBy("band", "root").agg(F.count("*").alias("n"))
+    main = each.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return named.join(main, "band")
+
+
+def _rest(open_: DataFrame, sketches: DataFrame, size: int | None, threshold: float) -> DataFrame:
+    """The pairs (a, b) of a bucket that are apart and may be linked: a is outside of the main
+    component, and one of about `size` members by random order, or any. Large buckets are joined
+    in blocks of their members."""
+    blocks = F.ceil(F.col("members") / SALTED).cast("int")
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).cast("double") / float(1 << 40)
+    rows = open_.join(sketches, "doc_id").withColumn("drawn", drawn)
+    hubs = rows.filter("root != main")
+    if size is not None:
+        hubs = hubs.filter(F.col("drawn") * F.col("members") < size)
+    left = hubs.select("band", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.col("doc_id").alias("a"), F.col("root").alias("ra"), F.col("sketch").alias("x"), F.col("drawn").alias("da"))
+    right = rows.select("band", F.pmod(F.hash("doc_id", F.lit(1)), blocks).alias("block"), F.col("doc_id").alias("b"), F.col("root").alias("rb"), F.col("sketch").alias("y"), F.col("drawn").alias("db"), (F.col("root") == F.col("main")).alias("inside"))
+    once = F.col("inside") | (F.struct("da", "a") < F.struct("db", "b"))
+    pairs = left.join(right, ["band", "block"]).filter((F.col("ra") != F.col("rb")) & once)
+    return pairs.filter(_may_link(threshold)("x", "y")).select("a", "b").distinct()
+
+
 def _linked(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.filter(F.col("s") >= threshold).select("a", "b")
 
