@@ -397,6 +397,19 @@ def test_secrets(spark):
     assert "pem" in by[104]["spans"] and secrets.scan(none(spark)).count() == 0
 
 
+def test_whole_private_keys_are_put_out(spark):
+    r = random.Random(2)
+    lines = ["".join(r.choice("ABCxyz019+/") for _ in range(64)) for _ in range(4)] + ["Qz9+/a=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    texts = [
+        "\n".join(["before", begin, *lines, end, "after"]), "\n".join(["before", begin, *lines, "", "after the key"]),
+        "before " + "\\n".join([begin, *lines, end]) + " after", "\n".join(["before", begin, "Proc-Type: 4,ENCRYPTED", "", *lines]),
+        "\n".join(["before", begin, *lines, begin, *lines, end, "after"]), f"before {begin} is only named",
+    ]
+    got = {x["doc_id"]: x["text"] for x in secrets.put_out(odd(spark, list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(6)] == ["before\n[secret]\nafter", "before\n[secret]\n\nafter the key", "before [secret] after", "before\n[secret]", "before\n[secret]\n[secret]\nafter", "before [secret] is only named"]
+
+
 def test_ledger(spark):
     first = odd(spark, list(enumerate(SECRETS[:3])))
     ledger = secrets.scan_unseen(first).cache()

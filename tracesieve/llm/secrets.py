@@ -20,13 +20,18 @@ from pyspark.sql import functions as F
 
 from tracesieve.llm.common import cut, texts
 
-RULE_VERSION = "rules-1"
+RULE_VERSION = "rules-1.1"
 
 # The patterns of the base kinds (assign, access, hex) and of the added ones.
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----")
+# A key reaches to its END line or, without one, over the headers and base64 lines that follow.
+_PEM = re.compile(
+    r"""-----BEGIN\x20[A-Z\x20]*PRIVATE\x20KEY-----(?:(?:(?!-----BEGIN\x20).)*?-----END\x20[A-Z\x20]*PRIVATE\x20KEY-----
+    |(?:(?:\s|\\[nr])+[A-Za-z-]+:\x20[^\n\\]*)*(?:(?:\s|\\[nr])+[A-Za-z0-9+/]{16,}={0,2})+(?:[ \t\r]*\n[ \t]*[A-Za-z0-9+/]+={0,2}[ \t\r]*(?=\n|\Z))?)?""",
+    re.S | re.X,
+)
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
 _GIT = re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}")
 
