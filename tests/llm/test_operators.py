@@ -180,14 +180,15 @@ def test_near_duplicates_against_brute_force(spark):
 
 
 def test_near_duplicates_in_large_buckets(spark, monkeypatch):
-    """Groups of more than SMALL copies whose buckets mix with many documents of one passage."""
+    """Groups of near copies whose buckets mix with many documents of one passage, in several tiles."""
+    monkeypatch.setattr(neardup, "TOGETHER", 24)
     r = random.Random(5)
     passage = " ".join(f"p{i}" for i in range(100))
     tail = lambda: " ".join(f"t{r.random()}" for _ in range(22))
     texts = [f"{passage} {tail()}" for _ in range(160)]
     for _ in range(3):
         own = tail()
-        texts += [f"{passage} {own} e{r.random()}" for _ in range(neardup.SMALL + 6)]
+        texts += [f"{passage} {own} e{r.random()}" for _ in range(22)]
     docs = list(enumerate(texts))
     got = {r["doc_id"]: r["class_id"] for r in neardup.classes(odd(spark, docs)).collect()}
     # no shingle repeats: plain Jaccard
@@ -195,17 +196,49 @@ def test_near_duplicates_in_large_buckets(spark, monkeypatch):
     assert got == brute_classes(docs)
 
 
-def test_near_duplicates_bound(spark):
-    """A sketch never rules out a pair that reaches the threshold."""
+def test_near_duplicates_around_the_threshold(spark, monkeypatch):
+    """Groups of 120 texts, each edited in up to four of 200 words: many links, and many pairs short of one."""
+    r = random.Random(1)
+    texts = []
+    for _ in range(6):
+        own = [f"w{r.random()}" for _ in range(200)]
+        for _ in range(120):
+            words = own[:]
+            for _ in range(r.randint(1, 4)):
+                words[r.randrange(200)] = f"e{r.random()}"
+            texts.append(" ".join(words))
+    docs = list(enumerate(texts))
+    monkeypatch.setattr(neardup, "TOGETHER", 50)
+    rows = neardup.classes(odd(spark, docs)).collect()
+    monkeypatch.setitem(globals(), "probability_jaccard", lambda a, b: len(a.keys() & b.keys()) / len(a.keys() | b.keys()))
+    assert {r["doc_id"]: r["class_id"] for r in rows} == brute_classes(docs)
+
+
+def test_near_duplicates_bound():
+    """Sketches never rule out a pair that reaches the threshold."""
     r = random.Random(7)
     made = [" ".join(r.choice("abc") for _ in range(r.randint(5, 60))) for _ in range(60)]
     made += [f"{x} {r.choice('abc')}" for x in made]
-    batch = pa.RecordBatch.from_arrays([pa.array(range(len(made))), pa.array(made)], ["doc_id", "text"])
-    sketch = {i: np.frombuffer(x, np.uint16) for b in neardup._sketch([batch]) for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)}
-    sets = [counted(t) for t in made]
+    made += [" ".join(f"{w}{k}" for k, w in enumerate(x.split())) for x in made[:40]]  # no shingle repeats
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(made))), pa.array(made)], ["node", "text"])
+    rows = pa.Table.from_batches(neardup._sketch([batch]))
+    cells = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint16).reshape(len(made), -1) * rows["unit"].to_numpy()[:, None]
+    own = (cells, rows["total"].to_numpy(), rows["single"].to_numpy())
+    assert own[2].any() and not own[2].all()
+    bound, sets = neardup.bounds(own, own), [counted(t) for t in made]
     for i in range(len(made)):
         for j in range(i):
-            assert probability_jaccard(sets[i], sets[j]) <= np.minimum(sketch[i], sketch[j]).sum() / 65535 + 1e-9
+            assert probability_jaccard(sets[i], sets[j]) <= bound[i, j] + 1e-9
+
+
+def test_near_duplicates_of_one_id(spark, monkeypatch):
+    """Different texts under one id are documents of their own; equal hashes of different texts are dealt anew."""
+    a, b, c = made_up(3, 21)
+    docs = [(1, a), (1, b), (1, a), (2, f"{a} more"), (3, c)]
+    assert sorted(r["text"] for r in neardup.keep_one(odd(spark, docs)).collect()) == sorted([a, b, c])
+    plain = neardup._node
+    monkeypatch.setattr(neardup, "_node", lambda digest, salt: plain(digest, salt) % 2 if salt == 0 else plain(digest, salt))
+    assert sorted(r["text"] for r in neardup.keep_one(odd(spark, docs)).collect()) == sorted([a, b, c])
 
 
 def test_near_duplicates_odd_rows(spark):

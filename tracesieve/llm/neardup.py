@@ -8,30 +8,28 @@ firsts. Two texts agree in a register with their probability Jaccard similarity.
 joined in bands; documents that share a band are candidates, and a pair is linked if its exact
 probability Jaccard similarity (plain Jaccard where no shingle repeats) reaches THRESHOLD.
 
-Exact copies are one representative. First every document is compared with a few hubs: the
-smallest id of all its buckets; then, as long as it isn't connected with it, with the bucket mate
-that came closest to such a hub (lightly edited copies have most in common with all others), then
-with mates by a new random order in each turn. After that, in every bucket of any size, members
-outside its largest component are compared with all members that they are still apart from, in
-rounds of more and more of them, until no such pair is left. Only pairs that share a band but
-can't reach the threshold are spared: the similarity is at most the shares that two texts' shingles
-have in common, and these at most what they have in common by cells of the shingles' hashes.
-Links stay distributed; classes are found by contraction.
+A distinct text is a node, named by a hash (checked by a second one). Nodes of a band's bucket are
+first compared with its hub, the smallest; those outside the bucket's largest component then with
+two more members of that; and at last, in buckets of any size, with all members that they are
+still apart from, in tiles of TOGETHER by TOGETHER. Spared are only pairs of one component, whose
+link changes nothing, and pairs that can't reach the threshold by an upper bound from how their
+shingles fall into cells. So the classes are those of all links between texts that share a band.
+Links stay distributed; classes are found by large and small stars.
 
 Empty and null texts have no shingles: they are copies of texts that are exactly equal, nothing
-else. Rows of the same id are one document. Rows without an id are in no class (class_id null).
-Empty tables: no rows. Very long texts are read whole. Ties: the smallest id names the class.
-Other columns are ignored by `classes` and kept by `keep_one`.
+else. Rows of one id with different texts are documents of their own, and only if these are
+similar are they in one class. Rows without an id are in no class (class_id null). Empty tables:
+no rows. Very long texts are read whole. The smallest id names the class. Other columns are
+ignored by `classes` and kept by `keep_one`.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tracesieve.llm.common import byte_view, cut, mix64, slices, span_hashes, texts, trim, word_spans
@@ -39,12 +37,9 @@ from tracesieve.llm.common import byte_view, cut, mix64, slices, span_hashes, te
 WORDS, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares no band once in 1,500.
 BANDS, ROWS = 40, 8
-#: Further hubs that a document is compared with while it is apart from them. After that, buckets
-#: of up to SMALL members are compared in full, and of larger ones about SMALL members with all
-#: others, GROWTH times as many in each further round, until none is left out.
-TURNS, SMALL, GROWTH = 4, 16, 8
-#: Cells of a sketch, and members of a bucket that are joined as one block.
-CELLS, SALTED = 256, 512
+#: Cells of a sketch; members of a bucket in a tile; pairs of a node in its tile that are compared
+#: before the others; most keys that are looked up by a broadcast.
+CELLS, TOGETHER, BEST, FREQUENT = 256, 512, 4, 500
 _BLOCK = 2_000_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -112,6 +107,9 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     """Probability Jaccard similarity of two (sorted hashes, counts)."""
     if not len(a[0]) or not len(b[0]):
         return 0.0
+    if a[1].max() == 1 and b[1].max() == 1:
+        both = len(np.intersect1d(a[0], b[0], assume_unique=True))
+        return both / (len(a[0]) + len(b[0]) - both)
     keys = np.union1d(a[0], b[0])
     x, y = np.zeros(len(keys)), np.zeros(len(keys))
     x[np.searchsorted(keys, a[0])] = a[1]
@@ -134,196 +132,285 @@ def _many(x: np.ndarray, y: np.ndarray, ratio: np.ndarray) -> np.ndarray:
     return xs[-1] - xs[at] + ratio * ys[at]
 
 
-def _similarities(left: pa.Array, right: pa.Array) -> pa.Array:
-    out = np.zeros(len(left))
-    sizes = pa.array([x.as_buffer().size + y.as_buffer().size for x, y in zip(left, right, strict=True)])
-    at = 0
-    ends = np.searchsorted(np.cumsum(sizes.to_numpy()) // _BLOCK, np.arange(1 + int(np.sum(sizes.to_numpy()) // _BLOCK)), "right")
-    for end in np.unique(ends):
-        part = [shingles(c.slice(at, end - at)) for c in (left, right)]
-        edges = [np.searchsorted(owner, np.arange(end - at + 1)) for owner, _, _ in part]
-        for i in range(end - at):
-            a, b = ((k[e[i] : e[i + 1]], c[e[i] : e[i + 1]]) for (_, k, c), e in zip(part, edges, strict=True))
-            out[at + i] = similarity(a, b)
-        at = end
-    trim()
-    return pa.array(out)
-
-
-_similarities.__annotations__ = {"left": pa.Array, "right": pa.Array, "return": pa.Array}
-
-
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in slices(batch.column("text"), _BLOCK):
             part = batch.slice(a, b - a)
             keys, some = bands(part.column("text"))
             at = np.r_[0, np.cumsum(np.bincount(some, minlength=b - a))] * BANDS
-            digest = pa.array([hashlib.blake2b(x.as_buffer(), digest_size=16).digest() for x in part.column("text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), digest, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys.ravel()))], ["doc_id", "digest", "bands"])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "node", "check")), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys.ravel()))], ["doc_id", "node", "check", "bands"])
         trim()
 
 
-def _verified(pairs: DataFrame, pool: DataFrame) -> DataFrame:
-    """pairs (a, b) with their similarity s."""
-    left = pool.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = pool.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return cut(both.select("a", "b", F.arrow_udf(_similarities, "double")("text_a", "text_b").alias("s")))
+def _similarities(hub: pa.Array, left: pa.Array, right: pa.Array) -> pa.Array:
+    """Similarities of pairs of texts; where the hub is that of the row before, so is its text."""
+    out, ids = np.zeros(len(hub)), hub.to_numpy()
+    for a, b in slices(right, _BLOCK):
+        new = np.r_[True, ids[a + 1 : b] != ids[a : b - 1]]
+        which = np.cumsum(new) - 1
+        ones = left.slice(a, b - a).filter(pa.array(new))
+        # a block's hubs in parts too: their texts may be the longer ones
+        parts = [_split(ones.slice(x, y - x)) for x, y in slices(ones, _BLOCK)]
+        hubs = [v for part in parts for v in part]
+        for i, own in enumerate(_split(right.slice(a, b - a))):
+            out[a + i] = similarity(hubs[which[i]], own)
+    trim()
+    return pa.array(out)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shares of a text's shingles that fall into each of CELLS cells, in units of 1 / 65,535,
-    rounded up."""
-    for batch in batches:
-        for a, b in slices(batch.column("text"), _BLOCK):
-            part = batch.slice(a, b - a)
-            owner, keys, counts = shingles(part.column("text"))
-            cells = np.bincount(owner * CELLS + (mix64(keys) % np.uint64(CELLS)).astype(np.int64), counts, len(part) * CELLS).reshape(-1, CELLS)
-            shares = np.ceil(cells / np.maximum(cells.sum(1, keepdims=True), 1) * 65535).astype(np.uint16)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([x.tobytes() for x in shares], pa.binary())], ["doc_id", "sketch"])
-        trim()
+_similarities.__annotations__ = {"hub": pa.Array, "left": pa.Array, "right": pa.Array, "return": pa.Array}
 
 
-def _may_link(threshold: float):
-    """Whether two sketches leave open that their texts' similarity reaches the threshold. With
-    shares x and y, each shingle adds 1 / sum of max(x_j / x_i, y_j / y_i) <= min(x_i, y_i)."""
+def _split(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(sorted hashes, counts) of each text."""
+    owner, keys, counts = shingles(column)
+    at = np.searchsorted(owner, np.arange(len(column) + 1))
+    return [(keys[x:y], counts[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)]
 
-    def run(left: pa.Array, right: pa.Array) -> pa.Array:
-        x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(-1, CELLS) for c in (left, right))
-        return pa.array(np.minimum(x, y).sum(1, dtype=np.int64) >= threshold * 65535 - 1)
 
-    run.__annotations__ = {"left": pa.Array, "right": pa.Array, "return": pa.Array}
-    return F.arrow_udf(run, "boolean")
+def _verified(pairs: DataFrame, pool: DataFrame) -> DataFrame:
+    """(a, b) of the pairs (a, b, parts) whose similarity was computed, with it as s. The text of a
+    document with many partners stands in as many parts as its pairs name, so that no task gets
+    them all; the joins have one form at every size."""
+    hubs = pairs.groupBy("a").agg(F.max("parts").alias("parts")).hint("merge").join(pool.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
+    left = hubs.select("a", "left", F.explode(F.sequence(F.lit(1), "parts")).alias("part"))
+    right = pairs.hint("merge").join(pool.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+    right = right.select("a", (F.pmod(F.xxhash64("b", F.lit(3)), "parts") + 1).cast("int").alias("part"), "b", "right")
+    both = left.hint("merge").join(right, ["a", "part"])
+    return cut(both.select("a", "b", F.arrow_udf(_similarities, "double")("a", "left", "right").alias("s")))
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node with an edge (a, b): root is the smallest node it is connected
-    with. Each pass hangs every node on its smallest neighbour, follows these links to their ends
-    and contracts the edges."""
-    edges = cut(edges.select("a", "b").distinct())
-    roots = None
+    """(node, root) of every node that an edge (a, b) connects with a smaller one; root is the
+    smallest of all. Each pass hangs every node's larger neighbours, then its smaller ones, on the
+    smallest of them, until nothing changes."""
+    star, seen = edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).filter("node != root"), None
     while True:
-        ends = edges.union(edges.select("b", "a")).toDF("node", "other")
-        up = ends.groupBy("node").agg(F.least(F.min("other"), F.min("node")).alias("root"))
-        while True:
-            up = cut(up)
-            over = up.select(F.col("node").alias("root"), F.col("root").alias("next")).filter("root != next")
-            if over.join(up.filter("node != root").select("root").distinct(), "root", "left_semi").isEmpty():
-                break
-            up = up.join(over, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-        if roots is None:
-            roots = up
-        else:
-            after = up.select(F.col("node").alias("root"), F.col("root").alias("next"))
-            roots = cut(roots.join(after, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
-        one, two = up.toDF("a", "ra"), up.toDF("b", "rb")
-        edges = cut(edges.join(one, "a").join(two, "b").filter("ra != rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
-        if edges.isEmpty():
-            return roots
-
-
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs (a, b) that aren't in one component."""
-    one, two = roots.toDF("a", "ra"), roots.toDF("b", "rb")
-    joined = pairs.join(one, "a", "left").join(two, "b", "left")
-    return joined.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select(*pairs.columns)
+        ends = star.union(star.select("root", "node")).toDF("root", "other")
+        top = ends.groupBy("root").agg(F.least("root", F.min("other")).alias("top"))
+        large = star.join(top, "root").select("node", F.col("top").alias("root"))
+        low = large.groupBy("node").agg(F.min("root").alias("low"))
+        joined = large.join(low, "node").select(F.when(F.col("root") == F.col("low"), F.col("node")).otherwise(F.col("root")).alias("node"), F.col("low").alias("root"))
+        found = Observation()
+        mark = F.bit_xor(F.xxhash64("node", "root"))
+        star = cut(joined.distinct().observe(found, F.count(F.lit(1)).alias("n"), mark.alias("mark")))
+        now = tuple(found.get.values())
+        if now == seen:
+            return star
+        seen = now
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id (the smallest id of its class): a row for each row of docs."""
-    rows = texts(docs)
-    signed = cut(rows.mapInArrow(_sign, "doc_id long, digest binary, bands array<long>"))
-    first = signed.filter("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    members = cut(signed.select("doc_id", "digest").join(first, "digest", "left").select("doc_id", "rep"))
-    reps = members.select(F.col("rep").alias("doc_id")).filter("doc_id is not null").distinct()
-    entries = signed.join(reps, "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("band")).distinct()
-    buckets = entries.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
-    shared = cut(entries.join(buckets, "band").select("band", "doc_id", "members"))
-    involved = shared.select("doc_id").distinct()
-    pool = cut(rows.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-
-    def tries(hubs_: DataFrame, order: list) -> DataFrame:
-        """(a, b): for every document b the first by order of the hubs of its buckets."""
-        pairs = shared.select("band", F.col("doc_id").alias("b")).join(hubs_, "band").filter("b != hub")
-        return pairs.groupBy("b").agg(F.min_by("hub", F.struct(*order)).alias("a")).select("a", "b")
-
-    tried = _verified(tries(shared.groupBy("band").agg(F.min("doc_id").alias("hub")), [F.col("hub")]), pool)
-    roots = components(_linked(tried, threshold))
-    central = tried.groupBy(F.col("b").alias("doc_id")).agg(F.max("s").alias("s"))
-    for turn in range(TURNS):
-        # first the members that were closest to the first hub, which have most in common with all
-        # others; then any, by another order in every turn
-        ranked = shared.join(central, "doc_id", "left").withColumn("s", F.coalesce("s", F.lit(-1.0))) if not turn else shared.withColumn("s", F.lit(0.0))
-        mark = F.struct(-F.col("s"), F.xxhash64("doc_id", F.lit(turn)), "doc_id")
-        best = ranked.groupBy("band").agg(F.min_by("doc_id", mark).alias("hub"), F.min(mark).alias("mark"))
-        more = _verified(_new(_apart(tries(best, [F.col("mark")]), roots), tried), pool)
-        tried = tried.unionByName(more)
-        roots = components(_linked(tried, threshold))
-
-    largest = shared.agg(F.max("members")).first()[0] or 0
-    sketches, size = None, SMALL
-    while True:
-        open_ = cut(_open(shared, roots))
-        if open_.isEmpty():
-            break
-        if sketches is None:  # what is open later is open now
-            sketches = cut(pool.join(open_.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_sketch, "doc_id long, sketch binary"))
-        more = _verified(_new(_rest(open_, sketches, None if size >= largest else size, threshold), tried), pool)
-        tried = tried.unionByName(more)
-        if not _linked(more, threshold).isEmpty():
-            roots = components(_linked(tried, threshold))
-        if size >= largest:
-            break
-        size *= GROWTH
-    out = members.join(roots.toDF("rep", "root"), "rep", "left")
-    return out.select("doc_id", F.coalesce("root", "rep").alias("class_id"))
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many of a text's shingles fall into each of CELLS cells, in units of `unit`, rounded up;
+    and whether no shingle repeats."""
+    for batch in batches:
+        for a, b in slices(batch.column("text"), _BLOCK):
+            part = batch.slice(a, b - a)
+            owner, keys, counts = shingles(part.column("text"))
+            cells = np.bincount(owner * CELLS + (mix64(keys) % np.uint64(CELLS)).astype(np.int64), counts, len(part) * CELLS).reshape(-1, CELLS)
+            unit = np.maximum(np.ceil(cells.max(1, initial=0) / 65535), 1)
+            packed = np.ceil(cells / unit[:, None]).astype(np.uint16)
+            total = np.bincount(owner, counts, len(part)).astype(np.int64)
+            single = np.bincount(owner, counts > 1, len(part)) == 0
+            columns = [part.column("node"), pa.array([x.tobytes() for x in packed], pa.binary()), pa.array(unit), pa.array(total), pa.array(single)]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _SKETCH.split(", ")])
+        trim()
 
 
-def _open(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """(band, doc_id, members, root, main): the members of the buckets that hold more than one
-    component; main is the largest."""
-    named = shared.join(roots.toDF("doc_id", "root"), "doc_id", "left").select("band", "doc_id", "members", F.coalesce("root", "doc_id").alias("root"))
+_SKETCH = "node long, sketch binary, unit double, total long, single boolean"
+
+
+def bounds(x: tuple, y: tuple) -> np.ndarray:
+    """An upper bound of the similarity of each of x with each of y, which are (cells, total,
+    single) of sketches. With shares p and q, a common shingle adds at most min(p_i, q_i); where
+    no shingle repeats, the similarity is the plain Jaccard one."""
+    out = np.zeros((len(x[0]), len(y[0])))
+    shares = y[0] / np.maximum(y[1], 1)[:, None]
+    for i, (cells, total, single) in enumerate(zip(*x, strict=True)):
+        out[i] = np.minimum(shares, cells / max(total, 1)).sum(1)
+        if single:
+            same = np.flatnonzero(y[2])
+            common = np.minimum(y[0][same], cells).sum(1)
+            out[i, same] = common / np.maximum(y[1][same] + total - common, 1)
+    return out
+
+
+_TILED = "band long, i int, j int, outer boolean, node long, root long, main boolean, parts int, sketch binary, unit double, total long, single boolean"
+
+
+def _tiles(threshold: float):
+    """Rows of _TILED by (band, i, j) to the pairs (a, b, parts, best) of a tile that are apart and
+    whose bound reaches the threshold; best: among the BEST of an outer node a in its tile."""
+
+    def tile(rows: pa.Table) -> pa.RecordBatch | None:
+        outer, node, root, main = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("outer", "node", "root", "main"))
+        if outer.all() or not outer.any():
+            return None
+        cells = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint16).reshape(-1, CELLS)
+        cells = (cells * rows.column("unit").to_numpy()[:, None]).astype(np.float32)
+        total, single = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("total", "single"))
+        x, y = np.flatnonzero(outer), np.flatnonzero(~outer)
+        open_ = (root[x][:, None] != root[y]) & (main[y] | (node[x][:, None] < node[y]))
+        some = open_.any(1)
+        x, open_ = x[some], open_[some]
+        bound = np.where(open_, bounds((cells[x], total[x], single[x]), (cells[y], total[y], single[y])), 0) if len(x) else np.zeros((0, len(y)))
+        a, b = np.nonzero(bound >= threshold - 1e-6)
+        if not len(a):
+            return None
+        order = np.lexsort((node[y][b], -bound[a, b], a))
+        a, b = a[order], b[order]
+        rank = np.arange(len(a)) - np.searchsorted(a, a)
+        parts = np.full(len(a), rows.column("parts")[0].as_py(), np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(node[x][a]), pa.array(node[y][b]), pa.array(parts), pa.array(rank < BEST)], ["a", "b", "parts", "best"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        key = None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("band", "i", "j")], axis=1)
+            edges = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)]) if len(keys) else []
+            for s, e in zip(edges, [*edges[1:], len(keys)], strict=True):
+                if key != tuple(keys[s]) and held:
+                    found = tile(pa.Table.from_batches(held))
+                    held = []
+                    if found is not None:
+                        yield found
+                key = tuple(keys[s])
+                held.append(batch.slice(s, e - s))
+        if held:
+            found = tile(pa.Table.from_batches(held))
+            if found is not None:
+                yield found
+
+    return run
+
+
+def _keyed(docs: DataFrame, salt: int) -> DataFrame:
+    """doc_id, node (a hash of the text), check (another), text."""
+    digest = F.sha2("text", 256)
+    return texts(docs).select("doc_id", _node(digest, salt).alias("node"), F.xxhash64(F.lit("check"), digest).alias("check"), "text")
+
+
+def _node(digest: Column, salt: int) -> Column:
+    return F.xxhash64(F.lit(salt), digest)
+
+
+def _open(shared: DataFrame, star: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold more than one component: band, node, members, hub, root, main
+    (whether in the largest one), outside (how many aren't)."""
+    named = shared.join(star, "node", "left").withColumn("root", F.coalesce("root", "node"))
     each = named.groupBy("band", "root").agg(F.count("*").alias("n"))
-    main = each.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return named.join(main, "band")
-
-
-def _rest(open_: DataFrame, sketches: DataFrame, size: int | None, threshold: float) -> DataFrame:
-    """The pairs (a, b) of a bucket that are apart and may be linked: a is outside of the main
-    component, and one of about `size` members by random order, or any. Large buckets are joined
-    in blocks of their members."""
-    blocks = F.ceil(F.col("members") / SALTED).cast("int")
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).cast("double") / float(1 << 40)
-    rows = open_.join(sketches, "doc_id").withColumn("drawn", drawn)
-    hubs = rows.filter("root != main")
-    if size is not None:
-        hubs = hubs.filter(F.col("drawn") * F.col("members") < size)
-    left = hubs.select("band", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.col("doc_id").alias("a"), F.col("root").alias("ra"), F.col("sketch").alias("x"), F.col("drawn").alias("da"))
-    right = rows.select("band", F.pmod(F.hash("doc_id", F.lit(1)), blocks).alias("block"), F.col("doc_id").alias("b"), F.col("root").alias("rb"), F.col("sketch").alias("y"), F.col("drawn").alias("db"), (F.col("root") == F.col("main")).alias("inside"))
-    once = F.col("inside") | (F.struct("da", "a") < F.struct("db", "b"))
-    pairs = left.join(right, ["band", "block"]).filter((F.col("ra") != F.col("rb")) & once)
-    return pairs.filter(_may_link(threshold)("x", "y")).select("a", "b").distinct()
-
-
-def _linked(pairs: DataFrame, threshold: float) -> DataFrame:
-    return pairs.filter(F.col("s") >= threshold).select("a", "b")
+    largest = each.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.max("n").alias("most"), F.sum("n").alias("all")).filter(F.col("all") > F.col("most"))
+    joined = named.hint("merge").join(largest, "band")
+    return cut(joined.select("band", "node", "members", "hub", "root", (F.col("root") == F.col("largest")).alias("main"), (F.col("all") - F.col("most")).alias("outside")))
+
+
+def _parts() -> Column:
+    return F.ceil(F.col("members") / TOGETHER).cast("int")
+
+
+def _some_of_main(open_: DataFrame) -> DataFrame:
+    """Pairs (a, b, parts) of every node outside its bucket's largest component with two members
+    of it, by random orders."""
+    order = [F.xxhash64("node", F.lit(k)) for k in (1, 2)]
+    picked = open_.filter("main").groupBy("band").agg(F.array(*(F.min_by("node", o) for o in order)).alias("picked"))
+    rows = open_.filter("not main").hint("merge").join(picked, "band").select(F.explode("picked").alias("a"), F.col("node").alias("b"), "hub", _parts().alias("parts"))
+    return rows.filter("a != hub and b != hub").groupBy("a", "b").agg(F.max("parts").alias("parts"))
+
+
+def _rest(open_: DataFrame, pool: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b, parts, best) of a bucket that are apart, and not known to be no link by
+    their sketches. A tile is a block of a bucket's outer nodes with a block of its members; pairs
+    with the bucket's hub were compared before."""
+    involved = open_.select("node").distinct()
+    sketches = cut(pool.join(involved, "node", "left_semi").select("node", "text").mapInArrow(_sketch, _SKETCH))
+    rows = open_.filter("node != hub").hint("merge").join(sketches, "node")
+    i = F.ceil(F.col("outside") / TOGETHER).cast("int")
+    deal = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), n).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    rest = ["node", "root", "main", _parts().alias("parts"), "sketch", "unit", "total", "single"]
+    outer = rows.filter("not main").select("band", deal(i, 4).alias("i"), spread(_parts()).alias("j"), F.lit(True).alias("outer"), *rest)
+    inner = rows.select("band", spread(i).alias("i"), deal(_parts(), 5).alias("j"), F.lit(False).alias("outer"), *rest)
+    tiled = outer.union(inner).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    pairs = tiled.mapInArrow(_tiles(threshold), "a long, b long, parts int, best boolean")
+    return cut(pairs.groupBy("a", "b").agg(F.max("parts").alias("parts"), F.max("best").alias("best")))
+
+
+def _links(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, int]:
+    """signed (doc_id, node, ...: a row for each of docs), the star (node, root) of the linked
+    nodes, and the salt of the nodes' hash."""
+    salt = 0
+    while True:
+        signed = cut(_keyed(docs, salt).mapInArrow(_sign, "doc_id long, node long, check long, bands array<long>"))
+        known = signed.filter("doc_id is not null")
+        if known.groupBy("node").agg(F.min("check").alias("x"), F.max("check").alias("y")).filter("x != y").isEmpty():
+            break
+        salt += 1  # two texts have one hash
+    once = known.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"))
+    entries = once.select(F.explode("bands").alias("band"), "node", "doc_id")
+    buckets = entries.groupBy("band").agg(F.count("*").alias("members"), F.min("node").alias("hub")).filter("members > 1")
+    shared = cut(entries.hint("merge").join(buckets, "band"))
+    involved = shared.select("node", "doc_id").distinct()
+    # by the node and the id of its first document: exact copies don't meet in one task
+    pool = _keyed(docs, salt).select("node", "doc_id", "text").hint("merge").join(involved, ["node", "doc_id"], "left_semi")
+    pool = cut(pool.dropDuplicates(["node", "doc_id"]).select("node", "text"))
+
+    links = lambda pairs: pairs.filter(F.col("s") >= threshold).select(F.col("a").alias("node"), F.col("b").alias("root"))
+    grown = lambda star, pairs: components(star.union(links(pairs)).toDF("a", "b"))
+    hubs = shared.filter("node != hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.max(_parts()).alias("parts"))
+    star = components(links(_verified(hubs, pool)).toDF("a", "b"))
+    star = grown(star, _verified(_some_of_main(_open(shared, star)), pool))
+    rest = _rest(_open(shared, star), pool, threshold)
+    star = grown(star, _verified(rest.filter("best"), pool))
+    one, two = star.toDF("a", "ra"), star.toDF("b", "rb")
+    apart = rest.filter("not best").join(one, "a", "left").join(two, "b", "left").filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b", "parts")
+    apart = cut(apart)
+    if not apart.isEmpty():
+        star = grown(star, _verified(apart, pool))
+    return signed, star, salt
+
+
+def _named(docs: DataFrame, threshold: float) -> tuple[DataFrame, int]:
+    """doc_id, node, class_id, keeper (the node that stands for the class): a row for each of
+    docs; and the salt of the nodes' hash."""
+    signed, star, salt = _links(docs, threshold)
+    known = signed.select("doc_id", "node").filter("doc_id is not null")
+    nodes = known.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    rooted = cut(nodes.hint("merge").join(star, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    least = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "node")).alias("least"), F.count("*").alias("n"))
+    of_node = _looked_up(rooted.select("root", "node", F.col("n").alias("rows")), least, "root").select("node", "least", F.col("rows").alias("n"))
+    found = _looked_up(known, cut(of_node), "node")
+    out = found.select("doc_id", "node", F.col("least.doc_id").alias("class_id"), F.col("least.node").alias("keeper"))
+    none = F.lit(None).cast("long")
+    return out.union(signed.filter("doc_id is null").select("doc_id", "node", none, none)), salt
+
+
+def _looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """rows with the column `least` of the table (key, least, n), whose n tells how many of the rows
+    have the key. Keys that stand in one of FREQUENT rows or more, which are FREQUENT at most, are
+    broadcast; the others go by a shuffle."""
+    total = table.agg(F.sum("n")).first()[0] or 0
+    often = F.col("n") * FREQUENT >= total
+    joined = rows.join(F.broadcast(table.filter(often).select(key, F.col("least").alias("often"))), key, "left")
+    few = joined.filter("often is null").drop("often").hint("merge").join(table.filter(~often).select(key, "least"), key)
+    return joined.filter("often is not null").withColumnRenamed("often", "least").unionByName(few)
 
 
-def _new(pairs: DataFrame, tried: DataFrame) -> DataFrame:
-    """The pairs, smaller id first, that weren't compared yet."""
-    ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return ordered.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id (the smallest id of its class): a row for each row of docs."""
+    return _named(docs, threshold)[0].select("doc_id", "class_id")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs with one document of each class (the smallest id), all columns as they are; rows
     without an id stay."""
-    found = cut(classes(docs, threshold))
-    gone = found.filter("doc_id != class_id").select("doc_id").distinct()
-    out = docs.join(gone.withColumnRenamed("doc_id", "gone"), F.col("doc_id").cast("long") == F.col("gone"), "left_anti")
-    repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    if repeated.isEmpty():
-        return out
-    named = out.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(out.filter("doc_id is null"))
+    named, salt = _named(docs, threshold)
+    named = cut(named.filter("doc_id is not null"))
+    node = _node(F.sha2(F.coalesce("text", F.lit("")), 256), salt)
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), node.alias("node"))
+    gone = named.filter("doc_id != class_id or node != keeper").select("doc_id", "node").distinct()
+    out = packed.hint("merge").join(gone, ["doc_id", "node"], "left_anti")
+    repeated = named.groupBy("doc_id", "node").count().filter("count > 1")
+    if not repeated.isEmpty():
+        out = out.filter("doc_id is not null").dropDuplicates(["doc_id", "node"]).unionByName(out.filter("doc_id is null"))
+    return out.select("row.*")
