@@ -181,7 +181,7 @@ def test_near_duplicates_against_brute_force(spark):
 
 def test_near_duplicates_in_large_buckets(spark, monkeypatch):
     """Groups of near copies whose buckets mix with many documents of one passage, in several tiles."""
-    monkeypatch.setattr(neardup, "TOGETHER", 24)
+    monkeypatch.setattr(neardup, "TOGETHER", 4000)
     r = random.Random(5)
     passage = " ".join(f"p{i}" for i in range(100))
     tail = lambda: " ".join(f"t{r.random()}" for _ in range(22))
@@ -208,27 +208,26 @@ def test_near_duplicates_around_the_threshold(spark, monkeypatch):
                 words[r.randrange(200)] = f"e{r.random()}"
             texts.append(" ".join(words))
     docs = list(enumerate(texts))
-    monkeypatch.setattr(neardup, "TOGETHER", 50)
+    monkeypatch.setattr(neardup, "TOGETHER", 12000)
     rows = neardup.classes(odd(spark, docs)).collect()
     monkeypatch.setitem(globals(), "probability_jaccard", lambda a, b: len(a.keys() & b.keys()) / len(a.keys() | b.keys()))
     assert {r["doc_id"]: r["class_id"] for r in rows} == brute_classes(docs)
 
 
-def test_near_duplicates_bound():
-    """Sketches never rule out a pair that reaches the threshold."""
+def test_near_duplicates_in_a_tile():
+    """Links inside a tile are those of single pairs, with and without repeated shingles."""
     r = random.Random(7)
     made = [" ".join(r.choice("abc") for _ in range(r.randint(5, 60))) for _ in range(60)]
     made += [f"{x} {r.choice('abc')}" for x in made]
     made += [" ".join(f"{w}{k}" for k, w in enumerate(x.split())) for x in made[:40]]  # no shingle repeats
+    made += [f"{x} {r.choice('abc')}" for x in made[-40:]]
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(made))), pa.array(made)], ["node", "text"])
-    rows = pa.Table.from_batches(neardup._sketch([batch]))
-    cells = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint16).reshape(len(made), -1) * rows["unit"].to_numpy()[:, None]
-    own = (cells, rows["total"].to_numpy(), rows["single"].to_numpy())
-    assert own[2].any() and not own[2].all()
-    bound, sets = neardup.bounds(own, own), [counted(t) for t in made]
-    for i in range(len(made)):
-        for j in range(i):
-            assert probability_jaccard(sets[i], sets[j]) <= bound[i, j] + 1e-9
+    rows = pa.Table.from_batches(neardup._vectors([batch]))
+    many = neardup.Many(rows["keys"].to_pylist(), rows["counts"].to_pylist())
+    assert many.single.any() and not many.single.all()
+    own = neardup._split(pa.array(made))
+    for i, found in many.links(np.arange(0, len(made), 7), np.arange(len(made)), 0.8):
+        assert sorted(found.tolist()) == [j for j, x in enumerate(own) if neardup.similarity(own[i], x) >= 0.8]
 
 
 def test_near_duplicates_of_one_id(spark, monkeypatch):

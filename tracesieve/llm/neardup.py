@@ -8,12 +8,11 @@ firsts. Two texts agree in a register with their probability Jaccard similarity.
 joined in bands; documents that share a band are candidates, and a pair is linked if its exact
 probability Jaccard similarity (plain Jaccard where no shingle repeats) reaches THRESHOLD.
 
-A distinct text is a node, named by a hash (checked by a second one). Nodes of a band's bucket are
-first compared with its hub, the smallest; those outside the bucket's largest component then with
-two more members of that; and at last, in buckets of any size, with all members that they are
-still apart from, in tiles of TOGETHER by TOGETHER. Spared are only pairs of one component, whose
-link changes nothing, and pairs that can't reach the threshold by an upper bound from how their
-shingles fall into cells. So the classes are those of all links between texts that share a band.
+A distinct text is a node, named by a hash (checked by a second one). Nodes are first compared with
+a hub, the smallest of their buckets; those outside their buckets' largest components then with a
+few members of these; and at last, in buckets of any size, with all members that they are still
+apart from, in tiles of bounded size. Spared are only pairs of one component, whose link changes
+nothing. So the classes are those of all links between texts that share a band.
 Links stay distributed; classes are found by large and small stars.
 
 Empty and null texts have no shingles: they are copies of texts that are exactly equal, nothing
@@ -26,6 +25,7 @@ ignored by `classes` and kept by `keep_one`.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +37,9 @@ from tracesieve.llm.common import byte_view, cut, mix64, slices, span_hashes, te
 WORDS, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares no band once in 1,500.
 BANDS, ROWS = 40, 8
-#: Cells of a sketch; members of a bucket in a tile; pairs of a node in its tile that are compared
-#: before the others; most keys that are looked up by a broadcast.
-CELLS, TOGETHER, BEST, FREQUENT = 256, 512, 4, 500
+#: Shingles of a bucket's texts in a side of a tile; members of the largest components that a node
+#: outside of them is compared with first; most keys that are looked up by a broadcast.
+TOGETHER, OTHERS, FREQUENT = 200_000, 4, 500
 _BLOCK = 2_000_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -92,15 +92,16 @@ def signatures(owner: np.ndarray, keys: np.ndarray, counts: np.ndarray, n: int,
 
 
 def bands(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(texts with shingles, BANDS) keys, and which texts those are."""
+    """(texts with shingles, BANDS) keys, and the distinct shingles of every text."""
     owner, keys, counts = shingles(column)
+    size = np.bincount(owner, minlength=len(column))
     some, own = np.unique(owner, return_inverse=True)
     which = signatures(own, keys, counts, len(some)).reshape(len(some), BANDS, ROWS)
     out = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), which.shape[:2]).copy()
     with np.errstate(over="ignore"):
         for j in range(ROWS):
             out = mix64(out * np.uint64(31) + which[:, :, j])
-    return out.view(np.int64), some
+    return out.view(np.int64), size
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -136,9 +137,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in slices(batch.column("text"), _BLOCK):
             part = batch.slice(a, b - a)
-            keys, some = bands(part.column("text"))
-            at = np.r_[0, np.cumsum(np.bincount(some, minlength=b - a))] * BANDS
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "node", "check")), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys.ravel()))], ["doc_id", "node", "check", "bands"])
+            keys, size = bands(part.column("text"))
+            at = np.r_[0, np.cumsum(size > 0)] * BANDS
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "node", "check")), pa.array(size, pa.int32()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys.ravel()))], ["doc_id", "node", "check", "size", "bands"])
         trim()
 
 
@@ -200,68 +201,104 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many of a text's shingles fall into each of CELLS cells, in units of `unit`, rounded up;
-    and whether no shingle repeats."""
+_VECTOR = "node long, keys binary, counts binary"
+
+
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, text) to _VECTOR: sorted hashes of the shingles, and their counts where any repeats."""
     for batch in batches:
         for a, b in slices(batch.column("text"), _BLOCK):
-            part = batch.slice(a, b - a)
-            owner, keys, counts = shingles(part.column("text"))
-            cells = np.bincount(owner * CELLS + (mix64(keys) % np.uint64(CELLS)).astype(np.int64), counts, len(part) * CELLS).reshape(-1, CELLS)
-            unit = np.maximum(np.ceil(cells.max(1, initial=0) / 65535), 1)
-            packed = np.ceil(cells / unit[:, None]).astype(np.uint16)
-            total = np.bincount(owner, counts, len(part)).astype(np.int64)
-            single = np.bincount(owner, counts > 1, len(part)) == 0
-            columns = [part.column("node"), pa.array([x.tobytes() for x in packed], pa.binary()), pa.array(unit), pa.array(total), pa.array(single)]
-            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _SKETCH.split(", ")])
+            found = _split(batch.column("text").slice(a, b - a))
+            counts = [c.astype(np.uint32).tobytes() if c.max(initial=1) > 1 else None for _, c in found]
+            yield pa.RecordBatch.from_arrays([batch.column("node").slice(a, b - a), pa.array([k.tobytes() for k, _ in found], pa.binary()), pa.array(counts, pa.binary())], ["node", "keys", "counts"])
         trim()
 
 
-_SKETCH = "node long, sketch binary, unit double, total long, single boolean"
-
-
-def bounds(x: tuple, y: tuple) -> np.ndarray:
-    """An upper bound of the similarity of each of x with each of y, which are (cells, total,
-    single) of sketches. With shares p and q, a common shingle adds at most min(p_i, q_i); where
-    no shingle repeats, the similarity is the plain Jaccard one."""
-    out = np.zeros((len(x[0]), len(y[0])))
-    shares = y[0] / np.maximum(y[1], 1)[:, None]
-    for i, (cells, total, single) in enumerate(zip(*x, strict=True)):
-        out[i] = np.minimum(shares, cells / max(total, 1)).sum(1)
-        if single:
-            same = np.flatnonzero(y[2])
-            common = np.minimum(y[0][same], cells).sum(1)
-            out[i, same] = common / np.maximum(y[1][same] + total - common, 1)
-    return out
-
-
-_TILED = "band long, i int, j int, outer boolean, node long, root long, main boolean, parts int, sketch binary, unit double, total long, single boolean"
+class Side(NamedTuple):
+    members: np.ndarray
+    size: np.ndarray
+    starts: np.ndarray
+    place: np.ndarray
+    shares: np.ndarray
+
+
+class Many:
+    """Vectors of several texts, laid one after the other; place: of each shingle among all."""
+
+    def __init__(self, keys: list[bytes], counts: list[bytes | None]) -> None:
+        own = [np.frombuffer(k, np.uint64) for k in keys]
+        self.at = np.r_[0, np.cumsum([len(k) for k in own])].astype(np.int64)
+        self.single = np.array([c is None for c in counts], bool)
+        self.counts = np.concatenate([np.empty(0), *(np.ones(len(k)) if c is None else np.frombuffer(c, np.uint32) for k, c in zip(own, counts, strict=True))])
+        self.keys, self.place = np.unique(np.concatenate([np.empty(0, np.uint64), *own]), return_inverse=True)
+        size = np.diff(self.at)
+        total = np.add.reduceat(self.counts, self.at[:-1]) if len(own) else np.empty(0)
+        self.size, self.shares = size, (self.counts / np.repeat(total, size)).astype(np.float32)
+
+    def of(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        part = slice(self.at[i], self.at[i + 1])
+        return self.keys[self.place[part]], self.counts[part]
+
+    def side(self, members: np.ndarray) -> Side:
+        """The shingles of the members in a row."""
+        size = self.size[members]
+        starts = np.r_[0, np.cumsum(size)[:-1]]
+        flat = np.repeat(self.at[members] - starts, size) + np.arange(size.sum())
+        return Side(members, size, starts, self.place[flat], self.shares[flat])
+
+    def plain(self, i: int, side: Side, threshold: float) -> np.ndarray:
+        """Which of the side reach the threshold with i by plain Jaccard similarity."""
+        mark = np.zeros(len(self.keys), np.uint8)
+        mark[self.place[self.at[i] : self.at[i + 1]]] = 1
+        both = np.add.reduceat(mark[side.place], side.starts, dtype=np.int64)
+        return both / (side.size + self.size[i] - both) >= threshold
+
+    def weighted(self, i: int, side: Side, threshold: float) -> np.ndarray:
+        """Which of the side reach the threshold with i by probability Jaccard similarity: a common
+        shingle adds the lesser of its shares at most, and only pairs that this leaves open are
+        computed."""
+        own = slice(self.at[i], self.at[i + 1])
+        share = np.zeros(len(self.keys), np.float32)
+        share[self.place[own]] = self.shares[own]
+        bound = np.add.reduceat(np.minimum(share[side.place], side.shares), side.starts)
+        out = np.zeros(len(bound), bool)
+        for j in np.flatnonzero(bound >= threshold - 1e-4):
+            out[j] = similarity(self.of(i), self.of(side.members[j])) >= threshold
+        return out
+
+    def links(self, outer: np.ndarray, inner: np.ndarray, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
+        """Each of outer with the members of inner that reach the threshold with it."""
+        once, again = (self.side(inner[self.single[inner] == x]) for x in (True, False))
+        for i in outer:
+            found = []
+            if len(once.members):
+                found.append(once.members[(self.plain if self.single[i] else self.weighted)(i, once, threshold)])
+            if len(again.members):
+                found.append(again.members[self.weighted(i, again, threshold)])
+            yield i, np.concatenate([np.empty(0, np.int64), *found])
+
+
+_TILED = "band long, i int, j int, outer boolean, node long, root long, main boolean, keys binary, counts binary"
 
 
 def _tiles(threshold: float):
-    """Rows of _TILED by (band, i, j) to the pairs (a, b, parts, best) of a tile that are apart and
-    whose bound reaches the threshold; best: among the BEST of an outer node a in its tile."""
+    """Rows of _TILED by (band, i, j) to the links (a, b) between nodes of a tile that are apart; of
+    links that connect the same, the first."""
 
     def tile(rows: pa.Table) -> pa.RecordBatch | None:
         outer, node, root, main = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("outer", "node", "root", "main"))
         if outer.all() or not outer.any():
             return None
-        cells = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint16).reshape(-1, CELLS)
-        cells = (cells * rows.column("unit").to_numpy()[:, None]).astype(np.float32)
-        total, single = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("total", "single"))
-        x, y = np.flatnonzero(outer), np.flatnonzero(~outer)
-        open_ = (root[x][:, None] != root[y]) & (main[y] | (node[x][:, None] < node[y]))
-        some = open_.any(1)
-        x, open_ = x[some], open_[some]
-        bound = np.where(open_, bounds((cells[x], total[x], single[x]), (cells[y], total[y], single[y])), 0) if len(x) else np.zeros((0, len(y)))
-        a, b = np.nonzero(bound >= threshold - 1e-6)
-        if not len(a):
-            return None
-        order = np.lexsort((node[y][b], -bound[a, b], a))
-        a, b = a[order], b[order]
-        rank = np.arange(len(a)) - np.searchsorted(a, a)
-        parts = np.full(len(a), rows.column("parts")[0].as_py(), np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(node[x][a]), pa.array(node[y][b]), pa.array(parts), pa.array(rank < BEST)], ["a", "b", "parts", "best"])
+        many = Many(rows.column("keys").to_pylist(), rows.column("counts").to_pylist())
+        _, root = np.unique(root, return_inverse=True)
+        inner = np.flatnonzero(~outer & (many.size > 0))
+        out = []
+        for x, others in many.links(np.flatnonzero(outer & (many.size > 0)), inner, threshold):
+            for y in others:
+                if root[x] != root[y]:
+                    out.append((node[x], node[y]))
+                    root[root == root[y]] = root[x]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"]) if out else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -281,6 +318,7 @@ def _tiles(threshold: float):
             found = tile(pa.Table.from_batches(held))
             if found is not None:
                 yield found
+        trim()
 
     return run
 
@@ -296,44 +334,46 @@ def _node(digest: Column, salt: int) -> Column:
 
 
 def _open(shared: DataFrame, star: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold more than one component: band, node, members, hub, root, main
-    (whether in the largest one), outside (how many aren't)."""
+    """Rows of the buckets that hold more than one component: band, node, members (their shingles),
+    root, main (whether in the largest one), outside (the shingles of those that aren't)."""
     named = shared.join(star, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    each = named.groupBy("band", "root").agg(F.count("*").alias("n"))
+    each = named.groupBy("band", "root").agg(F.sum(_size()).alias("n"))
     largest = each.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.max("n").alias("most"), F.sum("n").alias("all")).filter(F.col("all") > F.col("most"))
     joined = named.hint("merge").join(largest, "band")
-    return cut(joined.select("band", "node", "members", "hub", "root", (F.col("root") == F.col("largest")).alias("main"), (F.col("all") - F.col("most")).alias("outside")))
+    return cut(joined.select("band", "node", "members", "root", (F.col("root") == F.col("largest")).alias("main"), (F.col("all") - F.col("most")).alias("outside")))
 
 
 def _parts() -> Column:
     return F.ceil(F.col("members") / TOGETHER).cast("int")
 
 
+def _size() -> Column:
+    return F.col("size") + 50  # a short text isn't for free
+
+
 def _some_of_main(open_: DataFrame) -> DataFrame:
-    """Pairs (a, b, parts) of every node outside its bucket's largest component with two members
-    of it, by random orders."""
-    order = [F.xxhash64("node", F.lit(k)) for k in (1, 2)]
-    picked = open_.filter("main").groupBy("band").agg(F.array(*(F.min_by("node", o) for o in order)).alias("picked"))
-    rows = open_.filter("not main").hint("merge").join(picked, "band").select(F.explode("picked").alias("a"), F.col("node").alias("b"), "hub", _parts().alias("parts"))
-    return rows.filter("a != hub and b != hub").groupBy("a", "b").agg(F.max("parts").alias("parts"))
+    """Pairs (a, b, parts) of every node outside its bucket's largest component with members of
+    that, OTHERS at most, by random orders."""
+    picked = open_.filter("main").groupBy("band").agg(*(F.min_by("node", F.xxhash64("node", F.lit(k))).alias(f"a{k}") for k in range(2)))
+    rows = open_.filter("not main").hint("merge").join(picked, "band").select(F.explode(F.array("a0", "a1")).alias("a"), F.col("node").alias("b"), _parts().alias("parts"))
+    each = rows.groupBy("b").agg(F.max("parts").alias("parts"), F.array(*(F.min_by("a", F.xxhash64("a", "b", F.lit(k))) for k in range(OTHERS))).alias("a"))
+    return each.select(F.explode(F.array_distinct("a")).alias("a"), "b", "parts")
 
 
 def _rest(open_: DataFrame, pool: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b, parts, best) of a bucket that are apart, and not known to be no link by
-    their sketches. A tile is a block of a bucket's outer nodes with a block of its members; pairs
-    with the bucket's hub were compared before."""
-    involved = open_.select("node").distinct()
-    sketches = cut(pool.join(involved, "node", "left_semi").select("node", "text").mapInArrow(_sketch, _SKETCH))
-    rows = open_.filter("node != hub").hint("merge").join(sketches, "node")
+    """The links (a, b) between nodes of a bucket that are apart. A tile is a block of a bucket's
+    nodes outside its largest component with a block of its members; blocks are bounded by the
+    shingles of their texts."""
+    vectors = cut(pool.join(open_.select("node").distinct(), "node", "left_semi").mapInArrow(_vectors, _VECTOR))
+    rows = open_.hint("merge").join(vectors, "node")
     i = F.ceil(F.col("outside") / TOGETHER).cast("int")
     deal = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), n).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    rest = ["node", "root", "main", _parts().alias("parts"), "sketch", "unit", "total", "single"]
+    rest = ["node", "root", "main", "keys", "counts"]
     outer = rows.filter("not main").select("band", deal(i, 4).alias("i"), spread(_parts()).alias("j"), F.lit(True).alias("outer"), *rest)
     inner = rows.select("band", spread(i).alias("i"), deal(_parts(), 5).alias("j"), F.lit(False).alias("outer"), *rest)
     tiled = outer.union(inner).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    pairs = tiled.mapInArrow(_tiles(threshold), "a long, b long, parts int, best boolean")
-    return cut(pairs.groupBy("a", "b").agg(F.max("parts").alias("parts"), F.max("best").alias("best")))
+    return cut(tiled.mapInArrow(_tiles(threshold), "a long, b long"))
 
 
 def _links(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, int]:
@@ -341,14 +381,14 @@ def _links(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, int
     nodes, and the salt of the nodes' hash."""
     salt = 0
     while True:
-        signed = cut(_keyed(docs, salt).mapInArrow(_sign, "doc_id long, node long, check long, bands array<long>"))
+        signed = cut(_keyed(docs, salt).mapInArrow(_sign, "doc_id long, node long, check long, size int, bands array<long>"))
         known = signed.filter("doc_id is not null")
         if known.groupBy("node").agg(F.min("check").alias("x"), F.max("check").alias("y")).filter("x != y").isEmpty():
             break
         salt += 1  # two texts have one hash
-    once = known.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"))
-    entries = once.select(F.explode("bands").alias("band"), "node", "doc_id")
-    buckets = entries.groupBy("band").agg(F.count("*").alias("members"), F.min("node").alias("hub")).filter("members > 1")
+    once = known.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"), F.any_value("size").alias("size"))
+    entries = once.select(F.explode("bands").alias("band"), "node", "doc_id", "size")
+    buckets = entries.groupBy("band").agg(F.sum(_size()).alias("members"), F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub != last").drop("last")
     shared = cut(entries.hint("merge").join(buckets, "band"))
     involved = shared.select("node", "doc_id").distinct()
     # by the node and the id of its first document: exact copies don't meet in one task
@@ -357,16 +397,11 @@ def _links(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, int
 
     links = lambda pairs: pairs.filter(F.col("s") >= threshold).select(F.col("a").alias("node"), F.col("b").alias("root"))
     grown = lambda star, pairs: components(star.union(links(pairs)).toDF("a", "b"))
-    hubs = shared.filter("node != hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.max(_parts()).alias("parts"))
+    hubs = shared.filter("node != hub").groupBy(F.col("node").alias("b")).agg(F.min("hub").alias("a"), F.max(_parts()).alias("parts"))
     star = components(links(_verified(hubs, pool)).toDF("a", "b"))
     star = grown(star, _verified(_some_of_main(_open(shared, star)), pool))
-    rest = _rest(_open(shared, star), pool, threshold)
-    star = grown(star, _verified(rest.filter("best"), pool))
-    one, two = star.toDF("a", "ra"), star.toDF("b", "rb")
-    apart = rest.filter("not best").join(one, "a", "left").join(two, "b", "left").filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b", "parts")
-    apart = cut(apart)
-    if not apart.isEmpty():
-        star = grown(star, _verified(apart, pool))
+    found = _rest(_open(shared, star), pool, threshold)
+    star = components(star.toDF("a", "b").union(found))
     return signed, star, salt
 
 
