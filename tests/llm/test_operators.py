@@ -14,7 +14,7 @@ import pytest
 
 from tracesieve.llm import bpe, language, lm, neardup, pages, quality, secrets, templates, toxicity, vectors
 
-VOCABULARY, PATTERN = P.path("byte_bpe_50k.json"), P.PATTERN
+VOCABULARY, RANKS, PATTERN = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN
 #: A null, an empty, a blank, repeated rows, a null id, long words, odd spaces, a clashing column.
 ODD = [(1, None), (2, ""), (3, " \n\t"), (4, "same text here"), (4, "same text here"), (None, "no id"), (5, "x" * 5000), (6, "a b 　 c\x85d é日😀"), (7, "one"), (8, "word " * 3000)]
 
@@ -48,7 +48,7 @@ def small_lm(monkeypatch):
 def test_lm_base(spark, small_lm, monkeypatch):
     monkeypatch.setattr(lm, "HEAD", 20)  # so that most words take the join
     docs = [*ODD, *enumerate(made_up(40), 100)]
-    rows = lm.scores(odd(spark, docs), VOCABULARY, PATTERN).collect()
+    rows = lm.scores(odd(spark, docs), RANKS, PATTERN).collect()
     assert len(rows) == len(docs)
     cut = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     rest = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 7
@@ -66,11 +66,38 @@ def test_lm_base(spark, small_lm, monkeypatch):
         got[r["doc_id"]].append((r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)))
         assert r["score"] < 0
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
-    assert lm.scores(none(spark), VOCABULARY, PATTERN).count() == 0
+    assert lm.scores(none(spark), RANKS, PATTERN).count() == 0
+    # no training rows: no word is known
+    held = [i for i in range(40) if rest(i) == 2]
+    for r in lm.scores(odd(spark, [(i, "some words") for i in held]), RANKS, PATTERN).collect():
+        assert (r["n_known"], r["train_tokens"], r["base_score"], r["held_out"]) == (0, 0, 0.0, True) and r["score"] < 0
+
+
+def test_lm_words_are_encoded_as_alone():
+    r = random.Random(4)
+    letters = [*map(chr, range(33, 0x250)), *"\u3000\u200b\xa0\x1c\x85日😀''"]
+    words = ["".join(r.choice(letters) for _ in range(r.randint(1, 9))) for _ in range(3000)] + ["don't", "x\xa0", "'s", "12345", "a1b2"]
+    model = lm.subwords(RANKS, PATTERN)
+    for some in (words, words[-1:], ["\xa0"], [], [w for w in words if w.isascii() and w.isprintable()]):
+        ids, at = model.of_words(some)
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [model.encode(" " + w) for w in some]
+
+
+def test_lm_rounds_learn_from_all_texts(spark, small_lm, monkeypatch):
+    """Rounds see windows of every task's texts, and lower the loss."""
+    docs = odd(spark, list(enumerate(made_up(80)))).repartition(4)
+    ids = lm.encoded(docs, RANKS, PATTERN)
+    monkeypatch.setattr(lm, "SHARE", 1)
+    monkeypatch.setattr(lm, "ROUNDS", 0)
+    size = len(lm.subwords(RANKS, PATTERN).begins)
+    loss = lambda m: -np.mean(m.log_probabilities(*lm.encode_texts(pa.array(made_up(20, 5)), RANKS, PATTERN)))
+    few = loss(lm.train(ids, size))
+    monkeypatch.setattr(lm, "ROUNDS", 4)
+    assert loss(lm.train(ids, size)) < few
 
 
 def model(steps):
-    ids, at = lm.encode_texts(pa.array(made_up(60)), VOCABULARY, PATTERN, 50_256)
+    ids, at = lm.encode_texts(pa.array(made_up(60)), RANKS, PATTERN)
     m = lm.Model(np.bincount(ids, minlength=50_257), 50_256)
     m.use_counts(np.bincount(m.pairs(ids, at), minlength=lm.VOCABULARY**2))
     losses = m.learn(ids, at, steps)

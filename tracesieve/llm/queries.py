@@ -10,7 +10,7 @@ from tracesieve.llm.common import table
 
 
 def op1_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return lm.scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op2_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
