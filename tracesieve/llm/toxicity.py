@@ -7,7 +7,7 @@ distinct features. The classifier learns from a bounded sample of the labelled t
 (SAMPLE of each class, by the order of a hash of the id); the intercept is corrected for that.
 
 Null and empty texts have no features and get the score of the intercept. No training rows: 0.
-Repeated rows count as often as they stand. Other columns are ignored.
+Repeated and conflicting labels count as often as they stand, and so do repeated documents. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracesieve.llm.common import NO_LETTER, bucket, byte_view, lowered, mix64, slices, span_hashes, texts, word_spans
+from tracesieve.llm.common import NO_LETTER, bucket, byte_view, cut, lowered, mix64, slices, span_hashes, texts, word_spans
 
 THRESHOLD = 0.3
 BITS = 20
@@ -50,20 +50,21 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to (doc_id, f): the distinct features."""
+    """(doc_id, content, text) to (doc_id, content, f): the distinct features."""
     for batch in batches:
         for a, b in slices(batch.column("text"), _BLOCK):
             part = batch.slice(a, b - a)
             owner, key = grams(part.column("text"))
             both = np.unique((owner.astype(np.int64) << 32) | key)
             at = np.searchsorted(both >> 32, np.arange(b - a + 1))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array((both & 0xFFFFFFFF).astype(np.int32)))], ["doc_id", "f"])
+            f = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array((both & 0xFFFFFFFF).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("content"), f], ["doc_id", "content", "f"])
 
 
 def ftrl(rows: list[tuple[int, np.ndarray]], epochs: int = 6, alpha: float = 1.0, beta: float = 1.0, l1: float = 4.0, l2: float = 0.1) -> tuple[np.ndarray, float]:
     """Weights and intercept from (label, features) rows, taken in order."""
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    z0 = n0 = b = 0.0
+    z0 = n0 = 0.0
     for _ in range(epochs):
         for y, f in rows:
             zf, root = z[f], np.sqrt(n[f])
@@ -76,7 +77,7 @@ def ftrl(rows: list[tuple[int, np.ndarray]], epochs: int = 6, alpha: float = 1.0
             s0 = (np.sqrt(n0 + g * g) - np.sqrt(n0)) / alpha
             z0, n0 = z0 + g - s0 * b, n0 + g * g
     w = np.where(np.abs(z) > l1, (np.sign(z) * l1 - z) / ((beta + np.sqrt(n)) / alpha + l2), 0.0)
-    return w, b
+    return w, float(-z0 / ((beta + np.sqrt(n0)) / alpha))
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,18 +97,20 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, f
     """Features that have a weight (in order), their weights, and the intercept. Learns from the
     rows whose bucket (crc32 of the id, mod 4) is not 2."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label")).filter("label in (0, 1)").filter(bucket("doc_id", 4) != 2)
-    there = known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
+    own = texts(docs).select("doc_id", F.xxhash64("text").alias("content"))
+    there = own.join(known, "doc_id")  # a row for each document and label
     count = dict(there.groupBy("label").count().collect())
     if not count:
         return np.empty(0, np.int32), np.empty(0), -np.inf
     picked = None
     for y, most in SAMPLE.items():
-        part = there.filter(F.col("label") == y).withColumn("at", F.xxhash64("doc_id")).orderBy("at", "doc_id").limit(most)
+        part = there.filter(F.col("label") == y).withColumn("at", F.xxhash64("doc_id")).orderBy("at", "doc_id", "content").limit(most)
         picked = part if picked is None else picked.unionByName(part)
-    # at most sum(SAMPLE) ids, a bounded broadcast
-    rows = texts(docs).join(F.broadcast(picked), "doc_id")
-    sample = rows.select("doc_id", "text").mapInArrow(_features, "doc_id long, f array<int>").join(F.broadcast(picked), "doc_id")
-    weights = sample.repartition(1).sortWithinPartitions("at", "doc_id").select("label", "f").mapInArrow(_learn, "i int, w double").toPandas().sort_values("i")
+    picked = cut(picked)  # at most sum(SAMPLE) rows, a bounded broadcast
+    key = ["doc_id", "content"]
+    rows = texts(docs).withColumn("content", F.xxhash64("text")).join(F.broadcast(picked.select(*key).distinct()), key, "left_semi").dropDuplicates(key)
+    sample = rows.mapInArrow(_features, "doc_id long, content long, f array<int>").join(F.broadcast(picked), key)
+    weights = sample.repartition(1).sortWithinPartitions("at", "doc_id", "content", "label").select("label", "f").mapInArrow(_learn, "i int, w double").toPandas().sort_values("i")
     drawn = {y: min(count.get(y, 0), most) for y, most in SAMPLE.items()}
     shift = sum((1 - 2 * y) * np.log(max(drawn[y], 1) / max(count.get(y, 0), 1)) for y in SAMPLE)
     i, w = weights["i"].to_numpy(np.int32), weights["w"].to_numpy(float)
