@@ -15,7 +15,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracesieve.llm.common import cut, texts
@@ -32,7 +32,7 @@ _PEM = re.compile(
     |(?:(?:\s|\\[nr])+[A-Za-z-]+:\x20[^\n\\]*)*(?:(?:\s|\\[nr])+[A-Za-z0-9+/]{16,}={0,2})+(?:[ \t\r]*\n[ \t]*[A-Za-z0-9+/]+={0,2}[ \t\r]*(?=\n|\Z))?)?""",
     re.S | re.X,
 )
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+_DOTTED = re.compile(r"[A-Za-z0-9_.-]+")
 _GIT = re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}")
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -52,12 +52,29 @@ def find_spans(text: str) -> list[tuple[int, int, str]]:
     if "PRIVATE KEY-----" in text:
         out += [(m.start(), m.end(), "pem") for m in _PEM.finditer(text)]
     if "eyJ" in text:
-        out += [(m.start(), m.end(), "jwt") for m in _JWT.finditer(text)]
+        out += [(a, b, "jwt") for a, b in _web_tokens(text)]
     if "gh" in text:
         out += [(m.start(), m.end(), "git") for m in _GIT.finditer(text)]
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+def _web_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Three parts joined by dots, of which the first two begin with eyJ; every run of parts is read once."""
+    for m in _DOTTED.finditer(text):
+        parts = m[0].split(".") if "eyJ" in m[0] else []
+        at = [m.start()]
+        for x in parts:
+            at.append(at[-1] + len(x) + 1)
+        i = 0
+        while i + 2 < len(parts):
+            j = parts[i].find("eyJ")
+            if j >= 0 and len(parts[i]) - j >= 11 and parts[i + 1].startswith("eyJ") and len(parts[i + 1]) >= 11 and len(parts[i + 2]) >= 8:
+                yield at[i] + j, at[i + 3] - 1
+                i += 3
+            else:
+                i += 1
+
+
 def spans_text(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
 
@@ -137,6 +154,24 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str = R
     return findings(docs, rows)
 
 
+def update(docs: DataFrame, path: str, rule_version: str = RULE_VERSION) -> DataFrame:
+    """As scan, with the ledger kept in the table at path (a shared folder): what it lacks is scanned
+    and added to it, then findings are read from it. An interrupted run adds nothing or all of its
+    rows; a later one takes up from there."""
+    spark = docs.sparkSession
+    schema = scan_unseen(docs.limit(0)).schema
+    if not _there(spark, path):
+        spark.createDataFrame([], schema).write.parquet(path)
+    scan_unseen(docs, spark.read.schema(schema).parquet(path), rule_version).write.mode("append").parquet(path)
+    ledger = spark.read.schema(schema).parquet(path).filter(F.col("rule_version") == rule_version)
+    return findings(docs, ledger.dropDuplicates(["blob"]))
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def put_out(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str = RULE_VERSION) -> DataFrame:
     """docs, all rows and columns, with "[secret]" in place of every span in text, and n_chars
     (where there is such a column) of the new text. Texts without findings stay as they are."""
