@@ -11,11 +11,11 @@ rows: a result for each. Ties go to the first language by name. Other columns ar
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +25,7 @@ BITS = 16
 #: Words in a segment, iterations, and nats for a further language per log of the segments.
 SEGMENT, ITERATIONS, PENALTY = 4, 8, 2.0
 _BLOCK = 2_000_000
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def ngrams(data: np.ndarray) -> np.ndarray:
