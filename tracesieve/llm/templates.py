@@ -7,8 +7,8 @@ item that hit a document are laid over it, and the slots must be consistent: one
 always stands for one value of the document. So questions with other numbers or names are caught.
 
 A pair counts as contaminated when consistent windows cover COVERED of the item's canonical words,
-or LONG of them. Windows with fewer than half literal words aren't looked up. Items shorter than
-the window are looked up whole; items of no literal word never match. Null or empty texts and
+or LONG of them. Windows with fewer than half literal words are looked up by their exact values. Items shorter than
+the window are looked up whole; such items of less than LEAST words, half of them no literal ones, never match. Null or empty texts and
 empty tables: no rows. Repeated documents and items: a row for each. Other columns are ignored.
 """
 
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from tracesieve.llm.common import byte_view, lowered, slices, span_hashes, texts, trim, word_spans
 
 WINDOW, COVERED, LONG = 7, 0.5, 24
+#: Least words of a window that is looked up by its exact values; rows of hits held at once.
+LEAST, AT_ONCE = 4, 1_000_000
 #: Most canonical words of the benchmark in one broadcast; a larger benchmark goes in blocks of
 #: items, each a further pass over the documents.
 BLOCK_WORDS = 4_000_000
@@ -85,21 +87,32 @@ def canonical(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return np.where(kind == LITERAL, value, kind.astype(np.uint64)), kind, value, np.searchsorted(owner, np.arange(n + 1))
 
 
-def windows(codes: np.ndarray, kinds: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of every window inside a text that is literal by half at least."""
+def windows(codes: np.ndarray, kinds: np.ndarray, values: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of every window inside a text. Windows with fewer than half literal words are
+    told by their exact values (from LEAST words on), the others by their template."""
     count = len(codes) - size + 1
     if count <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
+    literal = np.r_[0, np.cumsum(kinds == LITERAL)]
+    exact = 2 * (literal[size:] - literal[:-size]) < size
+    end = np.repeat(offsets[1:], np.diff(offsets))[:count]
+    inside = np.arange(count) + size <= end
+    h = _rolled(codes, size, count)
+    if exact.any():
+        h = np.where(exact, _rolled(values, size, count) ^ np.uint64(0x5555), h)
+        inside &= ~exact | (size >= LEAST)
+    start = np.flatnonzero(inside)
+    return start, h[start]
+
+
+def _rolled(codes: np.ndarray, size: int, count: int) -> np.ndarray:
     h = np.zeros(count, np.uint64)
     with np.errstate(over="ignore"):
         for j in range(size):
             h = h * np.uint64(0x100000001B3) + codes[j : j + count]
         h ^= h >> np.uint64(29)
         h *= np.uint64(0x9E3779B97F4A7C15)
-    literal = np.r_[0, np.cumsum(kinds == LITERAL)]
-    end = np.repeat(offsets[1:], np.diff(offsets))[:count]
-    start = np.flatnonzero((2 * (literal[size:] - literal[:-size]) >= size) & (np.arange(count) + size <= end))
-    return start, h[start]
+    return h
 
 
 class Index:
@@ -111,7 +124,7 @@ class Index:
         size = np.diff(self.offsets)
         self.by_size = {}
         for n in sorted({min(WINDOW, int(x)) for x in size if x}):
-            start, h = windows(self.codes, self.kinds, self.offsets, n)
+            start, h = windows(self.codes, self.kinds, self.values, self.offsets, n)
             item = np.searchsorted(self.offsets, start, "right") - 1
             own = size[item] >= WINDOW if n == WINDOW else size[item] == n
             start, h, item = start[own], h[own], item[own]
@@ -120,20 +133,32 @@ class Index:
             seen[h >> np.uint64(44)] = True
             self.by_size[n] = (h[order], start[order], item[order], seen)
 
-    def hits(self, codes: np.ndarray, kinds: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Rows (text, item, start in the texts, start in the items, size), sorted."""
-        out = [np.empty((0, 5), np.int64)]
-        for n, (known, begin, item, seen) in self.by_size.items():
-            start, h = windows(codes, kinds, offsets, n)
+    def hits(self, codes: np.ndarray, kinds: np.ndarray, values: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows (text, item, start in the texts, start in the items, size), sorted; in blocks of
+        whole items and AT_ONCE rows or so."""
+        found = []
+        for n, (known, _, _, seen) in self.by_size.items():
+            start, h = windows(codes, kinds, values, offsets, n)
             maybe = seen[h >> np.uint64(44)]
             start, h = start[maybe], h[maybe]
             lo, hi = np.searchsorted(known, h), np.searchsorted(known, h, "right")
-            many = hi - lo
-            rows = np.repeat(start, many)
-            at = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            out.append(np.stack([np.searchsorted(offsets, rows, "right") - 1, item[at], rows, begin[at], np.full(len(at), n)], axis=1))
-        rows = np.concatenate(out)
-        return rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+            kept = hi > lo
+            found.append((n, start[kept], h[kept], int((hi - lo).sum())))
+        parts = max(1, -(-sum(x[-1] for x in found) // AT_ONCE))
+        for part in range(parts):
+            out = [np.empty((0, 5), np.int64)]
+            for n, start, h, _ in found:
+                known, begin, item, _ = self.by_size[n]
+                if parts > 1:
+                    own = item % parts == part
+                    known, begin, item = known[own], begin[own], item[own]
+                lo, hi = np.searchsorted(known, h), np.searchsorted(known, h, "right")
+                many = hi - lo
+                rows = np.repeat(start, many)
+                at = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                out.append(np.stack([np.searchsorted(offsets, rows, "right") - 1, item[at], rows, begin[at], np.full(len(at), n)], axis=1))
+            rows = np.concatenate(out)
+            yield rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
 
     def judge(self, item: int, rows: np.ndarray, values: np.ndarray) -> tuple[int, int, int]:
         """Canonical words of the item that consistent windows cover, its slots among them, and
@@ -165,14 +190,14 @@ def _scan(shared):
             ids = batch.column("doc_id").to_pylist()
             for a, b in slices(batch.column("text"), _BLOCK):
                 codes, kinds, values, offsets = canonical(batch.column("text").slice(a, b - a))
-                rows = index.hits(codes, kinds, offsets)
-                edges = np.flatnonzero(np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(1), True]) if len(rows) else []
-                for x, y in zip(edges[:-1], edges[1:], strict=True):
-                    text, item = int(rows[x, 0]), int(rows[x, 1])
-                    words = int(index.offsets[item + 1] - index.offsets[item])
-                    covered, slots, changed = index.judge(item, rows[x:y], values)
-                    if covered >= COVERED * words or covered >= LONG:
-                        out.append((ids[a + text], index.ids[item], covered, words, slots, changed))
+                for rows in index.hits(codes, kinds, values, offsets):
+                    edges = np.flatnonzero(np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(1), True]) if len(rows) else []
+                    for x, y in zip(edges[:-1], edges[1:], strict=True):
+                        text, item = int(rows[x, 0]), int(rows[x, 1])
+                        words = int(index.offsets[item + 1] - index.offsets[item])
+                        covered, slots, changed = index.judge(item, rows[x:y], values)
+                        if covered >= COVERED * words or covered >= LONG:
+                            out.append((ids[a + text], index.ids[item], covered, words, slots, changed))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*out, strict=True) if out else [[]] * 6)], _MATCHES.replace(" long", "").split(", "))
 
     return run
