@@ -322,6 +322,101 @@ def test_templates(spark):
     assert templates.keep_clean(odd(spark, docs), bench.limit(0)).count() == len(docs)
 
 
+def test_templates_without_literal_words(spark):
+    item = "Paris London Berlin met Alice Bob at 7 km from Rome on Monday with Carol"
+    clean = made_up(2, 31)
+    docs = [(1, f"{clean[0]} {item} {clean[1]}"), (2, clean[0]), (3, item)]
+    found = templates.matches(odd(spark, docs), spark.createDataFrame([(1, item)], ITEMS))
+    assert sorted(r["doc_id"] for r in found.collect()) == [1, 3]
+
+
+def brute_matches(docs, items):
+    """All windows of all pairs by plain loops; the greedy choice of shifts as stated."""
+    out = []
+    for i, t in docs:
+        for j, u in items:
+            (dk, dv), (ik, iv) = plain_template(t or ""), plain_template(u or "")
+            n = min(templates.WINDOW, len(ik))
+            if not n:
+                continue
+            shifts = collections.defaultdict(list)
+            for b in range(len(ik) - n + 1):
+                literal = sum(k == "w" for k, _ in ik[b : b + n])
+                for a in range(len(dk) - n + 1):
+                    same = dk[a : a + n] == ik[b : b + n]
+                    if 2 * literal < n:
+                        same = n >= templates.LEAST and dv[a : a + n] == iv[b : b + n] and same
+                    if same:
+                        shifts[a - b].append(b)
+            covered, meaning = set(), {}
+            for s in sorted(shifts, key=lambda s: (-len(shifts[s]), s)):
+                for b in sorted(shifts[s]):
+                    pairs = {}
+                    if all(pairs.setdefault((ik[p][0], iv[p]), meaning.get((ik[p][0], iv[p]), dv[p + s])) == dv[p + s] for p in range(b, b + n) if ik[p][0] != "w"):
+                        meaning |= pairs
+                        covered |= set(range(b, b + n))
+            if covered and (len(covered) >= templates.COVERED * len(ik) or len(covered) >= templates.LONG):
+                out.append((i, j, len(covered), len(ik)))
+    return sorted(out)
+
+
+def plain_template(text):
+    """(kind, word for literals) and values of the words; runs of one type are one slot."""
+    words, out, values = text.split(), [], []
+    start = True
+    for w in words:
+        core = re.sub(r"^[^0-9A-Za-z]+|[^0-9A-Za-z]+$", "", w)
+        if not core:
+            continue
+        low = core.lower()
+        if core[0].isdigit():
+            kind = "n"
+        elif core[0].isupper() and sum(c.isupper() for c in core) == 1 and not start and len(core) > 1:
+            kind = "a"
+        elif low in templates.UNITS and out and last == "n":
+            kind = "u"
+        else:
+            kind = "w"
+        last = kind
+        start = w[-1] in ".!?:;"
+        if kind != "w" and out and out[-1][0] == kind:
+            values[-1] += (low,)
+        else:
+            out.append((kind, low if kind == "w" else ""))
+            values.append((low,))
+    return out, [tuple(sorted(v)) for v in values]
+
+
+def test_templates_against_brute_force(spark):
+    r = random.Random(9)
+    names, units = ["Anna", "Boris", "Lima", "Oslo"], ["km", "kg", "hours"]
+
+    def sentence(n, seed):
+        q = random.Random(seed)
+        return " ".join(q.choice([q.choice(names), f"{q.randint(1, 5)} {q.choice(units)}", *(f"w{q.randint(0, 30)}" for _ in range(4))]) for _ in range(n))
+
+    items = [(k, sentence(r.randint(2, 30), k)) for k in range(12)]
+    docs = []
+    for k in range(60):
+        t = items[k % 12][1].split()
+        for _ in range(k // 12):
+            x = r.randrange(len(t))
+            t[x] = r.choice([r.choice(names), str(r.randint(1, 9)), "other"])
+        docs.append((k, f"{sentence(r.randint(0, 20), 100 + k)} {' '.join(t)} {sentence(r.randint(0, 9), 200 + k)}"))
+    got = templates.matches(odd(spark, docs), spark.createDataFrame(items, ITEMS)).select("doc_id", "item_id", "covered", "item_words").collect()
+    assert sorted(map(tuple, got)) == brute_matches(docs, items) and len(got) > 30
+
+
+def test_many_items_of_one_template(spark, monkeypatch):
+    """The hits of a hot template are taken in blocks, without loss."""
+    items = [(k, f"A train leaves at {k} pm and goes on for {k + 1} km before it stops") for k in range(400)]
+    docs = odd(spark, [(k, " . ".join(f"a train leaves at {k * j + 1} pm and goes on for {j} km before it stops" for j in range(30))) for k in range(3)])
+    bench = spark.createDataFrame(items, ITEMS)
+    whole = sorted(map(tuple, templates.matches(docs, bench).collect()))
+    monkeypatch.setattr(templates, "AT_ONCE", 5000)
+    assert sorted(map(tuple, templates.matches(docs, bench).collect())) == whole and len(whole) == 1200
+
+
 def test_template_blocks(spark, monkeypatch):
     texts = made_up(12, 6)
     bench = spark.createDataFrame(list(enumerate(texts)), ITEMS)
@@ -382,6 +477,37 @@ def test_toxicity(spark):
     assert toxicity.scores(none(spark), labels).count() == 0
 
 
+def test_toxicity_counts_labels_as_they_stand(spark):
+    """Repeated and conflicting labels: once each. One class only: a score."""
+    one = next(i for i in range(9) if zlib.crc32(str(i).encode()) % 4 != 2)
+    docs = odd(spark, [(one, "one two three four"), (one + 100, "five")])
+    i, w, b = toxicity.train(docs, spark.createDataFrame([(one, 0, 1)] * 12 + [(one, 0, 0), (one, 0, None)], LABELS))
+    f = np.unique(toxicity.grams(pa.array(["one two three four"]))[1])
+    weights, bias = toxicity.ftrl([(0, f)] + [(1, f)] * 12)
+    assert len(i) and np.array_equal(i, np.flatnonzero(weights)) and np.allclose(w, weights[i]) and np.isclose(b, bias)
+    only = spark.createDataFrame([(one, 0, 1)] * 3, LABELS)
+    assert all(0 <= r["score"] <= 1 for r in toxicity.scores(docs, only).collect())
+
+
+def test_ftrl_against_plain_python():
+    r = random.Random(3)
+    rows = [(r.randint(0, 1), sorted(r.sample(range(20), r.randint(1, 6)))) for _ in range(80)]
+    w, b = toxicity.ftrl([(y, np.array(f)) for y, f in rows], 3, 0.5, 1.0, 0.3, 0.1)
+    z, n, z0, n0 = collections.Counter(), collections.Counter(), 0.0, 0.0
+    weight = lambda i: 0.0 if abs(z[i]) <= 0.3 else -(z[i] - math.copysign(0.3, z[i])) / ((1 + math.sqrt(n[i])) / 0.5 + 0.1)
+    for _ in range(3):
+        for y, f in rows:
+            ws, bias = {i: weight(i) for i in f}, -z0 / ((1 + math.sqrt(n0)) / 0.5)
+            g = 1 / (1 + math.exp(-(sum(ws.values()) + bias))) - y
+            for i in f:
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / 0.5 * ws[i]
+                n[i] += g * g
+            z0 += g - (math.sqrt(n0 + g * g) - math.sqrt(n0)) / 0.5 * bias
+            n0 += g * g
+    assert np.allclose([w[i] for i in range(20)], [weight(i) for i in range(20)]) and not w[20:].any()
+    assert np.isclose(b, -z0 / ((1 + math.sqrt(n0)) / 0.5))
+
+
 def test_quality(spark):
     texts = made_up(200, 9)
     docs = [(i, " ".join(t.upper() + "!!" for t in x.split()[:10] * 4) if i % 3 == 0 else x) for i, x in enumerate(texts)]
@@ -413,13 +539,13 @@ def test_languages(spark):
     r = random.Random(3)
     say = lambda k, n: " ".join("".join(r.choice(pools[k].split()) for _ in range(r.randint(1, 3))) for _ in range(n))
     names = list(pools)
-    rows = [(i, say(names[i % 3], 50), names[i % 3], "s", 1) for i in range(150)] + [(400, say("xx", 60) + " " + say("yy", 30), None, "s", 1), (401, "123 !!", "xx", "s", 1), (402, None, "yy", "s", 1), (403, "", None, "s", 1), (None, say("zz", 20), None, "s", 1), (404, say("zz", 1), None, "s", 1)]
+    rows = [(i, say(names[i % 3], 50), names[i % 3], "s", 1) for i in range(150)] + [(400, say("xx", 60) + " " + say("yy", 30), None, "s", 1), (401, "123 !!", "xx", "s", 1), (402, None, "yy", "s", 1), (403, "", None, "s", 1), (405, "½ ² ① ٣", "xx", "s", 1), (None, say("zz", 20), None, "s", 1), (404, say("zz", 1), None, "s", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string, lang_pred int")
     got = {x["doc_id"]: x for x in language.languages(docs).collect()}
     assert len(got) == len(rows)
     assert np.mean([got[i]["lang_pred"] == names[i % 3] for i in range(150) if got[i]["held_out"]]) > 0.98
     assert got[400]["lang_pred"] == "xx" and got[400]["n_langs"] == 2 and 0.5 < got[400]["score"] < 0.8
-    assert [got[i]["lang_pred"] for i in (401, 402, 403)] == ["und"] * 3 and got[None]["lang_pred"] == "zz"
+    assert [got[i]["lang_pred"] for i in (401, 402, 403, 405)] == ["und"] * 4 and got[None]["lang_pred"] == "zz"
     assert {x["lang_pred"] for x in language.languages(docs.withColumn("lang", docs["lang"].substr(9, 0)).filter("false")).collect()} == set()
     unlabelled = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert [x["lang_pred"] for x in language.languages(unlabelled).collect()] == ["und"]
@@ -469,6 +595,25 @@ def test_whole_private_keys_are_put_out(spark):
     assert [got[i] for i in range(6)] == ["before\n[secret]\nafter", "before\n[secret]\n\nafter the key", "before [secret] after", "before\n[secret]", "before\n[secret]\n[secret]\nafter", "before [secret] is only named"]
 
 
+def test_web_tokens():
+    plain = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+    r = random.Random(8)
+    for _ in range(3000):
+        text = "".join(r.choice(["eyJ", "abcdefgh", ".", "_", "x", " ", "eyJabcdefgh", "."]) for _ in range(r.randint(0, 30)))
+        assert list(secrets._web_tokens(text)) == [m.span() for m in plain.finditer(text)], text
+    assert secrets.find_spans("eyJabcdefgh" * 300_000) == []
+
+
+def test_kept_ledger(spark, tmp_path):
+    path = f"file://{tmp_path}/ledger"
+    docs = odd(spark, list(enumerate(SECRETS)))
+    want = sorted(map(tuple, secrets.scan(docs).collect()))
+    for n in (3, 6, 6):  # only what is unseen is added
+        some = odd(spark, list(enumerate(SECRETS))[:n])
+        assert sorted(map(tuple, secrets.update(some, path).collect())) == [x for x in want if x[0] < n]
+        assert spark.read.parquet(path).count() == n
+
+
 def test_ledger(spark):
     first = odd(spark, list(enumerate(SECRETS[:3])))
     ledger = secrets.scan_unseen(first).cache()
