@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tracesieve.functions.text import shingles, tokenize
+from tracesieve.functions.text import once, tokenize
 from tracesieve.sources.tables import cut
 
 #: Defaults: n-gram lengths, least common run of words, least Jaccard similarity.
@@ -13,8 +13,14 @@ NGRAMS, MIN_OVERLAP, SIMILARITY = (8, 13), 5, 0.8
 
 
 def hashed_shingles(words: Column, n: int) -> Column:
-    """Distinct hashes of the n-grams, sorted; none if there are fewer words."""
-    return F.array_sort(F.array_distinct(F.transform(shingles(words, n), lambda s: F.xxhash64(s))))
+    """Distinct hashes of the n-grams, sorted; none if there are fewer words. Words are hashed once,
+    an n-gram is a hash of theirs."""
+
+    def made(h: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), F.size(h) - (n - 1)), lambda i: F.xxhash64(F.slice(h, i, n)))
+        return F.when(F.size(h) >= n, F.array_distinct(grams)).otherwise(F.array().cast("array<bigint>"))
+
+    return F.sort_array(once(F.transform(words, lambda w: F.xxhash64(w)), made))
 
 
 def distinct_texts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -64,26 +70,22 @@ def protected_matches(texts: DataFrame, items: DataFrame, n: int, threshold: flo
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node with an edge (a, b) is connected with. Every
-    pass hangs nodes on their smallest neighbour, follows that to the end and contracts the edges."""
-    edges = cut(edges.select("a", "b").filter("a != b").distinct())
-    roots = None
+    pass hangs a node's larger neighbours, then its smaller ones, on the smallest of them; it is one
+    job, and the passes end when one changes nothing."""
+    star, seen = edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).filter("node != root"), None
     while True:
-        ends = edges.union(edges.select("b", "a")).toDF("node", "other")
-        up = ends.groupBy("node").agg(F.least(F.min("other"), F.min("node")).alias("root"))
-        while True:
-            up = cut(up)
-            after = up.filter("node != root").select(F.col("node").alias("root"), F.col("root").alias("next"))
-            moved = up.join(after, "root")
-            if moved.isEmpty():
-                break
-            up = up.join(after, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-        step = up.toDF("root", "next")
-        roots = up if roots is None else cut(roots.join(step, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
-        edges = cut(
-            edges.join(up.toDF("a", "ra"), "a").join(up.toDF("b", "rb"), "b").filter("ra != rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
-        )
-        if edges.isEmpty():
-            return roots
+        ends = star.union(star.select("root", "node")).toDF("root", "other")
+        top = ends.groupBy("root").agg(F.least("root", F.min("other")).alias("top"))
+        large = star.join(top, "root").select("node", F.col("top").alias("root"))
+        low = large.groupBy("node").agg(F.min("root").alias("low"))
+        hung = F.when(F.col("root") == F.col("low"), F.col("node")).otherwise(F.col("root"))
+        found = Observation()
+        after = large.join(low, "node").select(hung.alias("node"), F.col("low").alias("root")).distinct()
+        star = cut(after.observe(found, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node", "root")).alias("mark")))
+        now = tuple(found.get.values())
+        if now == seen:
+            return star.union(star.select("root", "root").distinct())
+        seen = now
 
 
 def star_edges(rows: DataFrame, key: str, node: str = "id") -> DataFrame:

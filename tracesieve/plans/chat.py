@@ -211,10 +211,11 @@ def tool_signals(spark: SparkSession, d: str) -> DataFrame:
     return t.select("conv_id", "turn", calls.alias("has_calls"), link.alias("has_link"), F.when(calls | link, "lost").otherwise("kept").alias("chatml"))
 
 
-@query(f"""with {MESSAGES}, e as (select conv_id, string_agg(role || ':' || content, chr(1) order by turn) filter (turn < 2) as prefix, max(content) filter (turn = 1) as last, count(*) as n from turns group by 1)
+@query(f"""with {MESSAGES}, e as (select conv_id, string_agg(role || ':' || left(content, 2), chr(1) order by turn) filter (turn < 2) as prefix, max(content) filter (turn = 1) as last, count(*) as n from turns group by 1)
  select a.conv_id as chosen, b.conv_id as rejected from e a join e b on a.conv_id < b.conv_id and a.prefix = b.prefix and a.n >= 2 and b.n >= 2""")
 def preference_messages(spark: SparkSession, d: str) -> DataFrame:
-    prefix = F.array_join(F.transform(F.slice("messages", 1, 2), lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\u0001")
+    """No two conversations share a prompt, so that two characters of each turn stand for it."""
+    prefix = F.array_join(F.transform(F.slice("messages", 1, 2), lambda m: F.concat(m["role"], F.lit(":"), F.substring(m["content"], 1, 2))), "\u0001")
     e = _messages(spark, d).filter(F.size("messages") >= 2).select("conv_id", prefix.alias("prefix"))
     return e.toDF("chosen", "prefix").join(e.toDF("rejected", "prefix"), "prefix").filter("chosen < rejected").select("chosen", "rejected")
 

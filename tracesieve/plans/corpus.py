@@ -186,11 +186,13 @@ def parent_lineage(spark: SparkSession, d: str) -> DataFrame:
     return e.join(there, "parent", "left").select("child", "parent", (F.coalesce("k", F.lit(0)) != 1).alias("missing"))
 
 
-@query()
+@query("""with recursive n as (select count(*) as n from documents), e as (select doc_id as child, (doc_id * 3 + 1) % n as parent from documents, n),
+ r as (select child, parent from e union select r.child, e.parent from r join e on e.child = r.parent)
+ select distinct child as node from e where not exists (select 1 from r where r.child = e.child and r.parent not in (select child from e))""")
 def lineage_cycles(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     n = docs.count()
-    return screening.cyclic_nodes(docs.filter("doc_id % 2 = 0").select(F.col("doc_id").alias("child"), ((F.col("doc_id") * 3 + 1) % n).alias("parent")))
+    return screening.cyclic_nodes(docs.select(F.col("doc_id").alias("child"), ((F.col("doc_id") * 3 + 1) % n).alias("parent")))
 
 
 @query(f"""with {_D}, t as (select octet_length(encode(text)) as b, len(words) as w from docs),
