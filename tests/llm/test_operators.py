@@ -648,8 +648,39 @@ def test_pages(spark):
     assert got[20][0]["text"] == "Head 20 lone" and got[21][0]["text"] == "" and got[22][0]["text"] == "" and got[23][0]["text"] == "bare text"
     assert got[24][0]["text"] == "Head 24 cut off"
     assert pages.main_texts(frame.limit(0)).count() == 0
-    template = {r["host"]: r["template"] for r in pages.templates(frame).collect()}
-    assert "article" in template["a.example"] and "b.example" not in template
+    assert "b.example" not in {r["host"] for r in pages.templates(frame).collect()}  # too few pages
+
+
+def neutral(i):
+    body = "".join(f"<p>Text {k} of {i}, {made_up(1, 50 * i + k)[0]}.</p>" for k in range(1 + i % 4))
+    return f"<html><head><title>t{i}</title></head><body><div class='x1'><ul><li>Home</li><li>Login</li></ul></div><div class='x2'><div class='x3'><h2>Head {i}</h2>{body}<p class='related'>kept {i}</p></div><div class='x4'>more {i}</div></div><div class='x5'>All rights reserved</div></body></html>", body
+
+
+def test_pages_by_template_alone(spark):
+    """Neutral names: only the template tells the article; without it, all of the body is taken."""
+    made = [neutral(i) for i in range(9)]
+    rows = [(i, f"http://n.example/{i}", h) for i, (h, _) in enumerate(made)]
+    frame = spark.createDataFrame(rows + rows, "page_id long, url string, html string")  # every page stands twice
+    want = {i: " ".join([f"Head {i}", *re.findall("<p>(.*?)</p>", body), f"kept {i}"]) for i, (_, body) in enumerate(made)}
+    got = pages.main_texts(frame).collect()
+    assert len(got) == 18 and all(r["text"] == want[r["page_id"]] for r in got)
+    assert all("Home Login" in pages.extract(h) and "All rights" in pages.extract(h) for h, _ in made)
+
+
+def test_page_classes_against_brute_force(spark):
+    """Classes are the tokens of equal occurrence vectors."""
+    rows = [(i, f"http://n.example/{i}", neutral(i)[0]) for i in range(9)] + [(20 + i, f"http://m.example/{i}", page(i, "<p>a</p>" * i)[2]) for i in range(4)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = set()
+    for host in ("n.example", "m.example"):
+        found = [pages._found(h) for _, u, h in rows if host in u]
+        vectors = collections.defaultdict(set)
+        for token in {t for f in found for t in f if t}:
+            v = tuple(f[token][2] if token in f else 0 for f in found)
+            if sum(x > 0 for x in v) >= max(pages.PAGES, pages.SUPPORT * len(found)):
+                vectors[v].add(token)
+        want |= {(host, frozenset(x)) for x in vectors.values()}
+    assert {(r["host"], frozenset(t["token"] for t in r["tokens"])) for r in pages.classes(frame).collect()} == want
 
 
 # --- 9: vectors ------------------------------------------------------------------------------
