@@ -713,6 +713,14 @@ def test_vectors(spark):
     assert vectors.nearest(frame.limit(0)).count() == 0
 
 
+def test_vectors_odd_rows(spark):
+    """The commonest dimension counts, whatever the first row has; repeated ids; clashing columns."""
+    rows = [(0, [1.0] * 3, 0), *((i, [float(i), 1.0, 0.0, 2.0], 0) for i in range(1, 30)), (20, [1.0, 0.0, 0.0, 0.0], 0)]
+    frame = spark.createDataFrame([(*r, 1.0, 2) for r in rows], VECTORS + ", score double, rank int")
+    got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in vectors.nearest(frame).orderBy("rank").collect()]
+    assert got == [(20, k, i, float(i)) for k, i in enumerate([i for i in range(29, 0, -1) if i != 20][:20], 1)]
+
+
 def test_query_blocks(spark, monkeypatch):
     r = np.random.default_rng(6)
     frame = spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(r.standard_normal((400, 8)).astype(np.float32))], VECTORS)

@@ -7,9 +7,10 @@ entries that share the prefix are enough; all of them become candidates, and the
 inner product stay. Larger norms are made up for by one more coordinate, so that the largest inner
 product is the smallest angle. Every row is indexed; queries go in blocks of bounded size.
 
-Null, zero, ragged or non-finite vectors take no part (the dimension is that of the valid vector
-with the smallest id). Ties go to the smaller id, then by order. Repeated rows stand each for
-itself, except that a query's own id is no candidate. Empty tables: no rows.
+Null, zero, ragged or non-finite vectors take no part (the dimension is the one that most valid
+vectors have, of equals the smaller). Ties go to the smaller id, then by order. Repeated rows stand each for
+itself, except that a query's own id is no candidate; a query id of several vectors searches for the
+least of them. Empty tables: no rows.
 """
 
 from __future__ import annotations
@@ -37,9 +38,10 @@ def valid(df: DataFrame) -> tuple[DataFrame, int, float]:
     rows = df.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).filter("vec_id is not null and v is not null")
     rows = rows.filter(finite & F.exists("v", lambda x: x != 0))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    found = rows.agg(F.min_by(F.size("v"), "vec_id"), F.max(norm)).first()
-    dim = found[0] or 0
-    return rows.filter(F.size("v") == dim), dim, found[1] or 0.0
+    sizes = rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.max(norm).alias("longest"))
+    found = sizes.orderBy(F.desc("n"), "dim").first()
+    dim, longest = (found["dim"], found["longest"]) if found else (0, 0.0)
+    return rows.filter(F.size("v") == dim), dim, longest
 
 
 def _directions(dim: int) -> np.ndarray:
@@ -157,7 +159,7 @@ def nearest(df: DataFrame, every: int = 20, k: int = NEAREST) -> DataFrame:
     spark = df.sparkSession
     rows, dim, longest = valid(df)
     index = cut(forest(rows, dim, longest))
-    queries = rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    queries = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     blocks = max(1, -(-queries.count() // QUERIES))
     found = []
     for b in range(blocks):
