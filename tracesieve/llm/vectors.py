@@ -29,6 +29,8 @@ NEAREST = 20
 TREES, BITS, SHARD, QUERIES = 16, 32, 8192, 4096
 #: Share of a shard's entries, counted once per tree, to gather before the ascent stops.
 GATHER = 1.3
+#: Entries to gather at least, so that a small shard is searched whole.
+LEAST = 4096
 
 
 def valid(df: DataFrame) -> tuple[DataFrame, int, float]:
@@ -95,7 +97,7 @@ def forest(rows: DataFrame, dim: int, longest: float) -> DataFrame:
 def _candidates(keys: np.ndarray, places: np.ndarray, query: np.ndarray) -> list[np.ndarray]:
     """keys, places: (TREES, n); query: (queries, TREES). Places for each query."""
     n = keys.shape[1]
-    need = min(GATHER * n, TREES * n)
+    need = min(max(GATHER * n, LEAST), TREES * n)
     lo, hi = (np.zeros(query.shape, np.int64) for _ in range(2))
     open_ = np.arange(len(query))
     for depth in range(BITS, -1, -1):  # ascending: all trees drop the same bit at once
