@@ -25,8 +25,12 @@ def _own_folder() -> str:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors see. The session names it in spark.checkpoint.dir; only
-    where that is unset (tests, one machine) a temporary folder stands in."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"file://{_own_folder()}"
+    where that is unset (tests, one machine) a temporary folder stands in.
+    On a cluster an unset one is an error: executors wouldn't see each other's files."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if path is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
+    return path or f"file://{_own_folder()}"
 
 
 def cut(df: DataFrame) -> DataFrame:
