@@ -20,8 +20,12 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; only where it is unset, a temporary folder."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"file://{_own_folder()}"
+    """spark.checkpoint.dir of the session; only where it is unset, a temporary folder.
+    On a cluster an unset one is an error: executors wouldn't see each other's files."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if path is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
+    return path or f"file://{_own_folder()}"
 
 
 def cut(df: DataFrame) -> DataFrame:
