@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tracesieve.functions import messages as M
 from tracesieve.functions import text as T
-from tracesieve.operators import consensus, ledger, screening
+from tracesieve.operators import consensus, ledger, screening, vectors
 
 
 def one(spark, expression, value, schema="x string"):
@@ -116,3 +116,68 @@ def test_publish_and_verify(spark, tmp_path):
         export.publish(rows.limit(3), at)
     rows.limit(5).write.mode("overwrite").parquet(f"{at}/data")
     assert "n_records" in export.verify(spark, at)
+
+
+def test_shingle_hashes_tell_grams_apart(spark):
+    words = "a b a b a b c a b a b d e f g h i j k l m n".split()
+    for n in (1, 2, 3, 5, 8, 12, 13):
+        df = spark.createDataFrame([(words,), (words[: n - 1],)], "w array<string>")
+        got = [r[0] for r in df.select(F.size(screening.hashed_shingles(F.col("w"), n))).collect()]
+        assert got == [len({tuple(words[i : i + n]) for i in range(len(words) - n + 1)}), 0]
+
+
+def test_common_line_hides_no_pair(spark):
+    line = " ".join(f"license{i}" for i in range(12))
+    body = lambda k: " ".join(f"w{k}_{i}" for i in range(60))
+    texts = [(k, f"{body(k)} {line}") for k in range(30)] + [(100, f"{body(7)} {line} tail")]
+    reps, _ = screening.distinct_texts(spark.createDataFrame(texts, "id long, text string"))
+    grams = {k: {tuple(t.split()[i : i + 8]) for i in range(len(t.split()) - 7)} for k, t in texts}
+    want = {(a, b, len(grams[a] & grams[b]), len(grams[a] | grams[b])) for a in grams for b in grams if a < b and len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b])}
+    assert want and {tuple(r) for r in screening.similar_pairs(reps, (8, 8)).select("a", "b", "intersection", "total").collect()} == want
+
+
+def test_protected_matches_by_broadcast_and_by_shuffle(spark, monkeypatch):
+    items = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, "k l m n o p q r s t"), (3, None), (4, "too short")], "item_id long, text string")
+    texts = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, "x a b c d e f g h i j"), (3, None), (4, "")], "id long, text string")
+    want = {(1, 1, 3, 3), (2, 1, 3, 4)}
+    assert {tuple(r) for r in screening.protected_matches(texts, items, 8, 0.5).collect()} == want
+    monkeypatch.setattr(screening, "ITEM_SHINGLES", 2)
+    assert {tuple(r) for r in screening.protected_matches(texts, items, 8, 0.5).collect()} == want
+    assert screening.protected_matches(texts.limit(0), items, 8, 0.5).count() == 0
+
+
+def test_nearest_prior_equals_brute_force(spark):
+    import random
+
+    roll = random.Random(3)
+    rows = [(i, [roll.gauss(0, 1) for _ in range(5)]) for i in range(60)] + [(60, None), (61, []), (62, [0.0] * 5), (63, [1.0, 2.0]), (64, [float("nan")] * 5)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+
+    def cosine(a, b):
+        if not a or not b or len(a) != len(b) or a != a or any(x != x for x in (*a, *b)):
+            return 0.0
+        norm = (sum(x * x for x in a) * sum(x * x for x in b)) ** 0.5
+        return sum(x * y for x, y in zip(a, b, strict=True)) / norm if norm else 0.0
+
+    want = {i: max(cosine(v, w) for j, w in rows if j != i) for i, v in rows}
+    for block in (7, 8192):
+        got = {r["id"]: r["nearest"] for r in vectors.nearest_prior(df, df, block).collect()}
+        assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+    alone = vectors.nearest_prior(df.filter("id = 3"), df.filter("id = 3")).select("nearest", vectors.novel(F.col("nearest"), 0.4).alias("novel")).first()
+    assert tuple(alone) == (None, True)
+    assert vectors.nearest_prior(df.limit(0), df).count() == 0
+
+
+def test_multiset_digest(spark):
+    df = spark.createDataFrame([(x,) for x in "abcb"], "x string").withColumn("h", F.sha2("x", 256))
+    made = lambda rows: rows.agg(T.multiset_digest(F.col("h"))).first()[0]
+    assert made(df) == made(df.repartition(3)) and made(df) != made(df.distinct())
+
+
+def test_matrix_by_broadcast_and_by_shuffle(spark, monkeypatch):
+    votes = spark.createDataFrame([(1, 0, "x", 1.0), (1, 1, "y", 2.0), (1, 2, "z", 1.0), (2, 0, "x", 3.0)], "record_id long, pos int, judge string, weight double")
+    rho = spark.createDataFrame([("x", "y", 0.5), ("y", "z", -1.0)], "judge_a string, judge_b string, rho double")
+    want = {1: 16 / (6 + 2 * 1 * 2 * 0.5), 2: 1.0}
+    assert {r["record_id"]: r["n_eff"] for r in consensus.effective_n_matrix(votes, rho).collect()} == want
+    monkeypatch.setattr(consensus, "MATRIX", 1)
+    assert {r["record_id"]: r["n_eff"] for r in consensus.effective_n_matrix(votes, rho).collect()} == want

@@ -167,6 +167,13 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == F.size(b)) & (F.size(a) > 0) & (norm > 0), dot(a, b) / norm).otherwise(0.0)
 
 
+def multiset_digest(digest: Column) -> Column:
+    """An aggregate: SHA-256 over the number of hexadecimal digests and the sums of four parts of
+    them. It depends on no order, counts repeats, and adds up before anything is shuffled."""
+    sums = [F.sum(F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(28,0)")).cast("string") for at in (1, 16, 31, 46)]
+    return F.sha2(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums), 256)
+
+
 def framed_digest(*parts: Column) -> Column:
     """SHA-256 over the parts, each with its length before it; a null part differs from an empty one."""
     framed = [F.when(p.isNull(), F.lit("n;")).otherwise(F.concat(F.length(p).cast("string"), F.lit(":"), p, F.lit(";"))) for p in parts]

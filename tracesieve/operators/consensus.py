@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Defaults: accept from, reject below, least effective votes, least share of them.
 ACCEPT, REJECT_BELOW, MIN_N_EFF, MIN_RATIO = 0.80, 0.60, 1.5, 0.5
+#: Most pairs of judges whose correlations are broadcast.
+MATRIX = 100_000
 
 
 def weighted_mean(score: str = "score", weight: str = "weight") -> Column:
@@ -29,14 +31,17 @@ def effective_n(weight: str, rho: float) -> Column:
 
 def effective_n_matrix(votes: DataFrame, correlations: DataFrame, key: str = "record_id") -> DataFrame:
     """key, n_eff under a correlation for each pair of judges (judge_a, judge_b, rho); pairs that
-    aren't listed have 0. A panel has few judges; its pairs stay within it."""
-    own = votes.groupBy(key).agg(F.sum("weight").alias("w"), F.sum(F.col("weight") ** 2).alias("w2"), F.count("*").alias("k"))
-    a = votes.select(key, F.col("judge").alias("judge_a"), F.col("pos").alias("pa"), F.col("weight").alias("wa"))
-    b = votes.select(key, F.col("judge").alias("judge_b"), F.col("pos").alias("pb"), F.col("weight").alias("wb"))
-    pairs = a.join(b, key).filter("pa < pb").join(F.broadcast(correlations), ["judge_a", "judge_b"], "left")
-    cross = pairs.groupBy(key).agg(F.sum(2 * F.col("wa") * F.col("wb") * F.greatest(F.lit(0.0), F.coalesce("rho", F.lit(0.0)))).alias("cross"))
-    joined = own.join(cross, key, "left")
-    return joined.select(key, F.least(F.try_divide(F.col("w") ** 2, F.col("w2") + F.coalesce("cross", F.lit(0.0))), F.col("k").cast("double")).alias("n_eff"))
+    aren't listed have 0. A panel is gathered once and its pairs are made inside of it, so that only
+    the votes are shuffled; correlations of more than MATRIX pairs are joined by a shuffle too."""
+    small = correlations.limit(MATRIX + 1).count() <= MATRIX
+    panel_of = F.array_sort(F.collect_list(F.struct("pos", "judge", "weight")))
+    panels = votes.groupBy(key).agg(F.sum("weight").alias("w"), F.sum(F.col("weight") ** 2).alias("w2"), F.count("*").alias("k"), panel_of.alias("p"))
+    later = lambda x: F.transform(F.filter("p", lambda y: y["pos"] > x["pos"]), lambda y: F.struct(x["judge"].alias("judge_a"), y["judge"].alias("judge_b"), (2 * x["weight"] * y["weight"]).alias("ww")))
+    pairs = panels.select(key, "w", "w2", "k", F.inline_outer(F.flatten(F.transform("p", later))))
+    rated = pairs.join(F.broadcast(correlations) if small else correlations, ["judge_a", "judge_b"], "left")
+    cross = F.sum(F.col("ww") * F.greatest(F.lit(0.0), F.coalesce("rho", F.lit(0.0))))
+    out = rated.groupBy(key).agg(F.first("w").alias("w"), F.first("w2").alias("w2"), F.first("k").alias("k"), F.coalesce(cross, F.lit(0.0)).alias("cross"))
+    return out.select(key, F.least(F.try_divide(F.col("w") ** 2, F.col("w2") + F.col("cross")), F.col("k").cast("double")).alias("n_eff"))
 
 
 def agreement(score: str = "score") -> Column:
@@ -114,12 +119,14 @@ def exponential_weights(losses: DataFrame, beta: float) -> DataFrame:
 
 def rating_lookup(requests: DataFrame, ratings: DataFrame, tie: str = "n_updates") -> DataFrame:
     """requests (judge, area) with the rating used: usable in the area, usable anywhere, any in the
-    area, any anywhere; then by tie. ratings: judge, area (null: global), mean_brier, n_updates."""
+    area, any anywhere; then by tie. ratings: judge, area (null: global), mean_brier, n_updates.
+    The best rating of each judge and area is found before the join, so that only those meet."""
     usable = (F.col("n_updates") > 0) & F.col("mean_brier").isNotNull()
     best = (
         F.when(usable & F.col("rating_area").isNotNull(), 0).when(usable, 1).when(F.col("rating_area").isNotNull(), 2).otherwise(3)
     )
-    r = ratings.withColumnRenamed("area", "rating_area")
+    best_of = F.min_by(F.struct("mean_brier", "n_updates", F.col(tie).alias("tie")), F.struct((~usable).alias("unusable"), F.col(tie)))
+    r = ratings.groupBy("judge", F.col("area").alias("rating_area")).agg(best_of.alias("r")).select("judge", "rating_area", "r.*")
     fits = requests.join(r, "judge", "left").filter("rating_area is null or rating_area = area")
-    picked = fits.groupBy("judge", "area").agg(F.min_by(F.struct("rating_area", "mean_brier", "n_updates"), F.struct(best, F.col(tie))).alias("r"))
+    picked = fits.groupBy("judge", "area").agg(F.min_by(F.struct("rating_area", "mean_brier", "n_updates"), F.struct(best, F.col("tie"))).alias("r"))
     return requests.select("judge", "area").distinct().join(picked, ["judge", "area"], "left").select("judge", "area", "r.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tracesieve.functions.text import once, tokenize
@@ -10,14 +10,24 @@ from tracesieve.sources.tables import cut
 
 #: Defaults: n-gram lengths, least common run of words, least Jaccard similarity.
 NGRAMS, MIN_OVERLAP, SIMILARITY = (8, 13), 5, 0.8
+#: Most shingles of protected items that are broadcast (about 40 bytes each).
+ITEM_SHINGLES = 1_000_000
 
 
 def hashed_shingles(words: Column, n: int) -> Column:
-    """Distinct hashes of the n-grams, sorted; none if there are fewer words. Words are hashed once,
-    an n-gram is a hash of theirs."""
+    """Distinct hashes of the n-grams, sorted; none if there are fewer words. Words are hashed once;
+    runs of 2, 4, 8... words are hashes of two halves, an n-gram is that of two overlapping runs."""
+
+    def paired(shift: int):
+        kept = lambda g, at: F.slice(g, at, F.size(g) - shift)
+        return lambda g: F.zip_with(kept(g, 1), kept(g, shift + 1), lambda x, y: F.xxhash64(x, y))
 
     def made(h: Column) -> Column:
-        grams = F.transform(F.sequence(F.lit(1), F.size(h) - (n - 1)), lambda i: F.xxhash64(F.slice(h, i, n)))
+        grams, run = h, 1
+        while 2 * run <= n:
+            grams, run = once(grams, paired(run)), 2 * run
+        if run < n:
+            grams = once(grams, paired(n - run))
         return F.when(F.size(h) >= n, F.array_distinct(grams)).otherwise(F.array().cast("array<bigint>"))
 
     return F.sort_array(once(F.transform(words, lambda w: F.xxhash64(w)), made))
@@ -33,19 +43,42 @@ def distinct_texts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return reps, members.join(first, "digest").select("id", "rep")
 
 
-def _sets(reps: DataFrame, ngrams: tuple[int, int], threshold: float) -> DataFrame:
-    """(rep, n, s, m, head): s are the shingles, head those of which a pair of this similarity
-    shares one: all but the threshold's share of them, by one order for all (the hash)."""
+def exploded(sets: DataFrame, *keep) -> DataFrame:
+    """keep and a row h for each shingle of s. An outer explode with a filter behind it: an inner
+    one puts a filter on s below, and the shingles would be made again for it."""
+    return sets.select(*keep, F.explode_outer("s").alias("h")).filter("h is not null")
+
+
+def _meeting(reps: DataFrame, n: int) -> DataFrame:
+    """The texts that share an n-gram with another one; no others can share a longer one."""
+    held = exploded(reps.select("rep", hashed_shingles(F.col("words"), n).alias("s")), "rep")
+    shared = held.groupBy("h").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("h")
+    return reps.join(held.join(shared, "h", "left_semi").select("rep").distinct(), "rep", "left_semi")
+
+
+def _sets(reps: DataFrame, ngrams: tuple[int, int]) -> DataFrame:
+    """(rep, n, s, m): the m shingles s of each text."""
     each = F.array(*(F.struct(F.lit(n).alias("n"), hashed_shingles(F.col("words"), n).alias("s")) for n in range(ngrams[0], ngrams[1] + 1)))
-    sets = reps.select("rep", F.inline(each)).filter("size(s) > 0").withColumn("m", F.size("s"))
-    return sets.withColumn("head", F.slice("s", 1, F.col("m") - F.ceil(F.col("m") * threshold - 1e-9).cast("int") + 1))
+    return reps.select("rep", F.inline_outer(each)).filter("size(s) > 0").withColumn("m", F.size("s"))
+
+
+def _heads(sets: DataFrame, threshold: float) -> DataFrame:
+    """(rep, n, m, h): the shingles of each text of which a pair of this similarity shares one: all
+    but the threshold's share of them, the rarest first, so that a common line meets no one. Those
+    of a single text come first of all and need no row."""
+    held = exploded(sets, "rep", "n", "m")
+    shared = held.groupBy("n", "h").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+    of_text = Window.partitionBy("rep", "n")
+    place = F.col("m") - F.count(F.lit(1)).over(of_text) + F.row_number().over(of_text.orderBy("texts", "h"))
+    ranked = held.join(shared, ["n", "h"]).withColumn("place", place)
+    return ranked.filter(F.col("place") <= F.col("m") - F.ceil(F.col("m") * threshold - 1e-9) + 1).select("rep", "n", "m", "h")
 
 
 def similar_pairs(reps: DataFrame, ngrams: tuple[int, int] = NGRAMS, threshold: float = SIMILARITY) -> DataFrame:
     """(a, b, n, intersection, total) for the pairs a < b whose n-grams reach the similarity, for
     each n that does. Only pairs that share a shingle of both heads are compared."""
-    sets = cut(_sets(reps, ngrams, threshold))
-    heads = sets.select("rep", "n", "m", F.explode("head").alias("h"))
+    sets = cut(_sets(_meeting(cut(reps), ngrams[0]), ngrams))
+    heads = cut(_heads(sets, threshold))
     a, b = heads.toDF("a", "n", "ma", "h"), heads.toDF("b", "n", "mb", "h")
     close = a.join(b, ["n", "h"]).filter((F.col("a") < F.col("b")) & (F.col("ma") >= threshold * F.col("mb") - 1e-9) & (F.col("mb") >= threshold * F.col("ma") - 1e-9))
     pairs = close.select("n", "a", "b").distinct()
@@ -57,15 +90,16 @@ def similar_pairs(reps: DataFrame, ngrams: tuple[int, int] = NGRAMS, threshold:
 
 def protected_matches(texts: DataFrame, items: DataFrame, n: int, threshold: float) -> DataFrame:
     """(id, item_id, intersection, total) of texts and protected items whose n-grams reach the
-    similarity. The items are the small side: their shingles are joined to the texts' by hash."""
-    reps, members = distinct_texts(texts)
-    t = reps.select("rep", hashed_shingles(F.col("words"), n).alias("s")).filter("size(s) > 0")
-    i = items.select("item_id", hashed_shingles(tokenize(F.col("text")), n).alias("s")).filter("size(s) > 0")
-    left = t.select("rep", F.size("s").alias("m"), F.explode("s").alias("h"))
-    right = i.select("item_id", F.size("s").alias("k"), F.explode("s").alias("h"))
-    shared = left.join(right, "h").groupBy("rep", "item_id").agg(F.count("*").alias("intersection"), F.first("m").alias("m"), F.first("k").alias("k"))
-    found = shared.withColumn("total", F.col("m") + F.col("k") - F.col("intersection")).filter(F.col("intersection") >= threshold * F.col("total"))
-    return members.join(found, "rep").select("id", "item_id", "intersection", "total")
+    similarity; ids are unique. Up to ITEM_SHINGLES shingles of the items are broadcast, and texts
+    aren't moved; more of them are joined by a shuffle of the texts' shingles."""
+    t = texts.select("id", hashed_shingles(tokenize(F.col("text")), n).alias("s"))
+    i = items.select("item_id", hashed_shingles(tokenize(F.col("text")), n).alias("s"))
+    left, right = exploded(t, "id", F.size("s").alias("m")), exploded(i, "item_id", F.size("s").alias("k"))
+    if right.limit(ITEM_SHINGLES + 1).count() <= ITEM_SHINGLES:
+        right = F.broadcast(right)
+    shared = left.join(right, "h").groupBy("id", "item_id").agg(F.count("*").alias("intersection"), F.first("m").alias("m"), F.first("k").alias("k"))
+    found = shared.withColumn("total", F.col("m") + F.col("k") - F.col("intersection"))
+    return found.filter(F.col("intersection") >= threshold * F.col("total")).select("id", "item_id", "intersection", "total")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracesieve.functions import text as T
-from tracesieve.operators import evaluate, screening
+from tracesieve.operators import evaluate, screening, vectors
 from tracesieve.plans.registry import query
 from tracesieve.plans.sql import WORDS, framed, shingles
 from tracesieve.sources.tables import table
@@ -71,9 +71,15 @@ def decontam_matches(spark: SparkSession, d: str) -> DataFrame:
     return screening.protected_matches(_docs(spark, d), table(spark, d, "benchmark"), 8, LOOSE)
 
 
-@query(_MATCH_SQL + "select id, item_id, intersection, total from f where intersection >= 0.8 * total")
+# No document reaches the default similarity; the items themselves are texts too, under negative ids.
+_WITH_ITEMS = f"""docs as (select doc_id as id, {WORDS} as words from documents union all select -1 - item_id as id, {WORDS} as words from benchmark)"""
+
+
+@query(_MATCH_SQL.replace(_D, _WITH_ITEMS) + "select id, item_id, intersection, total from f where intersection >= 0.8 * total")
 def decontam_matches_default(spark: SparkSession, d: str) -> DataFrame:
-    return screening.protected_matches(_docs(spark, d), table(spark, d, "benchmark"), 8, screening.SIMILARITY)
+    items = table(spark, d, "benchmark")
+    texts = _docs(spark, d).select("id", "text").union(items.select(-1 - F.col("item_id"), "text"))
+    return screening.protected_matches(texts, items, 8, screening.SIMILARITY)
 
 
 @query(f"""with {_D} select words_hash, copies, first_id from (select sha256(array_to_string(words, ' ')) as words_hash, count(*) as copies, min(id) as first_id from docs group by words) where copies > 1""")
@@ -251,10 +257,10 @@ def content_hash(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", T.framed_digest(F.col("lang"), F.col("source"), F.col("text")).alias("content_hash"))
 
 
-@query(f"""with h as (select source, {framed('lang', 'source', 'text')} as h from documents) select source, count(*) as n_records, sha256(string_agg(h, chr(10) order by h)) as build_hash from h group by source""")
+@query(f"""with h as (select source, {framed('lang', 'source', 'text')} as h from documents) select source, count(*) as n_records, sha256({" || ':' || ".join(["count(*)", *(f"sum(('0x' || substr(h, {at}, 15))::bigint)" for at in (1, 16, 31, 46))])}) as build_hash from h group by source""")
 def build_inputs_hash(spark: SparkSession, d: str) -> DataFrame:
     h = table(spark, d, "documents").select("source", T.framed_digest(F.col("lang"), F.col("source"), F.col("text")).alias("h"))
-    return h.groupBy("source").agg(F.count("*").alias("n_records"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("build_hash"))
+    return h.groupBy("source").agg(F.count("*").alias("n_records"), T.multiset_digest(F.col("h")).alias("build_hash"))
 
 
 @query("""select a.vec_id, b.vec_id as other_id, round(list_dot_product(a.embedding::double[], b.embedding::double[]) / sqrt(list_dot_product(a.embedding::double[], a.embedding::double[])) / sqrt(list_dot_product(b.embedding::double[], b.embedding::double[])), 9) as cosine
@@ -265,26 +271,23 @@ def cosine(spark: SparkSession, d: str) -> DataFrame:
     return e.join(b, "vec_id").select("vec_id", "other_id", F.round(T.cosine(F.col("embedding"), F.col("other")), 9).alias("cosine"))
 
 
-# New items are the ids divisible by 10; the priors of each are the other vectors of its label.
-_GATE = """g as (select a.vec_id, max(list_dot_product(a.embedding::double[], b.embedding::double[]) / sqrt(list_dot_product(a.embedding::double[], a.embedding::double[])) / sqrt(list_dot_product(b.embedding::double[], b.embedding::double[]))) as nearest
- from embeddings a join embeddings b on a.label = b.label and a.vec_id <> b.vec_id where a.vec_id % 10 = 0 group by 1)"""
+# Every vector is an item; its priors are all the others.
+_GATE = """v as (select vec_id, embedding::double[] as v, sqrt(list_dot_product(embedding::double[], embedding::double[])) as norm from embeddings),
+ g as (select a.vec_id, max(list_dot_product(a.v, b.v) / a.norm / b.norm) as nearest from v a left join v b on a.vec_id <> b.vec_id group by 1)"""
 
 
 def _nearest(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "embeddings")
-    new = e.filter("vec_id % 10 = 0").select("vec_id", "label", F.col("embedding").alias("v"))
-    prior = e.select(F.col("vec_id").alias("prior_id"), "label", "embedding")
-    pairs = new.join(prior, "label").filter("vec_id != prior_id")
-    return pairs.groupBy("vec_id").agg(F.max(T.cosine(F.col("v"), F.col("embedding"))).alias("nearest"))
+    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    return vectors.nearest_prior(e, e).withColumnRenamed("id", "vec_id")
 
 
-@query(f"with {_GATE} select vec_id, round(nearest, 9) as nearest, nearest < 0.4 as diverse from g")
+@query(f"with {_GATE} select vec_id, round(nearest, 9) as nearest, coalesce(nearest < 0.4, true) as diverse from g")
 def diversity_gate(spark: SparkSession, d: str) -> DataFrame:
-    return _nearest(spark, d).select("vec_id", F.round("nearest", 9).alias("nearest"), (F.col("nearest") < 0.4).alias("diverse"))
+    return _nearest(spark, d).select("vec_id", F.round("nearest", 9).alias("nearest"), vectors.novel(F.col("nearest"), 0.4).alias("diverse"))
 
 
-@query(f"with {_GATE} select vec_id, vec_id % 3 <> 0 and vec_id % 7 <> 0 and nearest < 0.4 and (vec_id % 4 <> 0 or vec_id % 8 = 0) as passed from g")
+@query(f"with {_GATE} select vec_id, vec_id % 3 <> 0 and vec_id % 7 <> 0 and coalesce(nearest < 0.4, true) and (vec_id % 4 <> 0 or vec_id % 8 = 0) as passed from g")
 def qc_gate(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("vec_id")
     answerable, targeted, in_scope, refusal = k % 3 != 0, k % 7 != 0, k % 4 != 0, k % 8 == 0
-    return _nearest(spark, d).select("vec_id", (answerable & targeted & (F.col("nearest") < 0.4) & (in_scope | refusal)).alias("passed"))
+    return _nearest(spark, d).select("vec_id", (answerable & targeted & vectors.novel(F.col("nearest"), 0.4) & (in_scope | refusal)).alias("passed"))

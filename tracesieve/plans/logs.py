@@ -58,8 +58,8 @@ def circuit_breaker(spark: SparkSession, d: str) -> DataFrame:
     return ledger.breaker(rows, "user_id", 3)
 
 
-_ATTEMPTS = """attempts as (select 'run' || (user_id % 40) as run_id, case when event_type = 'error' then 'invalid' when event_id % 50 = 0 then 'missing' else 'known' end as cost_state, value / 100 as cost,
-  event_id % 211 = 0 as conflict, event_type <> 'view' or event_id % 3 > 0 as settled, case when event_id % 9 > 0 then event_id % 1000 end as tokens, event_id % 60 as elapsed_ms from events where event_type <> 'error' or user_id % 40 < 12)"""
+_ATTEMPTS = """attempts as (select 'run' || (user_id % 40) as run_id, case when event_type = 'error' and user_id % 40 < 12 then 'invalid' when event_id % 50 = 0 then 'missing' else 'known' end as cost_state, value / 100 as cost,
+  event_id % 211 = 0 as conflict, event_type <> 'view' or event_id % 3 > 0 as settled, case when event_id % 9 > 0 then event_id % 1000 end as tokens, event_id % 60 as elapsed_ms from events)"""
 _ACCOUNTS = """accounts as (select run_id, count(*) as attempts, coalesce(sum(cost) filter (cost_state = 'known' and not conflict), 0) as known_usd, count(*) filter (cost_state = 'missing') as unknown_cost,
   count(*) filter (cost_state = 'invalid') as invalid_cost, count(*) filter (conflict) as conflicting, count(*) filter (not settled) as unresolved, coalesce(sum(tokens) filter (not conflict), 0)::bigint as tokens,
   count(*) filter (tokens is null) as missing_tokens, coalesce(sum(elapsed_ms) filter (settled), 0)::bigint as elapsed_ms from attempts group by run_id)"""
@@ -67,9 +67,9 @@ _ACCOUNTS = """accounts as (select run_id, count(*) as attempts, coalesce(sum(co
 
 def _attempts(spark: SparkSession, d: str) -> DataFrame:
     e, t = F.col("event_id"), F.col("event_type")
-    return _events(spark, d).filter("event_type != 'error' or user_id % 40 < 12").select(
+    return _events(spark, d).select(
         F.concat(F.lit("run"), (F.col("user_id") % 40).cast("string")).alias("run_id"),
-        F.when(t == "error", "invalid").when(e % 50 == 0, "missing").otherwise("known").alias("cost_state"),
+        F.when((t == "error") & (F.col("user_id") % 40 < 12), "invalid").when(e % 50 == 0, "missing").otherwise("known").alias("cost_state"),
         (F.col("value") / 100).alias("cost"),
         (e % 211 == 0).alias("conflict"),
         ((t != "view") | (e % 3 > 0)).alias("settled"),
