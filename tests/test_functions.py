@@ -181,3 +181,29 @@ def test_matrix_by_broadcast_and_by_shuffle(spark, monkeypatch):
     assert {r["record_id"]: r["n_eff"] for r in consensus.effective_n_matrix(votes, rho).collect()} == want
     monkeypatch.setattr(consensus, "MATRIX", 1)
     assert {r["record_id"]: r["n_eff"] for r in consensus.effective_n_matrix(votes, rho).collect()} == want
+
+
+def test_publication_is_resumed_and_advances_once(spark, tmp_path):
+    import pytest
+
+    from tracesieve.sources import export, receipts
+
+    rows = spark.createDataFrame([(f"r{i}", i % 3, None if i % 2 else 1.5) for i in range(8)], "record_id string, n int, s double")
+    none = spark.createDataFrame([], "record_id string, state string, detail string")
+    store, at = f"file://{tmp_path}/store", f"file://{tmp_path}/out"
+    assert receipts.pending(spark, store, at, "engine") is None
+    with pytest.raises(ValueError, match="may not"):
+        receipts.publish(rows, store, at, "engine", none, validate=lambda r: ["repeated_key"])
+    made = receipts.prepare(rows, store, at, "engine")
+    assert receipts.pending(spark, store, at, "engine")["publication_id"] == made["publication_id"]
+    with pytest.raises(ValueError, match="changed"):
+        receipts.acknowledge(rows.limit(3), store, made["publication_id"], none)
+    history = receipts.resume(rows.repartition(3), store, made["publication_id"], none)
+    assert {r["record_id"] for r in history.collect()} == {f"r{i}" for i in range(8)} and export.verify(spark, at) == []
+    assert receipts.pending(spark, store, at, "engine") is None and receipts.load(spark, store, made["publication_id"])["state"] == "acknowledged"
+    assert receipts.publish(rows, store, at, "engine", history).count() == 0
+    assert receipts.publish(rows, store, at, "standalone", none).count() == 0
+    with pytest.raises(KeyError):
+        receipts.load(spark, store, "unknown")
+    with pytest.raises(ValueError, match="purpose"):
+        receipts.prepare(rows, store, at, "other")
