@@ -1,36 +1,40 @@
 """Approximate nearest neighbours by a hash-prefix forest.
 
-Vectors are dealt into shards of bounded size. In each shard every tree has a sorted array of long
-hash strings (signs of projections onto random directions, BITS of them). A query descends each
-tree to its longest common prefix; then all trees ascend together, a bit at a time, until the
-entries that share the prefix are enough; all of them become candidates, and the nearest by exact
-inner product stay. Larger norms are made up for by one more coordinate, so that the largest inner
-product is the smallest angle. Every row is indexed; queries go in blocks of bounded size.
+Vectors are dealt into shards of bounded size by their hash. In each shard every tree has a sorted
+array of hash strings: the symbols of a string are the axes, of AXES random ones, on which the
+vector reaches furthest, with their sign, furthest first. A query descends each tree to its longest
+common prefix; then all trees ascend together, a symbol at a time, until enough different entries
+share the prefix; all of them become candidates, and the nearest by exact inner product stay.
+Furthest axes tell near from far with far shorter prefixes than signs of projections do. Larger
+norms are made up for by one more coordinate, so that the largest inner product is the smallest
+angle. Every row is indexed; queries go in blocks of bounded size, one after another.
 
 Null, zero, ragged or non-finite vectors take no part (the dimension is the one that most valid
-vectors have, of equals the smaller). Ties go to the smaller id, then by order. Repeated rows stand each for
-itself, except that a query's own id is no candidate; a query id of several vectors searches for the
-least of them. Empty tables: no rows.
+vectors have, of equals the smaller). Ties go to the smaller id. Repeated rows are indexed once and
+stand each for itself in results, except that a query's own id is no candidate; a query id of
+several vectors searches for the least of them. Empty tables: no rows.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracesieve.llm.common import cut
+from tracesieve.llm.common import cut, shared_folder
 
 NEAREST = 20
-TREES, BITS, SHARD, QUERIES = 16, 32, 8192, 4096
-#: Share of a shard's entries, counted once per tree, to gather before the ascent stops.
-GATHER = 1.3
-#: Entries to gather at least, so that a small shard is searched whole.
-LEAST = 4096
+TREES, AXES, SYMBOLS, SHARD, QUERIES = 96, 128, 4, 8192, 4096
+#: Bits of a symbol: an axis and its sign.
+WIDTH = 8
+#: Share of a shard's entries, each counted once, to gather before the ascent stops.
+GATHER = 0.2
+#: Entries to gather at least.
+LEAST = 256
 
 
 def valid(df: DataFrame) -> tuple[DataFrame, int, float]:
@@ -46,76 +50,68 @@ def valid(df: DataFrame) -> tuple[DataFrame, int, float]:
     return rows.filter(F.size("v") == dim), dim, longest
 
 
-def _directions(dim: int) -> np.ndarray:
-    """(dim + 1, TREES * BITS) random directions, the same for all."""
-    return np.random.default_rng(20).standard_normal((dim + 1, TREES * BITS))
-
-
-def _keys(v: np.ndarray, extra: np.ndarray, directions: np.ndarray) -> np.ndarray:
-    """(rows, TREES) hash strings as numbers, the first bit on top."""
-    bits = (v @ directions[:-1] + extra[:, None] * directions[-1]) > 0
-    weights = np.uint64(1) << np.arange(BITS - 1, -1, -1, dtype=np.uint64)
-    return (bits.reshape(len(v), TREES, BITS) * weights).sum(2, dtype=np.uint64)
+def _keys(v: np.ndarray, extra: np.ndarray) -> np.ndarray:
+    """(TREES, rows) hash strings as numbers, the first symbol on top."""
+    random, wide = np.random.default_rng(20), np.column_stack([v, extra])
+    out = np.zeros((TREES, len(v)), np.int64)
+    for t in range(TREES):
+        reach = wide @ random.standard_normal((wide.shape[1], AXES))
+        length = np.abs(reach)
+        for _ in range(SYMBOLS):
+            axis = length.argmax(1)[:, None]
+            positive = np.take_along_axis(reach, axis, 1) > 0
+            out[t] = (out[t] << WIDTH) | (2 * axis + positive)[:, 0]
+            np.put_along_axis(length, axis, -1.0, 1)
+    return out
 
 
 def _wide(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-_SHARD = "ids array<long>, v array<double>, keys array<long>, places array<int>"
+_SHARD = "ids array<long>, times array<long>, v array<double>, keys array<long>, places array<int>"
 
 
 def forest(rows: DataFrame, dim: int, longest: float) -> DataFrame:
-    """A row for each shard: its ids and vectors, and per tree the sorted keys and their places."""
+    """A row for each shard: its ids (with how often each row stands) and vectors, and per tree
+    the sorted keys and their places."""
 
-    def shard(ids: np.ndarray, v: np.ndarray, directions: np.ndarray) -> pa.RecordBatch:
-        extra = np.sqrt((longest**2 - (v * v).sum(1)).clip(0))
-        keys = _keys(v, extra, directions)
-        order = np.argsort(keys, axis=0, kind="stable")
-        keys = np.take_along_axis(keys, order, 0)
-        columns = [ids, v.ravel(), keys.T.astype(np.int64).ravel(), order.T.astype(np.int32).ravel()]
-        return pa.RecordBatch.from_arrays([pa.array([x]) for x in columns], ["ids", "v", "keys", "places"])
+    def shard(rows: pa.Table) -> pa.Table:
+        v = _wide(rows.column("v").combine_chunks(), dim)
+        keys = _keys(v, np.sqrt((longest**2 - (v * v).sum(1)).clip(0)))
+        order = np.argsort(keys, axis=1, kind="stable")
+        columns = [rows.column(c).to_numpy() for c in ("vec_id", "times")]
+        columns += [v.ravel(), np.take_along_axis(keys, order, 1).ravel(), order.astype(np.int32).ravel()]
+        return pa.table([pa.array([x]) for x in columns], ["ids", "times", "v", "keys", "places"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        directions = _directions(dim)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in batches:
-            ids, v = batch.column("vec_id").to_numpy(), _wide(batch.column("v"), dim)
-            while len(ids):
-                room = SHARD - sum(len(x) for x, _ in held)
-                held.append((ids[:room], v[:room]))
-                ids, v = ids[room:], v[room:]
-                if sum(len(x) for x, _ in held) == SHARD:
-                    yield shard(*(np.concatenate(x) for x in zip(*held, strict=True)), directions)
-                    held = []
-        if held:
-            yield shard(*(np.concatenate(x) for x in zip(*held, strict=True)), directions)
-
-    return rows.mapInArrow(run, _SHARD)
-
-
-def _candidates(keys: np.ndarray, places: np.ndarray, query: np.ndarray) -> list[np.ndarray]:
-    """keys, places: (TREES, n); query: (queries, TREES). Places for each query."""
+    distinct = cut(rows.groupBy("vec_id", "v").agg(F.count("*").alias("times")))
+    shards = max(1, -(-distinct.count() // SHARD))
+    place = F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards))
+    return distinct.withColumn("shard", place).groupBy("shard").applyInArrow(shard, _SHARD)
+
+
+def _candidates(keys: np.ndarray, places: np.ndarray, query: np.ndarray) -> Iterator[np.ndarray]:
+    """keys, places: (TREES, n); query: (TREES, queries). Places for each query, one after another."""
     n = keys.shape[1]
-    need = min(max(GATHER * n, LEAST), TREES * n)
-    lo, hi = (np.zeros(query.shape, np.int64) for _ in range(2))
-    open_ = np.arange(len(query))
-    for depth in range(BITS, -1, -1):  # ascending: all trees drop the same bit at once
-        drop = np.uint64(BITS - depth)
-        for t in range(TREES):
-            prefix = query[open_, t] >> drop
-            lo[open_, t] = np.searchsorted(keys[t], prefix << drop)
-            hi[open_, t] = np.searchsorted(keys[t], (prefix + np.uint64(1)) << drop)
-        open_ = open_[(hi - lo)[open_].sum(1) < need]
-        if not len(open_):
-            break
-    out = []
-    for a, b in zip(lo, hi, strict=True):
+    need = min(max(GATHER * n, LEAST), n)
+    levels = []  # from the whole string up to the root, where all share the empty prefix
+    for symbols in range(SYMBOLS, -1, -1):
+        drop = WIDTH * (SYMBOLS - symbols)
+        prefix = query >> drop
+        lo = np.stack([np.searchsorted(k, x << drop) for k, x in zip(keys, prefix, strict=True)])
+        hi = np.stack([np.searchsorted(k, (x + 1) << drop) for k, x in zip(keys, prefix, strict=True)])
+        levels.append((lo, hi, (hi - lo).sum(0)))
+    for q in range(query.shape[1]):
         mark = np.zeros(n, bool)
-        for t in range(TREES):
-            mark[places[t, a[t] : b[t]]] = True
-        out.append(np.flatnonzero(mark))
-    return out
+        for lo, hi, entries in levels[:-1]:  # ascending: all trees drop the same symbol at once
+            if entries[q] >= need:
+                for t in range(TREES):
+                    mark[places[t, lo[t, q] : hi[t, q]]] = True
+                if mark.sum() >= need:
+                    break
+        else:
+            mark[:] = True
+        yield np.flatnonzero(mark)
 
 
 def _nearest(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -128,46 +124,50 @@ def _nearest(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return kept[np.lexsort((ids[kept], -score[kept]))][:k]
 
 
-_FOUND = "query_id long, vec_id long, score double"
+_FOUND = "query_id long, vec_id long, score double, times long"
 
 
 def _search(shared, dim: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, query = shared.value
-        keys_of = _keys(query, np.zeros(len(query)), _directions(dim))
-        best_ids = [np.empty(0, np.int64) for _ in query_ids]
-        best = [np.empty(0) for _ in query_ids]
+        keys_of = _keys(query, np.zeros(len(query)))
+        best = [(np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)) for _ in query_ids]
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, v, keys, places = (batch.column(c)[row].values.to_numpy() for c in ("ids", "v", "keys", "places"))
+                ids, times, v, keys, places = (batch.column(c)[row].values.to_numpy() for c in ("ids", "times", "v", "keys", "places"))
                 v = v.reshape(-1, dim)
                 shape = (TREES, len(ids))
-                for q, found in enumerate(_candidates(keys.astype(np.uint64).reshape(shape), places.reshape(shape), keys_of)):
+                for q, found in enumerate(_candidates(keys.reshape(shape), places.reshape(shape), keys_of)):
                     found = found[ids[found] != query_ids[q]]
-                    score = np.r_[best[q], (v[found] * query[q]).sum(1)]
-                    all_ids = np.r_[best_ids[q], ids[found]]
-                    top = _nearest(score, all_ids, k)
-                    best_ids[q], best[q] = all_ids[top], score[top]
-        many = [len(x) for x in best]
-        if sum(many):
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(query_ids, many)), pa.array(np.concatenate(best_ids)), pa.array(np.concatenate(best))], ["query_id", "vec_id", "score"])
+                    near = ids[found], (v[found] * query[q]).sum(1), times[found]
+                    near = [np.concatenate(x) for x in zip(best[q], near, strict=True)]
+                    top = _nearest(near[1], near[0], k)
+                    best[q] = tuple(x[top] for x in near)
+        if any(len(x) for x, _, _ in best):
+            columns = [np.repeat(query_ids, [len(x) for x, _, _ in best]), *(np.concatenate(x) for x in zip(*best, strict=True))]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["query_id", "vec_id", "score", "times"])
 
     return run
 
 
 def nearest(df: DataFrame, every: int = 20, k: int = NEAREST) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found for each row whose id is divisible
-    by `every`."""
+    by `every`. A block of at most about QUERIES vectors is broadcast at a time; what it finds is
+    written to the shared folder before the next one comes."""
     spark = df.sparkSession
     rows, dim, longest = valid(df)
     index = cut(forest(rows, dim, longest))
     queries = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     blocks = max(1, -(-queries.count() // QUERIES))
-    found = []
+    queries = cut(queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))))
+    path = f"{shared_folder(spark)}/found-{uuid.uuid4().hex}"
     for b in range(blocks):
-        own = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).toPandas().sort_values("vec_id")
-        block = (own["vec_id"].to_numpy(np.int64), np.stack(own["v"].to_numpy()) if len(own) else np.empty((0, dim)))
-        found.append(index.mapInArrow(_search(spark.sparkContext.broadcast(block), dim, k), _FOUND))
+        own = queries.filter(F.col("block") == b).toPandas().sort_values("vec_id")
+        shared = spark.sparkContext.broadcast((own["vec_id"].to_numpy(np.int64), np.stack(own["v"].to_numpy()) if len(own) else np.empty((0, dim))))
+        index.mapInArrow(_search(shared, dim, k), _FOUND).write.mode("append").parquet(path)
+        shared.destroy()
     each = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(each))
+    found = spark.read.schema(_FOUND).parquet(path)
+    copies = found.select("query_id", "vec_id", "score", F.explode(F.sequence(F.lit(1), F.least("times", F.lit(k)).cast("int"))))
+    ranked = copies.withColumn("rank", F.row_number().over(each))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
