@@ -90,3 +90,54 @@ def leaves(rows: DataFrame, key: str, column: str) -> DataFrame:
         level = inner.select("key", path.alias("path"), "name", "v")
         out = out.unionByName(level.filter("name is not null").select("key", F.concat(F.lit("~"), "path").alias("path"), F.col("name").alias("text")))
         level = level.drop("name")
+
+
+# The keywords and types of a parameter schema.
+SCHEMA_KEYWORDS = ("type", "description", "properties", "required", "items", "enum", "additionalProperties")
+SCHEMA_TYPES = ("object", "array", "string", "number", "integer", "boolean", "null")
+SCHEMA_DEPTH = 64
+
+
+def schema_problem(j: Column) -> Column:
+    """What is wrong with one node of a parameter schema, a JSON text, but for its inner schemas;
+    null if nothing is."""
+    v, keys = F.try_parse_json(j), F.json_object_keys(j)
+    has = lambda k: F.array_contains(keys, k)
+    is_ = lambda k, kind: F.coalesce(_kind(v, f"$.{k}"), F.lit("")).startswith(kind)
+    kind = F.try_variant_get(v, "$.type", "string")
+    required = F.try_variant_get(v, "$.required", "array<variant>")
+    names = F.transform(required, lambda x: F.when(F.schema_of_variant(x) == "STRING", F.variant_get(x, "$", "string")))
+    declared = F.coalesce(F.json_object_keys(F.get_json_object(j, "$.properties")), F.array().cast("array<string>"))
+    distinct = (F.size(F.array_distinct(F.array_compact(names))) == F.size(names)) & (F.size(F.array_except(names, declared)) == 0)
+    members = F.try_variant_get(v, "$.enum", "array<variant>")
+    annotation = (has("description") & ~is_("description", "STRING")) | (has("additionalProperties") & ((kind != "object") | ~is_("additionalProperties", "BOOLEAN"))) | (has("enum") & (~is_("enum", "ARRAY") | (F.size(members) == 0)))
+    return (
+        F.when(v.isNull() | keys.isNull(), "not_an_object")
+        .when(F.size(F.array_except(keys, F.array(*(F.lit(k) for k in SCHEMA_KEYWORDS)))) > 0, "keyword")
+        .when(~is_("type", "STRING") | ~kind.isin(*SCHEMA_TYPES), "type")
+        .when(annotation, "annotation")
+        .when(has("properties") & ((kind != "object") | ~is_("properties", "OBJECT")), "properties")
+        .when(has("required") & ((kind != "object") | ~is_("required", "ARRAY") | ~F.coalesce(distinct, F.lit(False))), "required")
+        .when(has("items") & (kind != "array"), "items")
+    )
+
+
+def schema_problems(rows: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, path, problem) of every wrong node of the parameter schemas in a column of JSON texts.
+    Goes down level by level, as deep as the schemas do, and no deeper than is allowed."""
+    spark = rows.sparkSession
+    level = rows.select(F.col(key).alias("key"), F.lit("$").alias("path"), F.col(column).alias("j"))
+    out = None
+    for depth in range(SCHEMA_DEPTH + 2):
+        problem = F.lit("depth") if depth > SCHEMA_DEPTH else schema_problem(F.col("j"))
+        found = level.select("key", "path", problem.alias("problem")).filter("problem is not null")
+        out = found if out is None else out.unionByName(found)
+        nested = level.select("key", "path", F.try_parse_json("j").alias("v"))
+        nested = nested.filter(F.try_variant_get("v", "$.properties", "variant").isNotNull() | F.try_variant_get("v", "$.items", "variant").isNotNull())
+        if depth > SCHEMA_DEPTH or nested.isEmpty():
+            break
+        nested.createOrReplaceTempView("nested_schema")
+        properties = spark.sql("select n.key, concat(n.path, '.', e.key) as path, to_json(e.value) as j from nested_schema n, lateral variant_explode(try_variant_get(n.v, '$.properties', 'variant')) e where e.key is not null")
+        items = nested.select("key", F.concat("path", F.lit("[]")).alias("path"), F.to_json(F.try_variant_get("v", "$.items", "variant")).alias("j")).filter("j is not null")
+        level = properties.unionByName(items)
+    return out.withColumnRenamed("key", key)

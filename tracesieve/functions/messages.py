@@ -112,3 +112,22 @@ def sft_units(messages: Column) -> Column:
     """array of struct(target, prompt, completion): one for each assistant turn, with all before it."""
     places = F.filter(F.sequence(F.lit(1), F.size(messages)), lambda i: F.element_at(messages, i)["role"] == "assistant")
     return F.transform(places, lambda i: F.struct(i.alias("target"), F.slice(messages, 1, i - 1).alias("prompt"), F.element_at(messages, i).alias("completion")))
+
+
+def tool_signals(messages: Column) -> Column:
+    """struct(first, signals): place of the first message with a tool signal (tool_calls,
+    tool_call_id or a tool's role) and all signals in the order of meeting; null if there is none."""
+    present = lambda m: F.array_compact(F.array(F.when(m["tool_calls"].isNotNull(), "tool_calls"), F.when(m["tool_call_id"].isNotNull(), "tool_call_id"), F.when(m["role"] == "tool", "tool_role")))
+    each = F.transform(messages, lambda m, i: F.struct(i.alias("at"), present(m).alias("s")))
+    some = F.filter(each, lambda x: F.size(x["s"]) > 0)
+    return F.when(F.size(some) > 0, F.struct(F.get(some, F.lit(0))["at"].alias("first"), F.array_distinct(F.flatten(some["s"])).alias("signals")))
+
+
+# The targets that keep tool signals.
+TOOL_TARGETS = ("openai_messages", "prompt_completion")
+
+
+def render_issue(messages: Column, target: Column) -> Column:
+    """Why a conversation can't be rendered for a target: control_token first, then
+    unsupported_tools; null if it can."""
+    return F.when(first_leak(messages).isNotNull(), "control_token").when(~target.isin(*TOOL_TARGETS) & tool_signals(messages).isNotNull(), "unsupported_tools")
