@@ -20,13 +20,13 @@ def _h(k: Column) -> Column:
 
 
 # Requests are orders, recorded calls the earlier orders; the last one counts where a key was called twice.
-_CALLS = """log as (select 'h' || (o_custkey % 700) as content_hash, o_orderstatus as kind, o_orderkey as "at", o_totalprice as value from orders where o_orderdate < date ''),
+_CALLS = """log as (select 'h' || (o_custkey % 700) as content_hash, o_orderstatus as kind, o_orderkey as "at", o_totalprice as value from orders where o_orderdate < date '1997-07-01'),
  kept as (select content_hash, kind, arg_max(value, "at") as value, max("at") as "at" from log group by 1, 2)"""
 
 
 def _log(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     calls = table(spark, d, "orders").select(F.col("o_orderkey").alias("at"), _h(F.col("o_custkey") % 700).alias("content_hash"), F.col("o_orderstatus").alias("kind"), F.col("o_totalprice").alias("value"), "o_orderdate")
-    return calls.select("at", "content_hash", "kind"), calls.filter("o_orderdate < date ''").drop("o_orderdate")
+    return calls.select("at", "content_hash", "kind"), calls.filter("o_orderdate < date '1997-07-01'").drop("o_orderdate")
 
 
 @query(f'with {_CALLS} select content_hash, kind, "at", value from kept')
