@@ -207,3 +207,35 @@ def test_publication_is_resumed_and_advances_once(spark, tmp_path):
         receipts.load(spark, store, "unknown")
     with pytest.raises(ValueError, match="purpose"):
         receipts.prepare(rows, store, at, "other")
+
+
+def test_schema_depth(spark, monkeypatch):
+    """Nodes lie at most SCHEMA_DEPTH levels below the root."""
+    from tracesieve.functions import json as J
+
+    monkeypatch.setattr(J, "SCHEMA_DEPTH", 5)
+
+    def nested(levels):
+        return '{"type":"array","items":' * (levels - 1) + '{"type":"string"}' + "}" * (levels - 1)
+
+    rows = spark.createDataFrame([(1, nested(6)), (2, nested(7)), (3, None), (4, '"x"'), (5, '{"type":"object","properties":{"a":"{}"}}')], "k int, s string")
+    got = sorted(tuple(r) for r in J.schema_problems(rows, "k", "s").collect())
+    assert got == [(2, "$" + "[]" * 6, "depth"), (3, "$", "not_an_object"), (4, "$", "not_an_object"), (5, "$.a", "not_an_object")]
+
+
+def test_answered(spark):
+    from tracesieve.operators import seams
+
+    requests = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "n int, k string")
+    recorded = spark.createDataFrame([("a", 1.0)], "k string, v double")
+    asked = []
+
+    def ask(missing):
+        asked.extend(r["k"] for r in missing.collect())
+        return missing.filter("k = 'b'").selectExpr("k", "2d as v")
+
+    rows = lambda df: sorted((r["n"], r["v"], r["origin"]) for r in df.collect())
+    assert rows(seams.answered(requests, recorded, ["k"], "v")) == [(1, 1.0, "recorded"), (2, 1.0, "recorded"), (3, None, "unavailable"), (4, None, "unavailable")]
+    assert rows(seams.answered(requests, recorded, ["k"], "v", ask)) == [(1, 1.0, "recorded"), (2, 1.0, "recorded"), (3, 2.0, "fresh"), (4, None, "unavailable")]
+    assert sorted(asked, key=str) == [None, "b"]
+    assert seams.answered(requests.limit(0), recorded, ["k"], "v").count() == 0

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracesieve.sources.tables import cut
+
 # Words that can't name a Python function.
 KEYWORDS = (
     "False", "None", "True", "and", "as", "assert", "async", "await", "break", "class", "continue", "def", "del", "elif", "else", "except",
@@ -124,7 +126,8 @@ def schema_problem(j: Column) -> Column:
 
 def schema_problems(rows: DataFrame, key: str, column: str) -> DataFrame:
     """(key, path, problem) of every wrong node of the parameter schemas in a column of JSON texts.
-    Goes down level by level, as deep as the schemas do, and no deeper than is allowed."""
+    Goes down level by level, as deep as the schemas do, and no deeper than is allowed; each level
+    is written to the shared folder, so that plans stay short."""
     spark = rows.sparkSession
     level = rows.select(F.col(key).alias("key"), F.lit("$").alias("path"), F.col(column).alias("j"))
     out = None
@@ -139,5 +142,5 @@ def schema_problems(rows: DataFrame, key: str, column: str) -> DataFrame:
         nested.createOrReplaceTempView("nested_schema")
         properties = spark.sql("select n.key, concat(n.path, '.', e.key) as path, to_json(e.value) as j from nested_schema n, lateral variant_explode(try_variant_get(n.v, '$.properties', 'variant')) e where e.key is not null")
         items = nested.select("key", F.concat("path", F.lit("[]")).alias("path"), F.to_json(F.try_variant_get("v", "$.items", "variant")).alias("j")).filter("j is not null")
-        level = properties.unionByName(items)
+        level = cut(properties.unionByName(items))
     return out.withColumnRenamed("key", key)
