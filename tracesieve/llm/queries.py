@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracesieve.llm import bpe, language, lm, neardup, pages, quality, secrets, templates, toxicity, vectors
+from tracesieve.llm import bpe, language, lm, neardup, pages, phrases, quality, secrets, templates, toxicity, vectors
 from tracesieve.llm.common import table
 
 
@@ -49,6 +49,10 @@ def op10_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -62,6 +66,25 @@ QUERIES = {
         op8_language_mixture,
         op9_prefix_forest,
         op10_quality_discriminant,
+        op13_collocations,
     )
 }
 ORACLES: dict[str, str] = {}
+
+ORACLES["op13_collocations"] = r"""with d as (select row_number() over () as i, coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+ p as (select lang, i, unnest(regexp_split_to_array(t, '[.,;:!?\n\x{0B}\f\r]')) as piece from d),
+ q as (select lang, row_number() over () as i, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') as ws from p),
+ w as (select lang, i, unnest(ws) as w1, generate_subscripts(ws, 1) as j from q),
+ s as (select lang, w1, lead(w1) over o as w2, lead(w1, 2) over o as w3 from w window o as (partition by i order by j)),
+ n as (select lang, count(*) as n from s group by 1),
+ f as (select lang, w1 as phrase, 1 as size, count(*) as c from s group by 1, 2
+  union all select lang, w1 || ' ' || w2, 2, count(*) from s where w2 is not null group by 1, 2
+  union all select lang, w1 || ' ' || w2 || ' ' || w3, 3, count(*) from s where w3 is not null group by 1, 2),
+ g as (select * from f where c >= 10),
+ x as (select lang, phrase, size, c as a, unnest(generate_series(1, size - 1)) as k, string_split(phrase, ' ') as v from g where size > 1),
+ y as (select x.*, l.c as l, r.c as r, (1000000::hugeint * a * a) // (l.c::hugeint * r.c) as score from x
+  join g l on l.lang = x.lang and l.phrase = array_to_string(v[1:k], ' ') join g r on r.lang = x.lang and r.phrase = array_to_string(v[k + 1:], ' ')),
+ z as (select * from y qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+ inner_ as (select lang, phrase, max(a) as longer from (select lang, array_to_string(v[1:2], ' ') as phrase, a from x where size = 3 union all select lang, array_to_string(v[2:3], ' '), a from x where size = 3) group by 1, 2),
+ kept as (select z.* from z left join inner_ using (lang, phrase) where longer is null or 100 * longer < 50 * a)
+ select lang, rank, phrase, a, l, r, n, score::bigint as score from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept) join n using (lang) where rank <= 2000"""
