@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracesieve.llm import bpe, language, lm, neardup, pages, phrases, quality, secrets, templates, toxicity, vectors
+from tracesieve.llm import bpe, language, lm, neardup, pages, phrases, quality, repair, secrets, templates, toxicity, vectors
 from tracesieve.llm.common import table
 
 
@@ -49,6 +49,11 @@ def op10_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_edit_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.digests(repair.damaged(conversations), conversations)
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -66,11 +71,41 @@ QUERIES = {
         op8_language_mixture,
         op9_prefix_forest,
         op10_quality_discriminant,
+        op11_edit_lattice,
         op13_collocations,
     )
 }
 ORACLES: dict[str, str] = {}
 
+# The audit is told by going through the rows once, each state with its least (cost, audit).
+ORACLES["op11_edit_lattice"] = r"""with recursive k as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name from conversations),
+ f as (select *, xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(string_split(name, ''), lambda c: ascii(c)::ubigint)),
+   lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::ubigint[]), lambda a, z: case when a % 2 = 1 then xor(a // 2, 3988292384::ubigint) else a // 2 end)), 4294967295::ubigint) % 20 as fault from k),
+ r as (select conv_id, turn, case when fault = 4 then 'user' else role end as role, case when fault = 1 then '' when fault = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+   unnest(case when fault = 3 then [0, 1] else [0] end) as copy from f where fault <> 0),
+ o as (select *, coalesce(conv_id::varchar, '') as c, row_number() over w as i,
+   regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as tail, lag(role[1:1]) over w as before_ from r window w as (partition by conv_id order by turn nulls first, role, md5(role || chr(10) || text))),
+ p as (select *, row_number() over (partition by conv_id, role, text order by i) > 1 as again from o),
+ x as (select *, tail = '' as blank, tail <> '' and again as duplicate, tail <> '' and not again and tail not in ('.', '!', '?') as truncated from p),
+ told as (select c, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank, count(*) filter (duplicate) as duplicate, count(*) filter (truncated) as truncated,
+   count(*) filter (before_ is not null and before_ || role[1:1] not in ('su', 'ua', 'au')) as illegal, max(i) as n from x group by 1),
+ way as (select * from (values (0, 0, 0, ''), (0, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 1, 0, ''), (1, 2, 3, 'I'), (1, 3, 6, 'II'), (2, 2, 0, ''), (2, 3, 3, 'I'), (2, 2, 6, 'II'), (3, 3, 0, ''), (3, 2, 3, 'I'), (3, 3, 6, 'II')) v(s, t, more, letters)),
+ empty as (select s, t, more, letters, case when letters = '' then []::varchar[] when s = 2 and letters = 'II' then ['assistant:', 'user:'] when s = 2 then ['assistant:'] when letters = 'II' then ['user:', 'assistant:'] else ['user:'] end as made from way),
+ dp as (select c, 0::bigint as i, t as s, {'cost': more, 'audit': letters, 'made': made} as best from told, empty where empty.s = 0
+  union all
+  select c, i, s, min(best) from (
+   select d.c, x.i, e.t as s, {'cost': d.best.cost + m.more + e.more, 'audit': d.best.audit || m.letter || e.letters, 'made': d.best.made || m.made || e.made} as best
+   from dp d join x on x.c = d.c and x.i = d.i + 1,
+   lateral (select unnest([{'letter': 'D', 'more': 4, 'to': d.s, 'made': []::varchar[]},
+     case when not (blank or duplicate) then {'letter': 'R', 'more': 3 + 3 * truncated::int, 'to': case when d.s = 2 then 3 else 2 end, 'made': [case when d.s = 2 then 'assistant:' else 'user:' end || text]} end,
+     case when not (blank or duplicate) and (d.s = 0 and role[1:1] = 's' or d.s <> 2 and role[1:1] = 'u' or d.s = 2 and role[1:1] = 'a')
+      then {'letter': 'K', 'more': 3 * truncated::int, 'to': case role[1:1] when 's' then 1 when 'u' then 2 else 3 end, 'made': [role || ':' || text]} end], recursive := true)) m
+   join empty e on e.s = m.to where m.letter is not null) group by c, i, s),
+ best as (select c, min(best) as best from dp join told using (c) where dp.i = told.n and dp.s in (0, 3) group by c)
+ select a.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+  coalesce(best.cost, 0)::bigint as cost, coalesce(best.audit, '') as audit, sha256(coalesce(array_to_string(best.made, chr(10)), '')) as repaired_sha256
+  from (select distinct conv_id, coalesce(conv_id::varchar, '') as c from conversations) a left join told using (c) left join best using (c)"""
+
 ORACLES["op13_collocations"] = r"""with d as (select row_number() over () as i, coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
  p as (select lang, i, unnest(regexp_split_to_array(t, '[.,;:!?\n\x{0B}\f\r]')) as piece from d),
  q as (select lang, row_number() over () as i, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') as ws from p),
