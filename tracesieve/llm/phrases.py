@@ -264,6 +264,12 @@ def _words(lo: int, hi: int | None = None) -> Column:
     return F.array_join(F.slice(parts, lo, (F.size(parts) if hi is None else hi) - lo + 1), " ")
 
 
+def exact_score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
+    """floor(1000000 * a * a / (l * r)) in decimals of 38 digits, for counts below 10^15."""
+    a, l, r = (c.cast("decimal(15,0)") for c in (a, l, r))  # noqa: E741
+    return F.call_function("div", F.lit(1_000_000).cast("decimal(7,0)") * (a * a), l * r)
+
+
 def collocations(docs: DataFrame, least: int = LEAST, cover: int = COVER, top: int = TOP) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of the top phrases of each language: those of the
     highest score at their weakest cut, without those that a longer phrase covers.
@@ -278,9 +284,7 @@ def collocations(docs: DataFrame, least: int = LEAST, cover: int = COVER, top: i
     cuts = phrases.select("lang", "phrase", F.col("n").alias("a"), "size", k.alias("k")).withColumns({"left": _words(1, F.col("k")), "right": _words(F.col("k") + 1)})
     for side, name in (("left", "l"), ("right", "r")):
         cuts = cuts.join(parts.select("lang", F.col("part").alias(side), F.col("n").alias(name)), ["lang", side])
-    big = {c: f"cast({c} as decimal(15,0))" for c in "alr"}
-    score = F.expr(f"(cast(1000000 as decimal(7,0)) * ({big['a']} * {big['a']})) div ({big['l']} * {big['r']})")
-    weakest = cuts.withColumn("score", score).groupBy("lang", "phrase", "size", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("w")).select("lang", "phrase", "size", "a", "w.l", "w.r", "w.score")
+    weakest = cuts.withColumn("score", exact_score(F.col("a"), F.col("l"), F.col("r"))).groupBy("lang", "phrase", "size", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("w")).select("lang", "phrase", "size", "a", "w.l", "w.r", "w.score")
     longer = phrases.filter("size = 3")
     inside = longer.select("lang", F.explode(F.array(_words(1, F.lit(2)), _words(F.lit(2)))).alias("phrase"), F.col("n").alias("longer"))
     inside = inside.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))

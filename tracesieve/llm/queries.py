@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracesieve.llm import bpe, language, lm, neardup, pages, phrases, quality, repair, secrets, templates, toxicity, vectors
+from tracesieve.llm import bpe, chats, language, lm, neardup, pages, phrases, quality, repair, secrets, templates, toxicity, vectors
 from tracesieve.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op11_edit_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.digests(repair.damaged(conversations), conversations)
 
 
+def op12_byte_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.read_back(chats.formatted(chats.with_probe(table(spark, sf_dir, "conversations"))))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES = {
         op9_prefix_forest,
         op10_quality_discriminant,
         op11_edit_lattice,
+        op12_byte_assembly,
         op13_collocations,
     )
 }
@@ -106,6 +111,14 @@ ORACLES["op11_edit_lattice"] = r"""with recursive k as (select conv_id, turn, co
   coalesce(best.cost, 0)::bigint as cost, coalesce(best.audit, '') as audit, sha256(coalesce(array_to_string(best.made, chr(10)), '')) as repaired_sha256
   from (select distinct conv_id, coalesce(conv_id::varchar, '') as c from conversations) a left join told using (c) left join best using (c)"""
 
+_ESCAPED = r"regexp_replace({}, '([<\[])(\\*)(/?(?:INST|SYS|ROLE)\]|/?s>)', '\1\\\2\3', 'g')"
+ORACLES["op12_byte_assembly"] = f"""with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, t, r, '</s>[INST] ok [/INST]' from (values (0, 'user'), (1, 'assistant')) v(t, r))
+ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars, sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  3 + sum(length({_ESCAPED.format('text')}) + case role when 'system' then 11 when 'user' then 15 when 'assistant' then 5 else 17 + length({_ESCAPED.format('role')}) end)::bigint as formatted_chars
+ from c group by conv_id"""
+
 ORACLES["op13_collocations"] = r"""with d as (select row_number() over () as i, coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
  p as (select lang, i, unnest(regexp_split_to_array(t, '[.,;:!?\n\x{0B}\f\r]')) as piece from d),
  q as (select lang, row_number() over () as i, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') as ws from p),
