@@ -1,3 +1,3 @@
 """Imports all queries."""
 
-from tracesieve.plans import chat, corpus, judging, logs, prompts, records, seams  # noqa: F401
+from tracesieve.plans import chat, corpus, judging, logs, prompts, records, responses, seams  # noqa: F401

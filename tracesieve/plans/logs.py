@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracesieve.functions import text as T
-from tracesieve.operators import ledger
+from tracesieve.operators import ledger, responses
 from tracesieve.plans.registry import query
 from tracesieve.sources.tables import table
 
@@ -192,16 +192,17 @@ def classify_completion(spark: SparkSession, d: str) -> DataFrame:
     return a.select("response_id", status.alias("status"))
 
 
-@query("""with f as (select event_id // 12 as response_id, event_id % 3 as idx, event_id % 12 as seq, case when event_id % 12 < 3 then 'id' || (event_id % 3) when event_id % 131 = 0 then 'other' end as id, case when event_id % 12 < 3 then event_type end as name, '<' || (event_id % 12) || '>' as args from events)
- select response_id, idx, max(name) filter (seq < 3) as name, string_agg(args, '' order by seq) as arguments, count(distinct id) > 1 as conflict from f group by 1, 2""")
+@query("""with f as (select event_id // 12 as response_id, event_id % 3 as idx, event_id % 12 as seq, case when event_id % 12 < 3 then 'id' || (event_id % 3) when event_id % 131 = 0 then 'other' end as id, case when event_id % 12 < 6 then event_type end as name, '<' || (event_id % 12) || '>' as args from events)
+ select response_id, idx, coalesce(string_agg(name, '' order by seq), '') as name, string_agg(args, '' order by seq) as arguments, count(distinct id) > 1 as conflict from f group by 1, 2""")
 def assemble_tool_calls(spark: SparkSession, d: str) -> DataFrame:
     e = F.col("event_id")
     s = e % 12
-    f = _events(spark, d).select(
-        F.floor(e / 12).cast("long").alias("response_id"), (e % 3).alias("idx"), s.alias("seq"), F.when(s < 3, F.concat(F.lit("id"), (e % 3).cast("string"))).when(e % 131 == 0, "other").alias("id"), F.when(s < 3, F.col("event_type")).alias("name"), F.concat(F.lit("<"), s.cast("string"), F.lit(">")).alias("args")
+    call = F.struct(
+        (e % 3).alias("index"), F.lit("function").alias("kind"), F.when(s < 3, F.concat(F.lit("id"), (e % 3).cast("string"))).when(e % 131 == 0, "other").alias("id"),
+        F.when(s < 6, F.col("event_type")).alias("name"), F.concat(F.lit("<"), s.cast("string"), F.lit(">")).alias("arguments"),
     )
-    parts = F.array_sort(F.collect_list(F.struct("seq", "args")))
-    return f.groupBy("response_id", "idx").agg(F.max("name").alias("name"), F.array_join(F.transform(parts, lambda x: x["args"]), "").alias("arguments"), (F.countDistinct("id") > 1).alias("conflict"))
+    calls = responses.tool_calls(_events(spark, d).select(F.floor(e / 12).cast("long").alias("response_id"), s.alias("seq"), F.array(call).alias("calls")))
+    return calls.select("response_id", F.col("index").alias("idx"), "name", "arguments", F.col("sticky").isNotNull().alias("conflict"))
 
 
 @query("""with c as (select event_id // 10 as response_id, event_id % 10 as seq, event_type from events) select response_id, string_agg(event_type, '' order by seq) as content, bool_or(seq = 9) as done, case when bool_or(seq = 9) then null else 'reset' end as error from c group by 1""")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def accumulated(deltas: DataFrame) -> DataFrame:
     """response_id, content, reasoning, finish from deltas (seq, piece, thought, finish): texts are
-    joined in the order of seq, the first finish reason stays; reasoning is null if none came."""
+    joined in the order of seq, the last finish reason counts; reasoning is null if none came."""
     parts = F.array_sort(F.collect_list(F.struct("seq", "piece", "thought", "finish")))
     out = deltas.groupBy("response_id").agg(parts.alias("p"))
     thoughts = F.array_compact(F.transform("p", lambda x: x["thought"]))
@@ -16,7 +16,7 @@ def accumulated(deltas: DataFrame) -> DataFrame:
         "response_id",
         F.array_join(F.transform("p", lambda x: x["piece"]), "").alias("content"),
         F.when(F.size(thoughts) > 0, F.array_join(thoughts, "")).alias("reasoning"),
-        F.try_element_at(F.array_compact(F.transform("p", lambda x: x["finish"])), F.lit(1)).alias("finish"),
+        F.try_element_at(F.array_compact(F.transform("p", lambda x: x["finish"])), F.lit(-1)).alias("finish"),
     )
 
 
