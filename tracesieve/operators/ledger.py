@@ -89,6 +89,58 @@ def receipts(events: DataFrame) -> DataFrame:
     )
 
 
+#: What an observation of an attempt may carry: counters, which only grow, and names, which don't change.
+COUNTERS = ("prompt_tokens", "completion_tokens", "total_tokens", "reasoning_tokens")
+NAMES = ("response_id", "model", "provider")
+
+
+def attempt_ledger(events: DataFrame) -> DataFrame:
+    """attempt_id, observations, transport, interpretation, cost_state, cost_usd, cost_invalid, conflicts,
+    events and the merged COUNTERS and NAMES, from events (attempt_id, event_id, kind, sequence, status,
+    cost_state, cost_usd, COUNTERS, NAMES) in the order of event_id.
+
+    A repeated observation is none. One out of sequence (from 0) is kept, not merged, and a conflict; so is a counter or
+    a known cost that falls and a name that changes, but the new value lands. A cost that isn't a finite number from 0 on is
+    invalid, for good. The first settlement and the first interpretation stay; another one is a conflict."""
+    cost = F.col("cost_usd")
+    bad = (F.col("cost_state") == "known") & (cost.isNull() | F.isnan(cost) | (F.abs(cost) == float("inf")) | (cost < 0))
+    observed = events.filter("kind = 'observe'").withColumn("cost_state", F.when(bad, "invalid").otherwise(F.col("cost_state")))
+    observed = observed.withColumn("cost_usd", F.when(F.col("cost_state") == "known", cost))
+    same = ["attempt_id", "sequence", "cost_state", "cost_usd", *COUNTERS, *NAMES]
+    observed = observed.groupBy(*same).agg(F.min("event_id").alias("event_id"))
+    before = Window.partitionBy("attempt_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = observed.withColumn("merged", F.col("sequence") == F.coalesce(F.max("sequence").over(before) + 1, F.lit(0)))
+    told = lambda c: F.when(F.col("merged"), F.col(c))
+    paid = F.when(F.col("merged") & (F.col("cost_state") != "missing"), F.struct("cost_state", "cost_usd"))
+    last = lambda c: F.last(c, True).over(before)
+    rows = rows.withColumns({**{f"{c}_": last(told(c)) for c in COUNTERS + NAMES}, "paid": paid, "paid_": last(paid)})
+    faults = [F.when(~F.col("merged"), "observation_sequence")]
+    faults += [F.when(told(c) < F.col(f"{c}_"), c) for c in COUNTERS]
+    faults += [F.when(told(c) != F.col(f"{c}_"), c) for c in NAMES]
+    faults.append(F.when((F.col("paid.cost_state") == "known") & (F.col("paid_.cost_state") == "known") & (F.col("paid.cost_usd") < F.col("paid_.cost_usd")), "cost_usd"))
+    merged = rows.groupBy("attempt_id").agg(
+        F.count(F.lit(1)).alias("observations"),
+        F.max_by("paid", F.when(F.col("paid").isNotNull(), F.col("event_id"))).alias("paid"),
+        F.bool_or(F.coalesce(F.col("paid.cost_state") == "invalid", F.lit(False))).alias("cost_invalid"),
+        F.flatten(F.collect_set(F.array_compact(F.array(*faults)))).alias("faults"),
+        *(F.max_by(c, F.when(F.col("merged") & F.col(c).isNotNull(), F.col("event_id"))).alias(c) for c in COUNTERS + NAMES),
+    )
+    ends = {"transport": "settle", "interpretation": "interpret"}
+    status = {n: F.when(F.col("kind") == k, F.col("status")) for n, k in ends.items()}
+    settled = events.groupBy("attempt_id").agg(
+        F.count(F.lit(1)).alias("events"),
+        *(F.min_by(s, F.when(s.isNotNull(), F.col("event_id"))).alias(n) for n, s in status.items()),
+        *((F.countDistinct(s) > 1).alias(f"{n}_conflict") for n, s in status.items()),
+    )
+    x = settled.join(merged, "attempt_id", "left")
+    more = F.array_compact(F.array(*(F.when(F.col(f"{n}_conflict"), F.lit(n)) for n in ends)))
+    conflicts = F.array_sort(F.array_distinct(F.concat(F.coalesce("faults", F.array().cast("array<string>")), more)))
+    return x.select(
+        "attempt_id", F.coalesce("observations", F.lit(0)).alias("observations"), "transport", "interpretation", F.coalesce("paid.cost_state", F.lit("missing")).alias("cost_state"),
+        F.col("paid.cost_usd").alias("cost_usd"), F.coalesce("cost_invalid", F.lit(False)).alias("cost_invalid"), F.array_join(conflicts, ",").alias("conflicts"), "events", *COUNTERS, *NAMES,
+    )
+
+
 def cache_lookup(requests: DataFrame, log: DataFrame, keys: list[str]) -> DataFrame:
     """requests with the last value that the append log has for their key; null if none."""
     last = log.groupBy(*keys).agg(F.max_by("value", "at").alias("value"))
