@@ -8,27 +8,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def separation(rows: DataFrame) -> DataFrame:
-    """One row. Groups of rows by (run_id, group_id): how many have one row, all passed, all failed
-    or both; the share that can be told apart; means over groups of the largest and the mean score
-    and of their gap, and the mean over all rows."""
-    score = F.when(F.col("aggregate").between(0, 1), F.col("aggregate"))
-    g = rows.withColumn("s", score).groupBy("run_id", "group_id").agg(
-        F.count("*").alias("n"), F.bool_and("all_passed").alias("all_pass"), F.bool_or("all_passed").alias("any_pass"), F.max("s").alias("top"), F.avg("s").alias("mid"), F.sum("s").alias("total"), F.count("s").alias("scored")
+def separation(rows: DataFrame, least_groups: int = 10, least_fraction: float = 0.05) -> DataFrame:
+    """One row. Groups of rows by (run_id, training_area, group_id): how many have one row, all passed, all
+    failed or both; the share of the last among those of two rows or more, and whether it, or their
+    number, is too low (null if least_fraction is no share). Scores count in groups that all passed and
+    have two valid ones (finite, from 0 to 1) or more: the means over those groups of the largest, of the
+    mean and of their gap, and the mean over all their scores. Valid or not, no other score counts."""
+    valid = F.col("aggregate").isNotNull() & ~F.isnan("aggregate") & F.col("aggregate").between(0, 1)
+    g = rows.withColumn("s", F.when(valid, F.col("aggregate"))).groupBy("run_id", "training_area", "group_id").agg(
+        F.count("*").alias("n"), F.bool_and("all_passed").alias("all_pass"), F.bool_or("all_passed").alias("any_pass"), F.max("s").alias("top"), F.avg("s").alias("mid"),
+        F.sum("s").alias("total"), F.count("s").alias("scored"), (F.count("aggregate") - F.count("s")).alias("invalid"),
     )
     many = F.col("n") > 1
     mixed = many & F.col("any_pass") & ~F.col("all_pass")
+    told = many & F.col("all_pass") & (F.col("scored") > 1)
+    of = lambda c: F.when(told, c)
+    share = F.try_divide(F.count_if(mixed), F.count_if(many))
+    low = (F.count_if(mixed) < least_groups) | (F.coalesce(share, F.lit(0.0)) < least_fraction)
     return g.agg(
         F.count("*").alias("groups"),
         F.count_if(~many).alias("singletons"),
         F.count_if(many & F.col("all_pass")).alias("all_pass"),
         F.count_if(many & ~F.col("any_pass")).alias("all_fail"),
         F.count_if(mixed).alias("mixed"),
-        F.try_divide(F.count_if(mixed), F.count_if(many)).alias("decidable"),
-        F.avg("top").alias("mean_max"),
-        F.avg("mid").alias("mean_mean"),
-        F.try_divide(F.sum("total"), F.sum("scored")).alias("pooled_mean"),
-        F.avg(F.col("top") - F.col("mid")).alias("mean_gap"),
+        share.alias("decidable"),
+        F.count_if(told).alias("score_groups"),
+        F.avg(of(F.col("top"))).alias("mean_max"),
+        F.avg(of(F.col("mid"))).alias("mean_mean"),
+        F.try_divide(F.sum(of(F.col("total"))), F.sum(of(F.col("scored")))).alias("pooled_mean"),
+        F.avg(of(F.col("top") - F.col("mid"))).alias("mean_gap"),
+        F.coalesce(F.sum("invalid"), F.lit(0)).alias("invalid_scores"),
+        (low if 0 <= least_fraction <= 1 else F.lit(None).cast("boolean")).alias("low_decidability"),
     )
 
 

@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: What an observation of an attempt may carry: counters, which only grow, and names, which don't change.
+COUNTERS = ("prompt_tokens", "completion_tokens", "total_tokens", "reasoning_tokens")
+NAMES = ("response_id", "model", "provider")
+
+
 def latest(rows: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
     """The columns of each key's last row by order; aggregation, not a window, so that a hot key is
     combined before it is moved."""
@@ -29,12 +34,6 @@ def admit_rate(tallied: DataFrame) -> DataFrame:
     return tallied.select("run_id", F.try_divide(F.col("admitted").cast("double"), F.col("admitted") + F.col("rejected")).alias("admit_rate"))
 
 
-def sequence_conflicts(rows: DataFrame, key: str, seq: str) -> DataFrame:
-    """Rows whose number isn't the one before plus one (the first: 1)."""
-    before = F.lag(seq, 1, 0).over(Window.partitionBy(key).orderBy(seq, "event_id"))
-    return rows.withColumn("expected", before + 1).filter(F.col(seq) != F.col("expected"))
-
-
 def breaker(rows: DataFrame, key: str, trip: int) -> DataFrame:
     """key, tripped: whether `trip` failures in a row came before any success. Without a window:
     the first success, and the failures before it (all, if there is none)."""
@@ -43,21 +42,34 @@ def breaker(rows: DataFrame, key: str, trip: int) -> DataFrame:
     return first.join(early.groupBy(key).agg(F.count("*").alias("failures")), key, "left").select(key, (F.coalesce("failures", F.lit(0)) >= trip).alias("tripped"))
 
 
-def accounting(attempts: DataFrame, key: str = "run_id") -> DataFrame:
-    """Per run: attempts, known cost, attempts whose cost is unknown or invalid, conflicting and
-    unresolved ones, and for tokens the known sum and what is missing. attempts: cost_state
-    (known, missing, invalid), cost, conflict, settled, tokens, elapsed_ms."""
-    known = (F.col("cost_state") == "known") & ~F.col("conflict")
-    return attempts.groupBy(key).agg(
+def accounting(receipts: DataFrame, key: str = "run_id") -> DataFrame:
+    """Per run, from receipts (cost_state, cost_usd, conflicts and invalid_fields as joined names, COUNTERS,
+    transport, elapsed_ms): attempts; known_usd, the sum of the known costs that are neither invalid nor in conflict, null if it
+    overflows; how many costs are missing or invalid; conflicting and unresolved attempts; of each counter the known sum
+    (null if it overflows), and how many attempts lack it or have it in conflict or invalid; elapsed_ms of settled attempts."""
+    names = lambda c: F.split(F.coalesce(c, F.lit("")), ",")
+    held = lambda c, name: F.array_contains(names(c), name)
+    invalid = held("invalid_fields", "cost") | (F.col("cost_state") == "invalid")
+    known = ~invalid & (F.col("cost_state") == "known") & ~held("conflicts", "cost_usd")
+    usd = F.coalesce(F.sum(F.when(known, F.col("cost_usd"))), F.lit(0.0))
+    counted = []
+    for c in COUNTERS:
+        bad = held("invalid_fields", c) | held("conflicts", c)
+        total = F.sum(F.when(~bad, F.col(c)).cast("decimal(20,0)"))
+        counted += [
+            F.when(total.isNull(), F.lit(0)).when(total <= F.lit((1 << 63) - 1), total.cast("long")).alias(f"{c}_known"),
+            F.count_if(~bad & F.col(c).isNull()).alias(f"{c}_missing"),
+            F.count_if(bad).alias(f"{c}_invalid"),
+        ]
+    return receipts.groupBy(key).agg(
         F.count("*").alias("attempts"),
-        F.coalesce(F.sum(F.when(known, F.col("cost"))), F.lit(0.0)).alias("known_usd"),
-        F.count_if(F.col("cost_state") == "missing").alias("unknown_cost"),
-        F.count_if(F.col("cost_state") == "invalid").alias("invalid_cost"),
-        F.count_if("conflict").alias("conflicting"),
-        F.count_if(~F.col("settled")).alias("unresolved"),
-        F.coalesce(F.sum(F.when(~F.col("conflict"), F.col("tokens"))), F.lit(0)).alias("tokens"),
-        F.count_if(F.col("tokens").isNull()).alias("missing_tokens"),
-        F.coalesce(F.sum(F.when(F.col("settled"), F.col("elapsed_ms"))), F.lit(0)).alias("elapsed_ms"),
+        F.when(F.abs(usd) < float("inf"), usd).alias("known_usd"),
+        F.count_if(~invalid & (F.col("cost_state") == "missing")).alias("unknown_cost"),
+        F.count_if(invalid).alias("invalid_cost"),
+        F.count_if(F.coalesce("conflicts", F.lit("")) != "").alias("conflicting"),
+        F.count_if(F.col("transport").isNull()).alias("unresolved"),
+        *counted,
+        F.coalesce(F.try_sum(F.when(F.col("transport").isNotNull(), F.col("elapsed_ms"))), F.lit(0)).alias("elapsed_ms"),
     )
 
 
@@ -67,7 +79,7 @@ def spend_gate(accounts: DataFrame, limit: float, live: Column | None = None) ->
     out = (
         F.when((F.col("unresolved") > 0) & live, "wait")
         .when(F.col("unresolved") > 0, "denied_unresolved")
-        .when((F.col("invalid_cost") > 0) | (F.col("conflicting") > 0), "denied_invalid")
+        .when(F.col("known_usd").isNull() | (F.col("invalid_cost") > 0) | (F.col("conflicting") > 0), "denied_invalid")
         .when(F.col("unknown_cost") > 0, "denied_unknown")
         .when(F.col("known_usd") >= limit, "denied_limit")
         .otherwise("admitted")
@@ -89,11 +101,6 @@ def receipts(events: DataFrame) -> DataFrame:
     )
 
 
-#: What an observation of an attempt may carry: counters, which only grow, and names, which don't change.
-COUNTERS = ("prompt_tokens", "completion_tokens", "total_tokens", "reasoning_tokens")
-NAMES = ("response_id", "model", "provider")
-
-
 def attempt_ledger(events: DataFrame) -> DataFrame:
     """attempt_id, observations, transport, interpretation, cost_state, cost_usd, cost_invalid, conflicts,
     events and the merged COUNTERS and NAMES, from events (attempt_id, event_id, kind, sequence, status,

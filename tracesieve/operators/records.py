@@ -61,15 +61,24 @@ def held_out(rows: DataFrame, split: str = "split") -> DataFrame:
 
 
 def guarded(commands: DataFrame, current: DataFrame) -> DataFrame:
-    """Outcome of every command (command_id, record_id, expected, placed) on the current versions
-    (record_id, version): already_applied for a command id seen before, not_found, conflict if
-    another version was expected or an earlier command has changed the record, else applied."""
-    first = F.row_number().over(Window.partitionBy("command_id").orderBy("placed", "record_id")) == 1
-    joined = commands.withColumn("first", first).join(current, "record_id", "left")
-    fits = F.col("first") & (F.col("expected") == F.col("version"))
-    turn = F.sum(F.coalesce(fits, F.lit(False)).cast("int")).over(Window.partitionBy("record_id").orderBy("placed", "command_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    outcome = F.when(~F.col("first"), "already_applied").when(F.col("version").isNull(), "not_found").when(fits & (turn == 1), "applied").otherwise("conflict")
-    return joined.select("command_id", "record_id", "placed", outcome.alias("outcome"))
+    """Outcome of every command (command_id, record_id, expected, placed) on the records' versions (record_id,
+    version), in the order of (placed, command_id): already_applied if the record has committed that id before, not_found
+    without a record, applied if the version is the expected one, which it raises by one, else conflict. Only what was applied
+    is remembered. One record's commands depend on each other and are folded together, as one array of small rows."""
+    rows = commands.select("command_id", "record_id", "expected", "placed").join(current.select("record_id", "version"), "record_id", "left")
+    each = F.array_sort(F.collect_list(F.struct("placed", "command_id", F.col("expected").cast("long").alias("expected"))))
+    of = rows.groupBy("record_id").agg(F.first("version").cast("long").alias("version"), each.alias("c"))
+    told = "array<struct<command_id string, placed long, outcome string>>"
+    zero = F.struct(F.col("version").alias("version"), F.array().cast("array<string>").alias("done"), F.array().cast(told).alias("told"))
+
+    def step(a: Column, c: Column) -> Column:
+        again = F.array_contains(a["done"], c["command_id"])
+        fits = F.coalesce(a["version"] == c["expected"], F.lit(False)) & ~again
+        outcome = F.when(again, "already_applied").when(a["version"].isNull(), "not_found").when(fits, "applied").otherwise("conflict")
+        row = F.struct(c["command_id"].alias("command_id"), c["placed"].alias("placed"), outcome.alias("outcome"))
+        return F.struct((a["version"] + fits.cast("int")).alias("version"), F.when(fits, F.array_append(a["done"], c["command_id"])).otherwise(a["done"]).alias("done"), F.array_append(a["told"], row).alias("told"))
+
+    return of.select("record_id", F.inline(F.aggregate("c", zero, step)["told"])).select("command_id", "record_id", "placed", "outcome")
 
 
 def bounded(events: DataFrame, window: Column, order: list[str], capacity: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracesieve.operators import consensus, evaluate, ledger, selection
+from tracesieve.operators import consensus, evaluate, ledger, selection, sequences
 from tracesieve.plans.registry import query
 from tracesieve.plans.sql import CANDIDATES, VOTES
 from tracesieve.sources.tables import candidates, table, votes
@@ -248,11 +248,19 @@ def admit_rate(spark: SparkSession, d: str) -> DataFrame:
     return ledger.admit_rate(ledger.tally(_candidates(spark, d)))
 
 
-@query(_C + """, g as (select run_id, group_id, count(*) as n, bool_and(all_passed) as a, bool_or(all_passed) as o, max(aggregate) as top, avg(aggregate) as mid, sum(aggregate) as total, count(aggregate) as scored from cand group by 1, 2)
- select count(*) as groups, count(*) filter (n = 1) as singletons, count(*) filter (n > 1 and a) as all_pass, count(*) filter (n > 1 and not o) as all_fail, count(*) filter (n > 1 and o and not a) as mixed,
- round(count(*) filter (n > 1 and o and not a) / (count(*) filter (n > 1))::double, 9) as decidable, round(avg(top), 9) as mean_max, round(avg(mid), 9) as mean_mean, round(sum(total) / sum(scored), 9) as pooled_mean, round(avg(top - mid), 9) as mean_gap from g""")
+# Rows of a group may differ in their area; some scores are out of range or no number.
+@query(_C + """, x as (select *, 'area' || (group_id % 3) as training_area, case when record_id % 37 = 0 then 1.5 when record_id % 41 = 0 then 'nan'::double else aggregate end as v from cand),
+ g as (select count(*) as n, bool_and(all_passed) as a, bool_or(all_passed) as o, max(v) filter (ok) as top, avg(v) filter (ok) as mid, sum(v) filter (ok) as total, count(*) filter (ok) as scored, count(v) filter (not ok) as invalid
+  from (select *, coalesce(isfinite(v) and v between 0 and 1, false) as ok from x) group by run_id, training_area, group_id), h as (select *, n > 1 and a and scored > 1 as told, n > 1 and o and not a as mixed from g)
+ select count(*) as groups, count(*) filter (n = 1) as singletons, count(*) filter (n > 1 and a) as all_pass, count(*) filter (n > 1 and not o) as all_fail, count(*) filter (mixed) as mixed,
+ round(count(*) filter (mixed) / (count(*) filter (n > 1))::double, 9) as decidable, count(*) filter (told) as score_groups, round(avg(top) filter (told), 9) as mean_max, round(avg(mid) filter (told), 9) as mean_mean,
+ round(sum(total) filter (told) / sum(scored) filter (told), 9) as pooled_mean, round(avg(top - mid) filter (told), 9) as mean_gap, sum(invalid)::bigint as invalid_scores,
+ count(*) filter (mixed) < 10 or coalesce(count(*) filter (mixed) / (count(*) filter (n > 1))::double, 0) < 0.05 as low_decidability from h""")
 def separation_diagnostics(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(evaluate.separation(_candidates(spark, d)), "decidable", "mean_max", "mean_mean", "pooled_mean", "mean_gap")
+    k = F.col("record_id")
+    rows = _candidates(spark, d).withColumn("training_area", F.concat(F.lit("area"), (F.col("group_id") % 3).cast("string")))
+    rows = rows.withColumn("aggregate", F.when(k % 37 == 0, 1.5).when(k % 41 == 0, float("nan")).otherwise(F.col("aggregate")))
+    return _rounded(evaluate.separation(rows), "decidable", "mean_max", "mean_mean", "pooled_mean", "mean_gap")
 
 
 @query(_C + """, c as (select *, (record_id * 7 % 11) / 10.0::double as outcome from cand), g as (select group_id, bool_and(all_passed) as ok, count(aggregate) as scored, first(outcome order by aggregate desc nulls last, idx) as chosen, avg(outcome) filter (aggregate is not null) as mid from c group by 1)
@@ -311,14 +319,13 @@ def sibling_consistency(spark: SparkSession, d: str) -> DataFrame:
     return _candidates(spark, d).groupBy("group_id").agg(F.count("*").alias("members"), n.alias("n_completions"), ((F.countDistinct("idx") == n) & (F.count("*") == n) & (F.countDistinct("run_id") == 1)).alias("consistent"))
 
 
-@query(_C + """select o_orderkey % 8 as shard, o_orderkey as item, row_number() over (partition by o_orderkey % 8 order by o_orderkey) - 1 as "offset", 1000 + o_orderkey as seed,
- 'run0-s' || (o_orderkey % 8) || '-seed' || (1000 + o_orderkey) || '-a0-c0' as record_id from orders""")
+# Of the orders that are not finished: their keys have gaps.
+@query("""with i as (select o_orderkey as item, row_number() over (order by o_orderkey) - 1 as i from orders where o_orderstatus <> 'F')
+ select i % 8 as shard, item, row_number() over (partition by i % 8 order by i) - 1 as "offset", 1000 + i as seed, 'run0-s' || (i % 8) || '-seed' || (1000 + i) || '-a0-c0' as record_id from i""")
 def seed_shards(spark: SparkSession, d: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    # item i is at i // 8 of its shard: the ordinal needs no window
-    return table(spark, d, "orders").select(
-        (k % 8).alias("shard"), k.alias("item"), F.floor(k / 8).cast("long").alias("offset"), (k + 1000).alias("seed"), F.format_string("run0-s%d-seed%d-a%d-c%d", k % 8, k + 1000, F.lit(0), F.lit(0)).alias("record_id")
-    )
+    items = table(spark, d, "orders").filter("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("item"))
+    x = sequences.shards(items, ["item"], 8, 1000)
+    return x.withColumn("record_id", F.format_string("run0-s%d-seed%d-a%d-c%d", "shard", "seed", F.lit(0), F.lit(0)))
 
 
 @query("""with p as (select l_orderkey % 16 as shard, l_orderkey // 16 as "offset", 7 + l_orderkey % 5000 as seed from (select distinct l_orderkey from lineitem))

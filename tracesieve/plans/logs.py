@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracesieve.functions import text as T
-from tracesieve.operators import ledger, responses
+from tracesieve.operators import ledger, responses, sequences
 from tracesieve.plans.registry import query
 from tracesieve.sources.tables import table
 
@@ -25,9 +25,8 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"select user_id as record_id, event_id, {_STATE} as state, row_number() over (partition by user_id order by event_id) as ordinal from events")
 def lifecycle_history(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    return _events(spark, d).select(F.col("user_id").alias("record_id"), "event_id", _state().alias("state"), F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")).alias("ordinal"))
+    rows = _events(spark, d).select(F.col("user_id").alias("record_id"), "event_id", _state().alias("state"))
+    return sequences.in_order(rows, ["record_id"], ["event_id"]).select("record_id", "event_id", "state", (F.col("place") + 1).alias("ordinal"))
 
 
 @query(f"select record_id, state, event_id, state in ('admitted', 'errored') as terminal from (select user_id as record_id, {_STATE} as state, event_id, row_number() over (partition by user_id order by ts desc, event_id desc) as k from events) where k = 1")
@@ -45,10 +44,9 @@ def latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
 @query("""with s as (select user_id, event_id, row_number() over (partition by user_id order by event_id) + case when event_id % 97 = 0 then 1 else 0 end as seq from events),
  l as (select *, coalesce(lag(seq) over (partition by user_id order by seq, event_id), 0) + 1 as expected from s) select user_id, event_id, seq, expected from l where seq <> expected""")
 def sequence_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    seq = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) + F.when(F.col("event_id") % 97 == 0, 1).otherwise(0)
-    return ledger.sequence_conflicts(_events(spark, d).select("user_id", "event_id", seq.cast("long").alias("seq")), "user_id", "seq")
+    placed = sequences.in_order(_events(spark, d).select("user_id", "event_id"), ["user_id"], ["event_id"])
+    seq = F.col("place") + 1 + F.when(F.col("event_id") % 97 == 0, 1).otherwise(0)
+    return sequences.conflicts(placed.select("user_id", "event_id", seq.alias("seq")), "user_id", "seq", "event_id")
 
 
 @query("""with e as (select user_id, event_id, event_type in ('error', 'view') as failed from events), f as (select user_id, min(event_id) filter (not failed) as first_success from e group by 1)
@@ -58,24 +56,38 @@ def circuit_breaker(spark: SparkSession, d: str) -> DataFrame:
     return ledger.breaker(rows, "user_id", 3)
 
 
-_ATTEMPTS = """attempts as (select 'run' || (user_id % 40) as run_id, case when event_type = 'error' and user_id % 40 < 12 then 'invalid' when event_id % 50 = 0 then 'missing' else 'known' end as cost_state, value / 100 as cost,
-  event_id % 211 = 0 as conflict, event_type <> 'view' or event_id % 3 > 0 as settled, case when event_id % 9 > 0 then event_id % 1000 end as tokens, event_id % 60 as elapsed_ms from events)"""
-_ACCOUNTS = """accounts as (select run_id, count(*) as attempts, coalesce(sum(cost) filter (cost_state = 'known' and not conflict), 0) as known_usd, count(*) filter (cost_state = 'missing') as unknown_cost,
-  count(*) filter (cost_state = 'invalid') as invalid_cost, count(*) filter (conflict) as conflicting, count(*) filter (not settled) as unresolved, coalesce(sum(tokens) filter (not conflict), 0)::bigint as tokens,
-  count(*) filter (tokens is null) as missing_tokens, coalesce(sum(elapsed_ms) filter (settled), 0)::bigint as elapsed_ms from attempts group by run_id)"""
+# Receipts of attempts; read by Spark and by DuckDB alike.
+_ATTEMPT = {
+    "run_id": "'run' || (user_id % 40)",
+    "cost_state": "case when event_id % 50 = 0 then 'missing' when event_id % 173 = 0 then 'invalid' else 'known' end",
+    "cost_usd": "case when event_id % 50 <> 0 and event_id % 173 <> 0 then value / 100 end",
+    "conflicts": "case when event_id % 211 = 0 then 'cost_usd' when event_id % 97 = 0 then 'model,prompt_tokens' when event_id % 89 = 0 then 'completion_tokens' else '' end",
+    "invalid_fields": "case when event_id % 157 = 0 then 'cost' when event_id % 151 = 0 then 'total_tokens,prompt_tokens' end",
+    "prompt_tokens": "case when event_id % 9 > 0 then event_id % 1000 end",
+    "completion_tokens": "case when event_id % 7 > 0 then event_id % 300 end",
+    "total_tokens": "event_id % 1300",
+    "reasoning_tokens": "case when event_type = 'click' then event_id % 70 end",
+    "transport": "case when event_type <> 'view' or event_id % 3 > 0 then 'complete' end",
+    "elapsed_ms": "event_id % 60",
+}
+_ATTEMPTS = f"attempts as (select {', '.join(f'{v} as {n}' for n, v in _ATTEMPT.items())} from events)"
+
+
+def _accounts(attempts: str) -> str:
+    held = lambda c, x: f"list_contains(string_split(coalesce({c}, ''), ','), '{x}')"
+    bad = {c: f"({held('invalid_fields', c)} or {held('conflicts', c)})" for c in ledger.COUNTERS}
+    invalid = f"({held('invalid_fields', 'cost')} or cost_state = 'invalid')"
+    counted = ", ".join(f"coalesce(sum({c}) filter (not {b}), 0)::bigint as {c}_known, count(*) filter (not {b} and {c} is null) as {c}_missing, count(*) filter ({b}) as {c}_invalid" for c, b in bad.items())
+    return f"""accounts as (select run_id, count(*) as attempts, coalesce(sum(cost_usd) filter (not {invalid} and cost_state = 'known' and not {held('conflicts', 'cost_usd')}), 0) as known_usd,
+  count(*) filter (not {invalid} and cost_state = 'missing') as unknown_cost, count(*) filter ({invalid}) as invalid_cost, count(*) filter (coalesce(conflicts, '') <> '') as conflicting, count(*) filter (transport is null) as unresolved,
+  {counted}, coalesce(sum(elapsed_ms) filter (transport is not null), 0)::bigint as elapsed_ms from {attempts} group by run_id)"""
+
+
+_ACCOUNTS = _accounts("attempts")
 
 
 def _attempts(spark: SparkSession, d: str) -> DataFrame:
-    e, t = F.col("event_id"), F.col("event_type")
-    return _events(spark, d).select(
-        F.concat(F.lit("run"), (F.col("user_id") % 40).cast("string")).alias("run_id"),
-        F.when((t == "error") & (F.col("user_id") % 40 < 12), "invalid").when(e % 50 == 0, "missing").otherwise("known").alias("cost_state"),
-        (F.col("value") / 100).alias("cost"),
-        (e % 211 == 0).alias("conflict"),
-        ((t != "view") | (e % 3 > 0)).alias("settled"),
-        F.when(e % 9 > 0, e % 1000).alias("tokens"),
-        (e % 60).alias("elapsed_ms"),
-    )
+    return _events(spark, d).select(*(F.expr(v).alias(n) for n, v in _ATTEMPT.items()))
 
 
 @query(f"with {_ATTEMPTS}, {_ACCOUNTS} select * replace (round(known_usd, 6) as known_usd) from accounts")
@@ -83,13 +95,13 @@ def accounting_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return ledger.accounting(_attempts(spark, d)).withColumn("known_usd", F.round("known_usd", 6))
 
 
-# Three limits in turn show every answer: runs by their number.
-@query(f"""with {_ATTEMPTS}, {_ACCOUNTS}, a as (select run_id, attempts, substr(run_id, 4)::int as k, known_usd, unknown_cost * ((substr(run_id, 4)::int) % 2) as unknown_cost, invalid_cost + conflicting * ((substr(run_id, 4)::int) % 3) as bad, unresolved * (case when substr(run_id, 4)::int % 4 = 0 then 1 else 0 end) as unresolved from accounts)
- select run_id, case when unresolved > 0 and k % 8 = 0 then 'wait' when unresolved > 0 then 'denied_unresolved' when bad > 0 then 'denied_invalid' when unknown_cost > 0 then 'denied_unknown' when known_usd >= 80 then 'denied_limit' else 'admitted' end as admission from a""")
+# Four runs of each kind of evidence show every answer: runs by their number.
+@query(f"""with {_ATTEMPTS}, {_ACCOUNTS}, a as (select *, substr(run_id, 4)::int as k from accounts), b as (select run_id, k, known_usd, unknown_cost * (k % 2) as unknown_cost, (invalid_cost + conflicting) * (k % 3) as bad, unresolved * (case when k % 4 = 0 then 1 else 0 end) as unresolved from a)
+ select run_id, case when unresolved > 0 and k % 8 = 0 then 'wait' when unresolved > 0 then 'denied_unresolved' when bad > 0 then 'denied_invalid' when unknown_cost > 0 then 'denied_unknown' when known_usd >= 80 then 'denied_limit' else 'admitted' end as admission from b""")
 def spend_gate(spark: SparkSession, d: str) -> DataFrame:
     k = F.substring("run_id", 4, 9).cast("int")
     a = ledger.accounting(_attempts(spark, d))
-    a = a.withColumns({"unknown_cost": F.col("unknown_cost") * (k % 2), "conflicting": F.col("conflicting") * (k % 3), "unresolved": F.col("unresolved") * (k % 4 == 0).cast("int")})
+    a = a.withColumns({"unknown_cost": F.col("unknown_cost") * (k % 2), "invalid_cost": F.col("invalid_cost") * (k % 3), "conflicting": F.col("conflicting") * (k % 3), "unresolved": F.col("unresolved") * (k % 4 == 0).cast("int")})
     return ledger.spend_gate(a, 80.0, k % 8 == 0).select("run_id", "admission")
 
 

@@ -61,15 +61,15 @@ def deterministic_ids(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select(k.alias("record_key"), made.alias("record_id"))
 
 
-@query("""with c as (select 'c' || (o_orderkey // 3) as command_id, o_custkey as record_id, o_orderkey % 3 as expected, o_orderkey as placed from orders),
+@query("""with recursive c as (select 'c' || (o_orderkey % 7) as command_id, o_custkey as record_id, o_orderkey % 4 as expected, o_orderkey as placed, row_number() over (partition by o_custkey order by o_orderkey) as i from orders),
  v as (select c_custkey as record_id, c_custkey % 3 as version from customer where c_mktsegment <> 'BUILDING'),
- f as (select c.*, version, row_number() over (partition by command_id order by placed, record_id) = 1 as first from c left join v using (record_id)),
- g as (select *, first and coalesce(expected = version, false) as fits from f),
- h as (select *, sum(fits::int) over (partition by record_id order by placed, command_id rows unbounded preceding) as turn from g)
- select command_id, record_id, placed, case when not first then 'already_applied' when version is null then 'not_found' when fits and turn = 1 then 'applied' else 'conflict' end as outcome from h""")
+ r(record_id, i, version, done, command_id, placed, outcome) as (select distinct c.record_id, 0::bigint, version, []::varchar[], null::varchar, null::bigint, null::varchar from c left join v using (record_id)
+  union all select r.record_id, c.i, version + (o = 'applied')::int, case when o = 'applied' then list_append(done, c.command_id) else done end, c.command_id, c.placed, o from r join c on c.record_id = r.record_id and c.i = r.i + 1,
+  lateral (select case when list_contains(done, c.command_id) then 'already_applied' when version is null then 'not_found' when version = c.expected then 'applied' else 'conflict' end as o))
+ select command_id, record_id, placed, outcome from r where i > 0""")
 def guarded_transition(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
-    commands = table(spark, d, "orders").select(F.concat(F.lit("c"), F.floor(k / 3).cast("string")).alias("command_id"), F.col("o_custkey").alias("record_id"), (k % 3).alias("expected"), k.alias("placed"))
+    commands = table(spark, d, "orders").select(F.concat(F.lit("c"), (k % 7).cast("string")).alias("command_id"), F.col("o_custkey").alias("record_id"), (k % 4).alias("expected"), k.alias("placed"))
     current = table(spark, d, "customer").filter("c_mktsegment != 'BUILDING'").select(F.col("c_custkey").alias("record_id"), (F.col("c_custkey") % 3).alias("version"))
     return R.guarded(commands, current)
 
