@@ -61,3 +61,18 @@ def conflicts(rows: DataFrame, key: str, seq: str, tie: str) -> DataFrame:
     x = in_order(rows, [key], [seq, tie], [seq])
     expected: Column = F.coalesce(F.col("before")[seq], F.lit(0)) + 1
     return x.select(*rows.columns, expected.cast("long").alias("expected")).filter(F.col(seq) != F.col("expected"))
+
+
+def prefix_sums(rows: DataFrame, order: list[str], columns: list[str]) -> DataFrame:
+    """rows with ordinal and, for each of the columns, upto_COLUMN: its sum over the rows up to and with
+    this one in the order; nulls add nothing. A part adds its own, what came before it is one row a part."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cut(rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    w = Window.partitionBy("_part").orderBy(*order)
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = dealt.select("*", F.row_number().over(w).cast("long").alias("_at"), *(F.coalesce(F.sum(c).over(running), F.lit(0)).alias(f"_{c}") for c in columns))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), *(F.sum(c).alias(c) for c in columns))
+    bases = totals.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_n"), *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_before_{c}") for c in columns))
+    x = local.join(F.broadcast(bases), "_part")
+    return x.select(*rows.columns, (F.col("_n") + F.col("_at") - 1).alias("ordinal"), *((F.col(f"_{c}") + F.col(f"_before_{c}")).alias(f"upto_{c}") for c in columns))

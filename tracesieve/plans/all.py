@@ -1,3 +1,3 @@
 """Imports all queries."""
 
-from tracesieve.plans import artifacts, chat, corpus, judging, logs, machines, prompts, records, responses, seams  # noqa: F401
+from tracesieve.plans import artifacts, budgets, chat, corpus, judging, logs, machines, prompts, records, responses, seams  # noqa: F401
