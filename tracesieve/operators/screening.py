@@ -167,14 +167,41 @@ def extended_groups(groups: DataFrame, previous: DataFrame) -> DataFrame:
 
 
 def cyclic_nodes(edges: DataFrame) -> DataFrame:
-    """Nodes of edges (child, parent) that stand on a cycle or lead only to one: leaves are taken
-    away until none is left."""
-    left = cut(edges.select("child", "parent").distinct())
+    """Nodes of edges (child, parent) from which parents go on for ever: on a cycle, or above one.
+
+    A pass drops the edges to nodes without parents, and an edge to a node with a single parent goes on to
+    that parent. So a line of n single parents takes log2(n) passes; where ways branch, a pass takes one level. The passes
+    end when none leads to a node without parents: what is left has no end."""
+    left = edges.select("child", "parent").filter("child is not null and parent is not null").distinct()
+    left = cut(left)
     while True:
-        kept = cut(left.join(left.select(F.col("child").alias("parent")).distinct(), "parent", "left_semi").select("child", "parent"))
-        if kept.count() == left.count():
-            return kept.select(F.col("child").alias("node")).distinct()
-        left = kept
+        own = left.groupBy("child").agg(F.min("parent").alias("next"), F.max("parent").alias("last")).withColumnRenamed("child", "parent")
+        further = F.when(F.col("next") == F.col("last"), F.col("next")).otherwise(F.col("parent"))
+        on = cut(left.join(own, "parent", "left").select("child", further.alias("parent"), F.col("next").isNull().alias("ends")).distinct())
+        if on.filter("ends").isEmpty():
+            return left.select(F.col("child").alias("node")).distinct()
+        left = on.filter("not ends").select("child", "parent")
+
+
+def extended_components(star: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What new edges (a, b) add to kept groups (node, root), as components() gives them: the rows of nodes
+    that had no group, and (old, root) for the kept roots that another one replaces. Old members aren't written again, nor
+    looked at beyond the nodes of the new edges; resolved() reads both. Equal to components() over all edges."""
+    edges = cut(edges.select("a", "b").distinct())
+    ends = edges.select("a").union(edges.select("b")).distinct().toDF("node")
+    known = cut(ends.join(star, "node", "left").select("node", "root"))
+    named = known.select("node", F.coalesce("root", "node").alias("root"))
+    of_roots = edges.join(named.toDF("a", "ra"), "a").join(named.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    joined = components(of_roots).toDF("old", "root")
+    fresh = known.filter("root is null").select("node").join(joined.withColumnRenamed("old", "node"), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    moved = joined.filter("old <> root").join(known.filter("root is not null").select(F.col("root").alias("old")).distinct(), "old", "left_semi")
+    return cut(fresh), cut(moved)
+
+
+def resolved(star: DataFrame, fresh: DataFrame, moved: DataFrame) -> DataFrame:
+    """(node, root) of kept groups after an extension."""
+    old = star.join(moved.toDF("root", "new"), "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+    return old.unionByName(fresh)
 
 
 def exclusions(rows: DataFrame) -> DataFrame:
