@@ -102,6 +102,37 @@ def protected_matches(texts: DataFrame, items: DataFrame, n: int, threshold: flo
     return found.filter(F.col("intersection") >= threshold * F.col("total")).select("id", "item_id", "intersection", "total")
 
 
+def protected_evidence(texts: DataFrame, items: DataFrame, ngrams: tuple[int, int] = NGRAMS, threshold: float = SIMILARITY) -> DataFrame:
+    """(id, item_id, n, intersection, total) of texts and protected items for each length at which their n-grams
+    reach the similarity; ids are unique. All lengths go in one pass: a text's shingles are joined under their length. Only texts
+    that share a shingle of the shortest length with an item are expanded at all. Items up to ITEM_SHINGLES are broadcast."""
+    i = items.select(F.col("item_id").alias("rep"), tokenize(F.col("text")).alias("words"))
+    item_sets = cut(_sets(i, ngrams))
+    right = exploded(item_sets, F.col("rep").alias("item_id"), "n", F.col("m").alias("k"))
+    least = item_sets.filter(F.col("n") == ngrams[0]).select(F.explode("s").alias("h")).distinct()
+    few = right.limit(ITEM_SHINGLES + 1).count() <= ITEM_SHINGLES
+    hint = F.broadcast if few else (lambda df: df)
+    t = texts.select(F.col("id").alias("rep"), tokenize(F.col("text")).alias("words"))
+    met = exploded(t.select("rep", hashed_shingles(F.col("words"), ngrams[0]).alias("s")), "rep").join(hint(least), "h", "left_semi").select("rep").distinct()
+    sets = _sets(t.join(met, "rep", "left_semi"), ngrams)
+    shared = exploded(sets, F.col("rep").alias("id"), "n", "m").join(hint(right), ["n", "h"]).groupBy("id", "item_id", "n").agg(F.count("*").alias("intersection"), F.first("m").alias("m"), F.first("k").alias("k"))
+    found = shared.withColumn("total", F.col("m") + F.col("k") - F.col("intersection"))
+    return found.filter(F.col("intersection") >= threshold * F.col("total")).select("id", "item_id", "n", "intersection", "total")
+
+
+def declared(records: DataFrame) -> DataFrame:
+    """(kind, a, b) of what records declare: record and, each null where it isn't declared, source, task_group,
+    sibling_group, component (keys as one column each) and parents (an array of records). The first record of a key is joined with each
+    other one; a parent that is no record, or the record itself, is no edge."""
+    named = {"source_item_revision": "source", "declared_task_group": "task_group", "declared_sibling": "sibling_group", "reference_component": "component"}
+    keys = F.array(*(F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("key")) for kind, c in named.items()))
+    rows = records.select("record", F.inline(keys)).filter("key is not null")
+    first = rows.groupBy("kind", "key").agg(F.min("record").alias("a"))
+    stars = rows.join(first, ["kind", "key"]).filter("record <> a").select("kind", "a", F.col("record").alias("b"))
+    links = records.select(F.col("record").alias("b"), F.explode("parents").alias("a")).distinct().filter("a <> b").join(records.select(F.col("record").alias("a")).distinct(), "a", "left_semi")
+    return stars.unionByName(links.select(F.lit("declared_parent").alias("kind"), F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node with an edge (a, b) is connected with. Every
     pass hangs a node's larger neighbours, then its smaller ones, on the smallest of them; it is one

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracesieve.operators import prompts
+from tracesieve.operators import prompts, screening
 from tracesieve.plans.registry import query
 from tracesieve.plans.sql import WORDS, shingles
 from tracesieve.sources.tables import messages, table
@@ -52,3 +52,32 @@ def protected_prompts(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "conversations").filter("turn = 0 and conv_id % 6 = 0").select(F.col("conv_id").alias("item_id"), F.upper("text").alias("text"))
     found = prompts.item_prompts(_records(spark, d), items)
     return found.withColumn("target", F.col("target").cast("long"))
+
+
+_LOOSE = 0.1
+
+
+@query(f"""with docs as (select doc_id as id, {WORDS} as words from documents), items as (select item_id, {WORDS} as words from benchmark),
+ t as ({" union all ".join(shingles(n, "docs", "id") for n in range(8, 14))}), i as ({" union all ".join(shingles(n, "items", "item_id") for n in range(8, 14))}),
+ tm as (select id, n, count(*) as m from t group by 1, 2), im as (select item_id, n, count(*) as k from i group by 1, 2), x as (select id, item_id, n, count(*) as intersection from t join i using (n, g) group by 1, 2, 3)
+ select id, item_id, n, intersection, m + k - intersection as total from x join tm using (id, n) join im using (item_id, n) where intersection >= {_LOOSE} * (m + k - intersection)""")
+def protected_evidence(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    return screening.protected_evidence(docs, table(spark, d, "benchmark"), threshold=_LOOSE)
+
+
+# What conversations declare, by arithmetic on their numbers; some parents are no records, or the record itself.
+_DECLARED = {
+    "source": "case when conv_id % 3 > 0 then 's' || (conv_id % 40) end", "task_group": "case when conv_id % 4 > 0 then 'g' || (conv_id % 25) end",
+    "sibling_group": "'b' || floor(conv_id / 4)", "component": "case when conv_id % 10 = 0 then 'c' || (conv_id % 30) end",
+}
+
+
+@query(f"""with r as (select distinct conv_id as record, {", ".join(f"{v} as {n}" for n, v in _DECLARED.items())} from conversations),
+ k as (select 'source_item_revision' as kind, source as key, record from r union all select 'declared_task_group', task_group, record from r union all select 'declared_sibling', sibling_group, record from r union all select 'reference_component', component, record from r),
+ s as (select kind, min(record) over (partition by kind, key) as a, record as b from k where key is not null)
+ select kind, a, b from s where a <> b union select 'declared_parent', least(record, p), greatest(record, p) from (select record, unnest([record // 2, record * 3]) as p from r) where p <> record and p in (select record from r)""")
+def declared_screening_edges(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "conversations").select("conv_id").distinct()
+    parents = F.array(F.floor(F.col("conv_id") / 2).cast("long"), F.col("conv_id") * 3)
+    return screening.declared(c.select(F.col("conv_id").alias("record"), *(F.expr(v).alias(n) for n, v in _DECLARED.items()), parents.alias("parents")))
