@@ -330,12 +330,33 @@ def test_templates_without_literal_words(spark):
     assert sorted(r["doc_id"] for r in found.collect()) == [1, 3]
 
 
+def test_reworded_questions(spark):
+    """Names at the beginning of sentences, number words, slots on both sides, questions that are mostly slots."""
+    clean = made_up(2, 77)
+    pairs = [
+        ("Maria has 12 apples. Tom has 5 pears. Anna has 9 plums. Paul has 4 figs.", "Julia has 31 apples. Sven has 7 pears. Eva has 8 plums. Otto has 6 figs.", True),
+        ("Find 12 km in 3 h with Maria Lopez and 4 kg", "Find 31 km in 8 h with Jan Novak and 7 kg", True),
+        ("The shop sold twelve apples on the first day and thirty-one on the next one", "The shop sold twenty apples on the first day and 44 on the next one", True),
+        ("a row of 12 then a row of 15 then a row of 20 makes the whole thing", "a row of 7 then a row of 7 then a row of 7 makes the whole thing", False),
+        ("12 km 5 kg 3 h 4 lb 9 s", "7 km 8 kg 2 h 6 lb 1 s", False),
+        ("12 km 5 kg 3 h 4 lb 9 s", "12 km 5 kg 3 h 4 lb 9 s", True),
+    ]
+    items = spark.createDataFrame([(k, a) for k, (a, _, _) in enumerate(pairs)] + [(99, "only the next first day whole thing then with")], ITEMS)
+    docs = odd(spark, [(k, f"{clean[0]}. {b}. {clean[1]}") for k, (_, b, _) in enumerate(pairs)])
+    found = {(r["doc_id"], r["item_id"]): r for r in templates.matches(docs, items).collect()}
+    for k, (_, _, caught) in enumerate(pairs[:3]):
+        assert ((k, k) in found) == caught
+    assert (4, 4) not in found and (5, 5) in found
+    assert found.get((3, 3)) is None or found[3, 3]["covered"] < 20  # one value for three: not all of it is consistent
+
+
 def brute_matches(docs, items):
     """All windows of all pairs by plain loops; the greedy choice of shifts as stated."""
     out = []
+    lower = {w.strip(".,").lower() for _, t in items for w in (t or "").split() if w == w.lower()}
     for i, t in docs:
         for j, u in items:
-            (dk, dv), (ik, iv) = plain_template(t or ""), plain_template(u or "")
+            (dk, dv), (ik, iv) = plain_template(t or "", lower), plain_template(u or "", lower)
             n = min(templates.WINDOW, len(ik))
             if not n:
                 continue
@@ -343,47 +364,46 @@ def brute_matches(docs, items):
             for b in range(len(ik) - n + 1):
                 literal = sum(k == "w" for k, _ in ik[b : b + n])
                 for a in range(len(dk) - n + 1):
-                    same = dk[a : a + n] == ik[b : b + n]
-                    if 2 * literal < n:
-                        same = n >= templates.LEAST and dv[a : a + n] == iv[b : b + n] and same
-                    if same:
+                    if dk[a : a + n] == ik[b : b + n] and (n >= templates.LEAST or 2 * literal >= n):
                         shifts[a - b].append(b)
-            covered, meaning = set(), {}
+            covered, meaning, changed = {}, {}, False
             for s in sorted(shifts, key=lambda s: (-len(shifts[s]), s)):
                 for b in sorted(shifts[s]):
-                    pairs = {}
-                    if all(pairs.setdefault((ik[p][0], iv[p]), meaning.get((ik[p][0], iv[p]), dv[p + s])) == dv[p + s] for p in range(b, b + n) if ik[p][0] != "w"):
-                        meaning |= pairs
-                        covered |= set(range(b, b + n))
-            if covered and (len(covered) >= templates.COVERED * len(ik) or len(covered) >= templates.LONG):
+                    pairs = {((ik[p][0], iv[p]), (ik[p][0], dv[p + s])) for p in range(b, b + n) if ik[p][0] != "w"} | set(meaning.items())
+                    if len({x for x, _ in pairs}) == len(pairs) == len({y for _, y in pairs}):
+                        meaning = dict(pairs)
+                        covered |= {p: ik[p][0] for p in range(b, b + n)}
+            changed = any(x != y for x, y in meaning.items())
+            enough = len(covered) >= templates.COVERED * len(ik) or len(covered) >= templates.LONG
+            if covered and enough and (not changed or sum(k == "w" for k in covered.values()) >= 3):
                 out.append((i, j, len(covered), len(ik)))
     return sorted(out)
 
 
-def plain_template(text):
-    """(kind, word for literals) and values of the words; runs of one type are one slot."""
+def plain_template(text, lower):
+    """(kind, word for literals) and values of the words; runs of one type in a sentence are one slot."""
     words, out, values = text.split(), [], []
-    start = True
+    start, last = True, None
     for w in words:
         core = re.sub(r"^[^0-9A-Za-z]+|[^0-9A-Za-z]+$", "", w)
         if not core:
             continue
         low = core.lower()
-        if core[0].isdigit():
+        if core[0].isdigit() or low in ("three", "twelve", "sixty-two"):
             kind = "n"
-        elif core[0].isupper() and sum(c.isupper() for c in core) == 1 and not start and len(core) > 1:
+        elif core[0].isupper() and sum(c.isupper() for c in core) == 1 and len(core) > 1 and not (start and low in lower):
             kind = "a"
         elif low in templates.UNITS and out and last == "n":
             kind = "u"
         else:
             kind = "w"
         last = kind
-        start = w[-1] in ".!?:;"
-        if kind != "w" and out and out[-1][0] == kind:
+        if kind != "w" and out and out[-1][0] == kind and not start:
             values[-1] += (low,)
         else:
             out.append((kind, low if kind == "w" else ""))
             values.append((low,))
+        start = w[-1] in ".!?:;"
     return out, [tuple(sorted(v)) for v in values]
 
 
@@ -393,7 +413,8 @@ def test_templates_against_brute_force(spark):
 
     def sentence(n, seed):
         q = random.Random(seed)
-        return " ".join(q.choice([q.choice(names), f"{q.randint(1, 5)} {q.choice(units)}", *(f"w{q.randint(0, 30)}" for _ in range(4))]) for _ in range(n))
+        kinds = lambda: [q.choice(names), f"{q.randint(1, 5)} {q.choice(units)}", q.choice(["three", "Twelve", "sixty-two"]), f"{q.choice(names)}.", f"w{q.randint(0, 9)}. W{q.randint(0, 60)}", *(f"w{q.randint(0, 30)}" for _ in range(6))]
+        return " ".join(q.choice(kinds()) for _ in range(n))
 
     items = [(k, sentence(r.randint(2, 30), k)) for k in range(12)]
     docs = []
