@@ -688,6 +688,66 @@ def test_pages_by_template_alone(spark):
     assert all("Home Login" in pages.extract(h) and "All rights" in pages.extract(h) for h, _ in made)
 
 
+def slotted(i):
+    words = [made_up(1, 900 + 20 * i + k)[0] for k in range(4)]
+    told = [f"Head {i}", f"{words[0]} and so on", f"By the way, {words[1]}", f"first {i}", f"second {i}"]
+    body = f"<h1>{told[0]}</h1><p>{told[1]}</p><div class='x9'>Get our letter every week</div><p>By the way, <b>{words[1]}</b></p><ul><li>{told[3]}</li><li>{told[4]}</li></ul><p>Printed on paper</p>"
+    comments = "".join(f"<div class='x8'><b>reader {k}</b> says {words[2]}</div>" for k in range(i % 3))
+    return f"<html><body><div class='x1'>Home</div><div class='x2'>{body}{comments}</div><div class='x7'>{i} more</div></body></html>", " ".join(told)
+
+
+def test_pages_by_slots(spark, monkeypatch):
+    """Inside the article the template's texts go and the slots stay; boxes beside the prose aren't its. No name says so."""
+    made = [slotted(i) for i in range(9)]
+    frame = spark.createDataFrame([(i, f"http://n.example/{i}", h) for i, (h, _) in enumerate(made)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in pages.main_texts(frame).collect()}
+    assert got == {i: t for i, (_, t) in enumerate(made)}
+    t = pages.templates(frame).first()
+    assert t["prose"] and len(t["constants"]) >= 3
+    lone = [pages.extract(h) for h, _ in made]  # without the template
+    assert all("letter" in x and "Printed" in x and "Home" in x for x in lone) and "reader" in lone[2]
+    # copies: what they share is their article
+    copies = [(i, f"http://c.example/{i}", made[3][0].replace("first 3", f"first {i}")) for i in range(9)]
+    got = pages.main_texts(spark.createDataFrame(copies, "page_id long, url string, html string")).collect()
+    assert all(made[3][1].replace("first 3", f"first {r['page_id']}") in r["text"].replace(" Get our letter every week", "") for r in got)
+
+
+def test_pages_without_word_lists(monkeypatch):
+    """The template alone reads the pages of the test tables as names do."""
+    import duckdb
+
+    rows = duckdb.sql("select split_part(url, '/', 3) as host, html from '/root/testdata/sf0.01/pages.parquet'").fetchall()
+    by_host = collections.defaultdict(list)
+    for host, text in rows:
+        by_host[host].append(text)
+    named = {h: [pages.extract(x) for x in v] for h, v in by_host.items()}
+    for name in ("FURNITURE", "FURNITURE_WORDS", "CONTENT_WORDS"):
+        monkeypatch.setattr(pages, name, frozenset())
+    monkeypatch.setattr(pages, "_container", lambda token: 0)
+    same = total = 0
+    for host, texts in by_host.items():
+        found = [pages._found(x) for x in texts]
+        tokens = {t: [0, 0, 0, 0, 0.0] for f in found for t in f if t}
+        info = {}
+        for f in found:
+            for t, (parent, kind, times, chars, place) in f.items():
+                if t:
+                    x = tokens[t]
+                    x[0] += 1
+                    x[1] += times
+                    x[2] += chars
+                    x[3] += place
+                    info[t] = (parent, kind)
+        if len(texts) < pages.PAGES:
+            continue
+        valid = [dict(token=t, parent=info[t][0], kind=info[t][1], once=x[1] == x[0], chars=x[2], place=x[3] / x[0]) for t, x in tokens.items() if x[0] >= max(pages.PAGES, pages.SUPPORT * len(texts))]
+        container, constants, prose = pages.nested(sorted(valid, key=lambda x: (x["place"], x["token"])))
+        for text, want in zip(texts, named[host], strict=True):
+            total += 1
+            same += pages.extract(text, container, frozenset(constants), prose) == want
+    assert total > 100 and same >= 0.9 * total
+
+
 def test_page_classes_against_brute_force(spark):
     """Classes are the tokens of equal occurrence vectors."""
     rows = [(i, f"http://n.example/{i}", neutral(i)[0]) for i in range(9)] + [(20 + i, f"http://m.example/{i}", page(i, "<p>a</p>" * i)[2]) for i in range(4)]

@@ -1,7 +1,7 @@
 """Main text of web pages by equivalence-class template deduction.
 
 Tokens are a page's tags, told apart by their path (each tag with its class, id and role words), and
-its short texts with their path. The pages of a host give every token an occurrence vector (how
+its texts with their path. The pages of a host give every token an occurrence vector (how
 often it stands on each page); it is kept as sums of hashes, which add up over partitions in any
 order, so that a hot host is never gathered and repeated pages count as often as they stand. Tokens
 with one vector form an equivalence class; classes on enough of the host's pages are valid. Ordered
@@ -9,11 +9,15 @@ by their places and nested by their paths they are the template: a tree of tags,
 texts. What is left are slots, and each tag's slots are weighed by the characters that vary in
 them. The article is in the tag to which one gets from the body by tags that stand once on every
 page, as long as one of them holds SHARE of all that varies and the text doesn't stand in the
-tag itself (as headings or paragraphs). Inside it, names decide between what templates can't tell
-apart: an article element goes before what is around it, and parts named as menus, notices, adverts,
-forms or reader comments are left out.
+tag itself (as headings or paragraphs).
 
-Null html: the empty text. Null url: the host "". A host of few pages has no valid class, and a page
+Inside it the slots are taken and the template is left: a constant text goes, unless such texts are more than the rest (then
+the pages are copies, and theirs is the article). Where a host's articles stand in headings and paragraphs, by SHARE of what varies,
+a box (div, section, span and the like) that holds none of these is no part of the article: so comments and adverts go whatever
+they are called. Names decide only between what this can't tell apart: an article element goes before what is around it, and
+parts named as menus, notices, adverts, forms or reader comments are left out.
+
+Null html: the empty text. Null url: the host "". A host of few pages, or of copies, has no template, and a page
 may lack its host's tag: such pages are read by names alone. Repeated rows: a result for each. Empty
 tables: no rows. Very long pages are read whole. Other columns are ignored.
 """
@@ -35,8 +39,10 @@ from tracesieve.llm.common import cut, mix64
 
 #: A class is valid from this share of a host's pages, and this many pages.
 SUPPORT, PAGES = 0.5, 3
-#: Of what varies on a host's pages, what the article's tag holds at least; longest texts that are tokens.
-SHARE, SHORT = 0.6, 300
+#: Of what varies on a host's pages, what the article's tag holds at least.
+SHARE = 0.6
+#: Of all text on a host's pages, what varies at least; below it they are copies of each other and tell no template.
+VARIES = 0.2
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
 _NAMES = re.compile(r"""\b(?:(class)|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -85,21 +91,68 @@ def _container(token: str) -> int:
     return 3 if name == "article" else 2 if name == "main" or "main" in words else 1 if not CONTENT_WORDS.isdisjoint(words) else 0
 
 
-def extract(page: str, container: int | None = None) -> str:
-    """The text of the page's content; container: the path of the tag that the host's template has
-    for it, if any."""
+def extract(page: str, container: int | None = None, constants: frozenset[int] = frozenset(), prose: bool = False) -> str:
+    """The text of the page's content. By the host's template, if it has one: container, the path of the tag that holds the
+    article; constants, the tokens of the texts that stand on the host's pages; prose, whether articles stand in headings and paragraphs."""
     parts = list(tokens(page))
     closes = _matching(parts)
+    own, _, before = _paths(parts, closes)
     first, end = 0, len(parts)
-    if container is not None:
-        own = [i for i, x in enumerate(_paths(parts, closes)[0]) if x == container]
-        if own:
-            first, end = own[0], closes[own[0]]
+    if container is not None and container in own:
+        first = own.index(container)
+        end = closes[first]
+    else:
+        constants, prose = frozenset(), False
     ranks = [_container(t) if k == "open" else 0 for _, _, k, t in parts]
     # an article element inside of what the template names goes before it, other names only without it
     best = max((r for r in ranks[first:end] if r == 3 or end == len(parts) and not first), default=0)
+    boxes = _bare_boxes(parts, closes, first, end) if prose else frozenset()
+    kept, dropped = _read(page, parts, closes, first, end, ranks, best, _constant_texts(page, parts, closes, before, constants), boxes)
+    if dropped > (1 - SHARE) * (dropped + len(kept)):
+        kept, _ = _read(page, parts, closes, first, end, ranks, best, frozenset(), boxes)
+    return kept
+
+
+def _constant_texts(page: str, parts: list[tuple[int, int, str, str]], closes: list[int], before: list[int], constants: frozenset[int]) -> frozenset[int]:
+    """The texts, by the part that ends them, whose block has constant texts only: one in a line that varies stays."""
+    if not constants:
+        return frozenset()
+    of_block: dict[int, list[tuple[int, bool]]] = {}
+    at, stack = 0, []
+    for i, (a, b, kind, token) in enumerate([*parts, (len(page), len(page), "end", "")]):
+        text = " ".join(page[at:a].split())
+        if text:
+            of_block.setdefault(stack[-1][1] if stack else -1, []).append((i, _hash(before[i], f"#{text}") in constants))
+        while stack and stack[-1][0] <= i:
+            stack.pop()
+        name = token.split(" ")[0]
+        if kind == "open" and name in BLOCKS and name not in VOID:
+            stack.append((closes[i], i))
+        at = b
+    return frozenset(i for texts in of_block.values() if all(c for _, c in texts) for i, _ in texts)
+
+
+def _bare_boxes(parts: list[tuple[int, int, str, str]], closes: list[int], first: int, end: int) -> frozenset[int]:
+    """The boxes inside a container that neither hold prose nor stand in it."""
+    inside, out = -1, []
+    held = np.cumsum([0] + [k == "open" and t.split(" ")[0] in PROSE for _, _, k, t in parts])
+    for i in range(first + 1, min(end, len(parts))):
+        _, _, kind, token = parts[i]
+        name = token.split(" ")[0]
+        if kind != "open" or i <= inside:
+            continue
+        if name in PROSE:
+            inside = closes[i]
+        elif name in BOXES and held[closes[i]] == held[i + 1]:
+            out.append(i)
+            inside = closes[i]
+    return frozenset(out)
+
+
+def _read(page, parts, closes, first, end, ranks, best, constants, boxes) -> tuple[str, int]:
+    """The content's text, and how many characters of constant texts were left out of it."""
     whole = not best
-    out, block = [], []
+    out, block, dropped = [], [], 0
     depth_end = end if whole else -1  # up to which part the content reaches
     start = first if whole else None
     skip_to = first - 1 if whole and first else -1
@@ -111,12 +164,20 @@ def extract(page: str, container: int | None = None) -> str:
             out.append(text)
         block.clear()
 
+    def take(i: int, text: str) -> None:
+        nonlocal dropped
+        if i in constants:
+            dropped += len(" ".join(text.split()))
+            block.append(" ")
+        else:
+            block.append(text)
+
     for i, (a, b, kind, token) in enumerate(parts):
         if whole and (i <= first and first or i > end):
             continue
         inside = i <= depth_end and start is not None
         if inside and i > skip_to:
-            block.append(page[at:a])
+            take(i, page[at:a])
         at = b
         name = token.split(" ")[0]
         if kind == "skip":
@@ -126,12 +187,12 @@ def extract(page: str, container: int | None = None) -> str:
         if kind == "open" and i > skip_to:
             if best and first <= i < end and ranks[i] == best and i > depth_end:
                 start, depth_end = i, closes[i]
-            elif _furniture(token) and name not in VOID:
+            elif (_furniture(token) and name not in VOID) or i in boxes:
                 skip_to = closes[i]
     if depth_end >= len(parts) and len(parts) > skip_to:
-        block.append(page[at:])
+        take(len(parts), page[at:])
     flush()
-    return " ".join(out)
+    return " ".join(out), dropped
 
 
 def _paths(parts: list[tuple[int, int, str, str]], closes: list[int]) -> tuple[list[int], list[int], list[int]]:
@@ -198,10 +259,9 @@ def _found(page: str) -> dict[int, list]:
         text = " ".join(page[at:a].split())
         if text:
             inside = before[i]
-            if len(text) <= SHORT:
-                x = out.setdefault(_hash(inside, f"#{text}"), [inside, _TEXT, 0, 0, i])
-                x[2] += 1
-                x[3] += len(text)
+            x = out.setdefault(_hash(inside, f"#{text}"), [inside, _TEXT, 0, 0, i])
+            x[2] += 1
+            x[3] += len(text)
             node = inside
             while node:
                 out[node][3] += len(text)
@@ -244,8 +304,9 @@ def classes(pages: DataFrame, support: float = SUPPORT, least: int = PAGES) -> D
     return valid.groupBy("host", "one", "two", "pages").agg(F.array_sort(F.collect_list(token)).alias("tokens"))
 
 
-def nested(found: list[dict]) -> int | None:
-    """The path of the article's tag in the template of the tokens found; null if there is none."""
+def nested(found: list[dict]) -> tuple[int, list[int], bool] | None:
+    """Of the template of the tokens found: the path of the article's tag, the constant texts inside of it, and whether what varies
+    in it stands in prose; null if there is no such tag."""
     nodes = {t["token"]: t for t in found if t["kind"] != _TEXT}
     varies = {k: t["chars"] for k, t in nodes.items()}
     for t in found:
@@ -261,6 +322,8 @@ def nested(found: list[dict]) -> int | None:
         return None
     at = bodies[0]
     whole = varies[at]
+    if whole < VARIES * nodes[at]["chars"]:
+        return None
     while whole > 0:
         below = inner.get(at, [])
         if any(nodes[k]["kind"] == 2 and varies[k] > 0 for k in below):
@@ -269,29 +332,51 @@ def nested(found: list[dict]) -> int | None:
         if not below:
             break
         at = max(below, key=lambda k: (varies[k], -nodes[k]["place"]))
-    return at if at != bodies[0] else None
+    if at == bodies[0]:
+        return None
+
+    def inside(node: int) -> bool:
+        while node in nodes and node != at:
+            node = nodes[node]["parent"]
+        return node == at
+
+    prose, open_ = 0, [at]
+    while open_:
+        for k in inner.get(open_.pop(), []):
+            if nodes[k]["kind"] == 2:
+                prose += varies[k]
+            else:
+                open_.append(k)
+    return at, sorted(t["token"] for t in found if t["kind"] == _TEXT and inside(t["parent"])), prose >= SHARE * varies[at] > 0
+
+
+_TEMPLATE = "container long, constants array<long>, prose boolean"
 
 
 def templates(pages: DataFrame, support: float = SUPPORT, least: int = PAGES) -> DataFrame:
-    """host and container, the path of the tag that holds the article."""
+    """host; container, the path of the tag that holds the article; constants, the tokens of constant texts in it; prose, whether
+    it holds headings and paragraphs, mostly."""
 
     def run(tokens_: pa.Array) -> pa.Array:
-        return pa.array([nested(x) for x in tokens_.to_pylist()], pa.int64())
+        found = [nested(x) for x in tokens_.to_pylist()]
+        kinds = [("container", pa.int64()), ("constants", pa.list_(pa.int64())), ("prose", pa.bool_())]
+        return pa.StructArray.from_arrays([pa.array([x and x[k] for x in found], t) for k, (_, t) in enumerate(kinds)], [n for n, _ in kinds])
 
     run.__annotations__ = {"tokens_": pa.Array, "return": pa.Array}
     found = classes(pages, support, least).groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
-    return found.select("host", F.arrow_udf(run, "long")("tokens").alias("container")).filter("container is not null")
+    return found.select("host", F.arrow_udf(run, _TEMPLATE)("tokens").alias("t")).select("host", "t.*").filter("container is not null")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars: a row for each row of pages. The hosts' containers are broadcast
+    """page_id, url, text, n_chars: a row for each row of pages. The hosts' templates are broadcast
     only if Spark finds their table small enough (its threshold in bytes), else joined by host."""
     template = cut(templates(pages))
 
-    def run(page: pa.Array, container: pa.Array) -> pa.Array:
-        return pa.array([extract(x.as_py(), c.as_py()) for x, c in zip(page, container, strict=True)], pa.string())
+    def run(page: pa.Array, container: pa.Array, constants: pa.Array, prose: pa.Array) -> pa.Array:
+        rows = zip(page, container, constants, prose, strict=True)
+        return pa.array([extract(x.as_py(), c.as_py(), frozenset(k.as_py() or ()), bool(p.as_py())) for x, c, k, p in rows], pa.string())
 
-    run.__annotations__ = {"page": pa.Array, "container": pa.Array, "return": pa.Array}
+    run.__annotations__ = {"page": pa.Array, "container": pa.Array, "constants": pa.Array, "prose": pa.Array, "return": pa.Array}
     rows = hosts(pages).join(template, "host", "left")
-    text = F.arrow_udf(run, "string")("html", "container")
+    text = F.arrow_udf(run, "string")("html", "container", "constants", "prose")
     return rows.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
