@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -134,9 +135,10 @@ _TYPES = [pa.int64() if x.endswith("long") else pa.string() for x in _LEDGER.spl
 def scan_unseen(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str = RULE_VERSION) -> DataFrame:
     """New rows of the ledger: one for each blob of docs that has none under rule_version."""
     blobs = texts(docs).select(F.sha2("text", 256).alias("blob"), "text").mapInArrow(_first_of_each, "blob string, text string")
+    blobs = blobs.repartition("blob")  # texts are moved once: a join by blob takes them as they lie
     if ledger is not None:
         blobs = blobs.join(ledger.filter(F.col("rule_version") == rule_version).select("blob"), "blob", "left_anti")
-    return blobs.repartition("blob").mapInArrow(_scan(rule_version), _LEDGER)
+    return blobs.mapInArrow(_scan(rule_version), _LEDGER)
 
 
 def findings(docs: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -154,17 +156,35 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str = R
     return findings(docs, rows)
 
 
-def update(docs: DataFrame, path: str, rule_version: str = RULE_VERSION) -> DataFrame:
-    """As scan, with the ledger kept in the table at path (a shared folder): what it lacks is scanned
-    and added to it, then findings are read from it. An interrupted run adds nothing or all of its
-    rows; a later one takes up from there."""
+def add(docs: DataFrame, path: str, rule_version: str = RULE_VERSION) -> None:
+    """Scans what the ledger in the table at path (a shared folder) lacks of docs, and adds it. An
+    interrupted run adds nothing or all of its rows; a later one takes up from there."""
     spark = docs.sparkSession
     schema = scan_unseen(docs.limit(0)).schema
     if not _there(spark, path):
         spark.createDataFrame([], schema).write.parquet(path)
     scan_unseen(docs, spark.read.schema(schema).parquet(path), rule_version).write.mode("append").parquet(path)
-    ledger = spark.read.schema(schema).parquet(path).filter(F.col("rule_version") == rule_version)
-    return findings(docs, ledger.dropDuplicates(["blob"]))
+
+
+def _kept(docs: DataFrame, path: str, rule_version: str) -> DataFrame:
+    ledger = docs.sparkSession.read.schema(scan_unseen(docs.limit(0)).schema).parquet(path)
+    return ledger.filter(F.col("rule_version") == rule_version).dropDuplicates(["blob"])
+
+
+def update(docs: DataFrame, path: str, rule_version: str = RULE_VERSION) -> DataFrame:
+    """As scan, with the ledger kept in the table at path."""
+    add(docs, path, rule_version)
+    return findings(docs, _kept(docs, path, rule_version))
+
+
+def scan_history(batches: list[DataFrame], path: str, rule_version: str = RULE_VERSION) -> DataFrame:
+    """As scan, of all rows of the batches, which are versions of a corpus in the order in which they came: each
+    scans only the blobs that the ledger at path lacks by then. The ledger is read when all have been: two reads of
+    one path with other files would be taken for the same by Spark within one plan."""
+    for batch in batches:
+        add(batch, path, rule_version)
+    docs = reduce(DataFrame.unionByName, (texts(b) for b in batches))
+    return findings(docs, _kept(docs, path, rule_version))
 
 
 def _there(spark: SparkSession, path: str) -> bool:
