@@ -137,7 +137,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node with an edge (a, b) is connected with. Every
     pass hangs a node's larger neighbours, then its smaller ones, on the smallest of them; it is one
     job, and the passes end when one changes nothing."""
-    star, seen = edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).filter("node != root"), None
+    # a pass reads its star several times: what makes the edges isn't to be done again for each
+    star, seen = cut(edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).filter("node != root").distinct()), None
     while True:
         ends = star.union(star.select("root", "node")).toDF("root", "other")
         top = ends.groupBy("root").agg(F.least("root", F.min("other")).alias("top"))

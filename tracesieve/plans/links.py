@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracesieve.operators import links, preference
@@ -99,8 +99,6 @@ _ROWS = "select *, conv_id % 17 as k, max(turn) over (partition by conv_id) as l
   case when coalesce(x.fault, y.fault) is null and y.conv_id is not null and x.prefix = y.prefix and x.completion <> y.completion then x.turns end as prompt_turns, case when coalesce(x.fault, y.fault) is null and y.conv_id is not null and x.prefix = y.prefix and x.completion <> y.completion then y.chars end as rejected_chars
  from pairs join c x on x.conv_id = a and x.side = 0 left join c y on y.conv_id = b and y.side = 1""")
 def preference_projection(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
     c = table(spark, d, "conversations").withColumns({"k": F.col("conv_id") % 17, "last": F.max("turn").over(Window.partitionBy("conv_id"))})
     m = c.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).select("conv_id", "side", "turn", "role", *(F.expr(v).alias(n) for n, v in _SIDE.items()))
     block = lambda kind, index, text: F.struct(F.col(kind).alias("kind") if isinstance(kind, str) else kind.alias("kind"), index.cast("int").alias("index"), text.alias("text"))
