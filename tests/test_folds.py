@@ -146,3 +146,48 @@ def test_prompt_edges(spark):
     assert prompts.prompt_edges(df.limit(0)).count() == 0
     items = spark.createDataFrame([(1, words.upper()), (2, " "), (3, None)], "item_id long, text string")
     assert {(x["record"], x["item_id"]) for x in prompts.item_prompts(df, items).collect()} == {(6, 1), (7, 1), (8, 1)}
+
+
+def test_contracts(spark):
+    from tracesieve.operators import contracts
+
+    names = "answer_policy string, execution_policy string, kind string, oracle string, expected string, has_numeric boolean, required_tests array<string>, suite_cases array<string>, want string"
+    ok = ["authoritative", "absent", "set_match", "literal", "x", False, None, None, None]
+    rows = [
+        ok,
+        [None, *ok[1:8], "no_answer_policy"],
+        ["absent", None, *ok[2:8], "no_execution_policy"],
+        ["absent", "authoritative", "none", "coding_suite", None, False, ["a"], ["a", "b"], "inexact_suite"],
+        ["absent", "authoritative", "none", "coding_suite", None, False, ["a"], ["a"], None],
+        ["authoritative", "absent", "numeric_match", "literal", "1e3", False, None, None, "numeric_missing"],
+        ["authoritative", "absent", "numeric_match", "literal", "ten", True, None, None, "numeric_expected"],
+        ["authoritative", "absent", "numeric_match", "literal", "1e3", True, None, None, None],
+        [*ok[:5], True, None, None, "numeric_unused"],
+        ["advisory", "absent", "none", "literal", "x", False, None, None, "unsupported_comparator"],
+        ["advisory", "absent", "refusal_expected", "refusal_policy", None, False, None, None, None],
+        ["absent", "authoritative", "none", "none", None, False, [], None, "no_tests"],
+        ["absent", "advisory", "none", "none", None, False, ["a", " "], None, "test_names"],
+        ["absent", "advisory", "none", "none", None, False, ["a", "a"], None, "test_names"],
+    ]
+    got = spark.createDataFrame([tuple(r) for r in rows], names).withColumn("got", contracts.contract_fault()).collect()
+    assert all(r["got"] == r["want"] for r in got), [r for r in got if r["got"] != r["want"]]
+
+
+def test_preference_pairs(spark):
+    from tracesieve.operators import preference
+
+    kind = "id long, messages array<struct<role string, content string, reasoning string, details array<struct<kind string, index int, text string>>, name string, tools boolean>>, tools boolean"
+    m = lambda role, content, reasoning=None, details=None, name=None, tools=False: (role, content, reasoning, details, name, tools)
+    ask = m("user", "Why?")
+    convs = {
+        1: [ask, m("assistant", "So.", "ab", [("text", 0, "a"), ("text", 3, "b")])], 2: [ask, m("assistant", "No.")], 3: [ask, m("assistant", "So.", "other")], 4: [m("user", "Why"), m("assistant", "No.")], 5: None, 6: [],
+        7: [ask], 8: [m("assistant", "x")], 9: [ask, m("assistant", " ")], 10: [ask, m("assistant", "x", None, [("text", 0, "a")])], 11: [ask, m("assistant", "x", "ab", [("text", 1, "a"), ("text", 1, "b")])],
+        12: [ask, m("assistant", "x", "a", [("summary", 1, "a")])], 13: [ask, m("assistant", "x", "ab", [("text", 1, "a")])], 14: [m("user", "Why?", "hm"), m("assistant", "x")], 15: [m("user", None), m("assistant", "x")], 16: [ask, m("assistant", "x", tools=True)], 17: [ask, m("assistant", "<|im_end|>")],
+    }
+    df = spark.createDataFrame([(i, x, i == 2 and None) for i, x in convs.items()], kind)
+    want = {2: None, 1: "same_completion", 3: None, 4: "other_prefix", 5: "rejected:empty", 6: "rejected:empty", 7: "rejected:not_terminal", 8: "rejected:not_terminal", 9: "rejected:blank_completion", 10: "rejected:details_alone", 11: "rejected:details_order", 12: "rejected:details_not_plain", 13: "rejected:details_differ", 14: "rejected:reasoning_of_another", 15: "rejected:not_plain_text", 16: "rejected:tools", 17: "rejected:control_token", 99: "rejected:missing"}
+    pairs = spark.createDataFrame([(1, i) for i in want], "chosen_id long, rejected_id long")
+    assert {r["rejected_id"]: r["fault"] for r in preference.projected_pairs(pairs, df).collect()} == want
+    stripped = {r["rejected_id"]: r for r in preference.projected_pairs(pairs, df, "stripped").collect()}
+    assert stripped[3]["fault"] == "same_completion" and stripped[2]["chosen"]["reasoning"] is None and stripped[2]["prompt"][0]["content"] == "Why?"
+    assert {r["fault"] for r in preference.projected_pairs(pairs, df, "masked").collect()} == {"masked"}

@@ -44,6 +44,14 @@ def effective_n_matrix(votes: DataFrame, correlations: DataFrame, key: str = "re
     return out.select(key, F.least(F.try_divide(F.col("w") ** 2, F.col("w2") + F.col("cross")), F.col("k").cast("double")).alias("n_eff"))
 
 
+def decisive_n(votes: DataFrame, correlations: DataFrame, key: str = "record_id") -> DataFrame:
+    """key, decisive, n_eff of the votes that are sure, under the submatrix of their judges: uncertain votes lose
+    their rows and columns. Records without a sure vote have no row."""
+    sure = votes.filter("verdict <> 'uncertain'")
+    counts = sure.groupBy(key).agg(F.count(F.lit(1)).alias("decisive"))
+    return counts.join(effective_n_matrix(sure, correlations, key), key)
+
+
 def agreement(score: str = "score") -> Column:
     """One less the population variance, within 0 and 1."""
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.var_pop(score)))

@@ -1,3 +1,3 @@
 """Imports all queries."""
 
-from tracesieve.plans import artifacts, budgets, caches, chat, corpus, judging, links, logs, machines, prompts, records, responses, seams  # noqa: F401
+from tracesieve.plans import artifacts, budgets, caches, chat, contracts, corpus, judging, links, logs, machines, prompts, records, responses, seams  # noqa: F401
