@@ -33,7 +33,7 @@ LOWER = 24
 #: Most canonical words of the benchmark in one broadcast; a larger benchmark goes in blocks of
 #: items, each a further pass over the documents.
 BLOCK_WORDS = 4_000_000
-_BLOCK = 2_000_000
+_BLOCK = 500_000
 
 # Words that are units after a number.
 UNITS = """mm cm m km in ft yd mi mg g kg t lb oz ml l s sec secs second seconds min mins minute minutes h hr hrs hour hours
@@ -77,16 +77,16 @@ def _words(column: pa.Array) -> tuple[np.ndarray, ...]:
         first, last = np.searchsorted(where, starts), np.searchsorted(where, ends) - 1
         has = last >= first
         stop = np.r_[True, _STOP[data[ends[:-1] - 1]] | (owner[1:] != owner[:-1])]
-        line = np.r_[0, np.cumsum(data == 10)]
+        line = np.append(0, np.cumsum(data == 10, dtype=np.int32))
         stop[1:] |= line[starts[1:]] != line[ends[:-1]]
         starts, ends, owner, stop = where[first[has]], where[last[has]] + 1, owner[has], stop[has]
     else:
         stop = np.empty(0, bool)
     low = lowered(data)
     value = span_hashes(low, starts, ends)
-    capital = np.r_[low != data, False]
-    total = np.r_[0, np.cumsum(capital)]
-    begins = capital[starts] | (np.r_[data, 0][starts] == 0xC3) & capital[np.minimum(starts + 1, len(data))]
+    capital = np.append(low != data, False)
+    total = np.append(0, np.cumsum(capital, dtype=np.int32))
+    begins = capital[starts] | (np.append(data, np.uint8(0))[starts] == 0xC3) & capital[np.minimum(starts + 1, len(data))]
     return data, starts, ends, owner, value, stop, begins & (total[ends] - total[starts] == 1) & (ends - starts > 1), total[ends] > total[starts]
 
 
