@@ -33,7 +33,7 @@ WORDS, LEAST, COVER = 3, 10, 50
 #: Phrases of a language that are reported.
 TOP = 2000
 #: Bytes of text that are counted at once, and bits of the bitmap (2^BITS).
-SLICE, BITS = 8 << 20, 26
+SLICE, BITS = 5 << 20, 26
 #: A pair of more than one in HEAVY words is routed by three words; so at most that many are.
 HEAVY = 1024
 #: Buckets to a shuffle partition, and suffixes to a row on the way there.
@@ -80,7 +80,7 @@ def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Slice]
             part = batch.slice(lo, hi - lo)
             for lang in pc.unique(part.column("lang")).to_pylist():
                 yield lang, Slice(lang, part.filter(pc.equal(part.column("lang"), lang)).column("text"))
-        trim()
+            trim()
 
 
 def counted(codes: list[np.ndarray], sizes: list[int]) -> tuple[list[np.ndarray], np.ndarray]:
