@@ -33,12 +33,21 @@ def shared_folder(spark: SparkSession) -> str:
     return path or f"file://{_own_folder()}"
 
 
-def cut(df: DataFrame) -> DataFrame:
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def cut(df: DataFrame, batch: int | None = None) -> DataFrame:
     """df written to the shared folder and read back: its lineage ends there and survives
-    the loss of any executor."""
+    the loss of any executor. batch: rows of an Arrow batch, for this write only, where rows are long."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH)
+    try:
+        if batch is not None:
+            spark.conf.set(_BATCH, str(min(batch, int(before)) if int(before) > 0 else batch))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -41,6 +41,8 @@ BANDS, ROWS = 40, 8
 #: outside of them is compared with first; most keys that are looked up by a broadcast.
 TOGETHER, OTHERS, FREQUENT = 200_000, 4, 500
 _BLOCK = 2_000_000
+#: Rows of an Arrow batch that carry texts or vectors.
+BATCH = 1_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -178,7 +180,7 @@ def _verified(pairs: DataFrame, pool: DataFrame) -> DataFrame:
     right = pairs.hint("merge").join(pool.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
     right = right.select("a", (F.pmod(F.xxhash64("b", F.lit(3)), "parts") + 1).cast("int").alias("part"), "b", "right")
     both = left.hint("merge").join(right, ["a", "part"])
-    return cut(both.select("a", "b", F.arrow_udf(_similarities, "double")("a", "left", "right").alias("s")))
+    return cut(both.select("a", "b", F.arrow_udf(_similarities, "double")("a", "left", "right").alias("s")), BATCH)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -364,7 +366,7 @@ def _rest(open_: DataFrame, pool: DataFrame, threshold: float) -> DataFrame:
     """The links (a, b) between nodes of a bucket that are apart. A tile is a block of a bucket's
     nodes outside its largest component with a block of its members; blocks are bounded by the
     shingles of their texts."""
-    vectors = cut(pool.join(open_.select("node").distinct(), "node", "left_semi").mapInArrow(_vectors, _VECTOR))
+    vectors = cut(pool.join(open_.select("node").distinct(), "node", "left_semi").mapInArrow(_vectors, _VECTOR), BATCH)
     rows = open_.hint("merge").join(vectors, "node")
     i = F.ceil(F.col("outside") / TOGETHER).cast("int")
     deal = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), n).cast("int")
@@ -373,7 +375,7 @@ def _rest(open_: DataFrame, pool: DataFrame, threshold: float) -> DataFrame:
     outer = rows.filter("not main").select("band", deal(i, 4).alias("i"), spread(_parts()).alias("j"), F.lit(True).alias("outer"), *rest)
     inner = rows.select("band", spread(i).alias("i"), deal(_parts(), 5).alias("j"), F.lit(False).alias("outer"), *rest)
     tiled = outer.union(inner).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    return cut(tiled.mapInArrow(_tiles(threshold), "a long, b long"))
+    return cut(tiled.mapInArrow(_tiles(threshold), "a long, b long"), BATCH)
 
 
 def _links(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, int]:
@@ -381,7 +383,7 @@ def _links(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, int
     nodes, and the salt of the nodes' hash."""
     salt = 0
     while True:
-        signed = cut(_keyed(docs, salt).mapInArrow(_sign, "doc_id long, node long, check long, size int, bands array<long>"))
+        signed = cut(_keyed(docs, salt).mapInArrow(_sign, "doc_id long, node long, check long, size int, bands array<long>"), BATCH)
         known = signed.filter("doc_id is not null")
         if known.groupBy("node").agg(F.min("check").alias("x"), F.max("check").alias("y")).filter("x != y").isEmpty():
             break
