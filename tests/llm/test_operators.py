@@ -878,3 +878,27 @@ def test_pipeline(spark, tmp_path):
     assert "abcdefghijklmnop1" not in rows[203]["text"]
     c = bpe.Codec(VOCABULARY, PATTERN)
     assert all(c.decode(r["token_ids"]) == r["text"] and r["n_tokens"] == len(r["token_ids"]) for r in rows.values())
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Nulls in every column, repeated rows, long texts, columns whose names the stages use, and empty tables."""
+    import corpus_pipeline
+
+    good = made_up(60, 21)
+    bad = [" ".join(x.upper() + "!!" for x in t.split()[:8] * 4) for t in made_up(40, 22)]
+    long = " ".join(made_up(200, 23))
+    docs = [*enumerate(good), *((100 + i, t) for i, t in enumerate(bad)), (300, long), (300, long), (301, long), (7, good[7]), (None, made_up(1, 24)[0]), (400, None), (401, ""), (402, " \n ")]
+    rows = [(i, t, None if k % 5 == 0 else "en", None if k % 7 == 0 else "s", None, "x", k, None) for k, (i, t) in enumerate(docs)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, node string, row long, spans string")
+    frame.write.parquet(f"{tmp_path}/odd/documents.parquet")
+    spark.createDataFrame([(i, int(i < 100), None) for i, _ in docs if i is not None and i < 200] + [(None, 1, 0), (5, None, None)], LABELS).write.parquet(f"{tmp_path}/odd/labels.parquet")
+    spark.createDataFrame([(1, None), (2, ""), (None, "no such words are here at all, none of them")], ITEMS).write.parquet(f"{tmp_path}/odd/benchmark.parquet")
+    out = corpus_pipeline.run(spark, f"{tmp_path}/odd")
+    assert set(frame.columns) < set(out.columns)
+    got = out.collect()
+    ids = [r["doc_id"] for r in got if r["doc_id"] is not None]
+    assert set(range(60)) <= set(ids) and len(ids) == len(set(ids)) and not set(ids) & {*range(100, 140)}
+    assert sum(r["text"] == long for r in got) == 1
+    for name, schema in (("documents", frame.schema), ("labels", LABELS), ("benchmark", ITEMS)):
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
