@@ -99,10 +99,10 @@ def revalidated(chain: DataFrame, records: DataFrame, group: Callable[[DataFrame
     """(version, status) of each plan of a predecessor chain, recomputed from the records of today:
     chain has (version, record_id, group_id) rows, records have record_id and what `group` needs to
     give (version, record_id, group_id) anew. ok, missing_member, altered, or too_deep beyond CHAIN
-    plans from the newest."""
-    members = chain.select("version", "record_id").join(records, "record_id")
+    plans from the newest. A chain holds many times its records: what is told of it is joined by sorting, never broadcast."""
+    members = chain.select("version", "record_id").join(records.hint("merge"), "record_id")
     anew = group(members).select("version", "record_id", F.col("group_id").alias("anew"))
-    held = chain.join(anew, ["version", "record_id"], "left")
+    held = chain.join(anew.hint("merge"), ["version", "record_id"], "left")
     per = held.groupBy("version").agg(F.count_if(F.col("anew").isNull()).alias("gone"), F.count_if(F.col("anew") != F.col("group_id")).alias("altered"))
     newest = chain.agg(F.max("version").alias("newest"))
     status = F.when(F.col("newest") - F.col("version") >= CHAIN, "too_deep").when(F.col("gone") > 0, "missing_member").when(F.col("altered") > 0, "altered").otherwise("ok")

@@ -141,7 +141,7 @@ def predecessor_revalidation(spark: SparkSession, d: str) -> DataFrame:
 
     def group(members: DataFrame) -> DataFrame:
         least = members.groupBy("version", "o_custkey").agg(F.min("record_id").alias("group_id"))
-        return members.join(least, ["version", "o_custkey"])
+        return members.join(least.hint("merge"), ["version", "o_custkey"])
 
     frozen = group(populations).select("version", "record_id", F.when((F.col("version") == 18) & (F.col("record_id") % 500 == 3), -1).otherwise(F.col("group_id")).alias("group_id"))
     gone = spark.createDataFrame([(19, -7, -7)], "version int, record_id long, group_id long")
