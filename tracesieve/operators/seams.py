@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tracesieve.functions import json as J
 from tracesieve.functions import text as T
+from tracesieve.functions.text import once
 
 Answer = Callable[[DataFrame], DataFrame]
 
@@ -79,16 +80,30 @@ def episode_identities(x: Column) -> Column:
     """struct(task, candidate, capture): digests of a repository episode, a JSON text. The task's
     leaves out label, rights, group and split; changes count in the order of their paths. Task
     and candidate are null while one of their parts is missing."""
-    v = F.try_parse_json(x)
+    # each step stands once: an expression that is used again is evaluated again
+    return once(F.struct(F.try_parse_json(x).alias("v")), lambda p: once(_episode_parts(p["v"]), _episode_digests))
+
+
+def _episode_parts(v: Column) -> Column:
+    """struct(task, rest, changes, whole): the parts of a parsed episode, as JSON texts."""
     part = lambda path: F.to_json(F.try_variant_get(v, path, "variant"))
-    whole = lambda name, *parts: F.when(F.size(F.array_compact(F.array(*parts))) == len(parts), T.framed_digest(F.lit(name), *parts))
-    task = whole("repository-task-v1", *(part(f"$.task.{f}") for f in TASK_FIELDS))
     changes = F.try_variant_get(v, "$.candidate.delta.changes", "array<variant>")
     ordered = F.array_sort(F.transform(changes, lambda c: F.struct(F.try_variant_get(c, "$.path", "string").alias("path"), F.to_json(c).alias("json"))))
-    delta = F.array_join(ordered["json"], ",")
-    candidate = whole("repository-candidate-v1", task, *(part(f"$.candidate.{f}") for f in ("attempt", "messages", "tools")), delta)
-    capture = T.framed_digest(F.lit("repository-capture-v1"), J.canonical(x))
-    return F.struct(task.alias("task"), candidate.alias("candidate"), capture.alias("capture"))
+    return F.struct(
+        F.array(*(part(f"$.task.{f}") for f in TASK_FIELDS)).alias("task"), F.array(*(part(f"$.candidate.{f}") for f in ("attempt", "messages", "tools"))).alias("rest"),
+        F.transform(ordered, lambda c: c["json"]).alias("changes"), F.to_json(v).alias("whole"),
+    )
+
+
+def _episode_digests(p: Column) -> Column:
+    def whole(name: str, parts: Column, n: int) -> Column:
+        return F.when(F.size(F.array_compact(parts)) == n, T.framed_digest(F.lit(name), *(parts[k] for k in range(n))))
+
+    def told(task: Column) -> Column:
+        candidate = once(F.concat(F.array(task), p["rest"], F.array(F.array_join(p["changes"], ","))), lambda c: whole("repository-candidate-v1", c, 5))
+        return F.struct(task.alias("task"), candidate.alias("candidate"), T.framed_digest(F.lit("repository-capture-v1"), p["whole"]).alias("capture"))
+
+    return once(whole("repository-task-v1", p["task"], len(TASK_FIELDS)), told)
 
 
 #: Plans of a predecessor chain at most.
