@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracesieve.functions.text import tokenize
-from tracesieve.operators.screening import MIN_OVERLAP, NGRAMS, hashed_shingles
+from tracesieve.operators.screening import MIN_OVERLAP, NGRAMS, shingle_sizes
 from tracesieve.operators.sequences import prefix_sums
 from tracesieve.sources.tables import cut
 
@@ -30,8 +30,9 @@ def charged_segments(segments: DataFrame, order: list[str]) -> DataFrame:
     work_n, shingles_n and the sums up to and with it. Null texts are empty ones."""
     text = F.coalesce("text", F.lit(""))
     x = segments.select(*order, F.octet_length(text).cast("long").alias("bytes"), tokenize(text).alias("words"))
-    sized = x.select(*order, "bytes", F.size("words").cast("long").alias("tokens"), *(F.size(hashed_shingles(F.col("words"), n)).cast("long").alias(f"shingles_{n}") for n in LENGTHS))
+    sized = x.select(*order, "bytes", F.size("words").cast("long").alias("tokens"), shingle_sizes(F.col("words"), LENGTHS).alias("sizes"))
     sized = cut(sized)  # ranges are found by a pass over the rows: not over the texts again
+    sized = sized.select(*order, "bytes", "tokens", *(F.col("sizes")[k].cast("long").alias(f"shingles_{n}") for k, n in enumerate(LENGTHS)))
     work = {f"work_{n}": F.greatest(F.lit(0).cast("long"), F.col("tokens") - (n - 1)) * n for n in LENGTHS}
     sized = sized.withColumns(work)
     total = lambda kind: reduce(lambda a, b: a + b, (F.col(f"{kind}_{n}") for n in LENGTHS))
