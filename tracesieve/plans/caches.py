@@ -11,7 +11,7 @@ from tracesieve.operators import screening
 from tracesieve.plans.corpus import _COMP, _edges
 from tracesieve.plans.registry import query
 from tracesieve.sources import cache
-from tracesieve.sources.tables import shared_folder, table
+from tracesieve.sources.tables import cut, shared_folder, table
 
 _KEYS = ("'h' || (event_id % 700) as content_hash", "event_type as kind", "'m' || (user_id % 3) as model", "case when event_id % 5 > 0 then 'r' || (event_id % 2) end as rubric_id")
 
@@ -41,7 +41,7 @@ def cache_after_compaction(spark: SparkSession, d: str) -> DataFrame:
 @query(_COMP + " select node, root from comp")
 def components_extended(spark: SparkSession, d: str) -> DataFrame:
     """Groups of the edges whose later end is even, then extended by the others."""
-    edges = _edges(spark, d)
+    edges = cut(_edges(spark, d))
     first, later = edges.filter("b % 2 = 0"), edges.filter("b % 2 <> 0")
     star = screening.components(first)
     return screening.resolved(star, *screening.extended_components(star, later))
