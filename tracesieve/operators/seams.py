@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tracesieve.functions import json as J
 from tracesieve.functions import text as T
 from tracesieve.functions.text import once
+from tracesieve.operators import sequences
+from tracesieve.sources.tables import cut
 
 Answer = Callable[[DataFrame], DataFrame]
 
@@ -63,13 +65,15 @@ def imported(registered: DataFrame, observed: DataFrame) -> DataFrame:
 
 def artifact_rows(rows: DataFrame) -> DataFrame:
     """What is wrong with each row (artifact_id, place, record_id, row_id, body) of published
-    artifacts: body (its JSON isn't canonical), identity (row_id isn't its digest) or order
-    (record ids don't rise strictly by place); null if nothing is. Neighbours meet by a join, so
-    that one large artifact isn't one task."""
-    before = rows.select("artifact_id", (F.col("place") + 1).alias("place"), F.col("record_id").alias("former"))
+    artifacts: artifact_id, place, record_id, problem. It is body (its JSON isn't canonical), identity
+    (row_id isn't its digest) or order (record ids don't rise strictly by place); null if nothing is. Bodies
+    are judged once, where they are read, so that only numbers are put in order; a large artifact isn't one task."""
     made = T.framed_digest(F.lit("row-v5"), F.col("record_id").cast("string"), F.col("body"))
-    problem = F.when(~J.canonical(F.col("body")).eqNullSafe(F.col("body")), "body").when(~made.eqNullSafe(F.col("row_id")), "identity").when(F.col("former") >= F.col("record_id"), "order")
-    return rows.join(before, ["artifact_id", "place"], "left").withColumn("problem", problem).drop("former")
+    own = F.when(~J.canonical(F.col("body")).eqNullSafe(F.col("body")), "body").when(~made.eqNullSafe(F.col("row_id")), "identity")
+    narrow = rows.select("artifact_id", F.col("place").alias("at"), "record_id", own.alias("own"))
+    x = sequences.in_order(cut(narrow), ["artifact_id"], ["at"], ["at", "record_id"])
+    falls = F.col("before.at").isNotNull() & (F.col("before.record_id") >= F.col("record_id"))
+    return x.select("artifact_id", F.col("at").alias("place"), "record_id", F.coalesce("own", F.when(falls, "order")).alias("problem"))
 
 
 # What the identity of a repository task covers.
