@@ -12,10 +12,9 @@ The model predicts each subword from those before it: the VOCABULARY - 1 most fr
 rest through an escape and their own counts. Its output is a class and a member of the class; both
 start from the smoothed counts of neighbours over all training texts, and causal self-attention
 adds to them. Keys come from a token and the one before it, so that attention can find what
-followed earlier. The attention's tables start by Adam on a bounded sample of training texts
-(SAMPLE_TEXTS of the training rows, by the order of a hash of the id); then, in ROUNDS, every task
-learns on by a share of the windows of all of its training texts, and the tables are averaged. So
-what they learn from grows with the corpus. Overlapping windows of
+followed earlier. The attention's tables are learnt from every window of every training text, by
+Adam in all tasks. A pass goes by SHARE parts of the texts; after each part the tasks' tables are
+averaged. There is no sample: what is learnt from grows with the corpus. Overlapping windows of
 WINDOW ids score STRIDE ids each, in batches of masked attention; every id is scored once, with
 WINDOW - STRIDE ids before it at least, or all that there are.
 
@@ -46,9 +45,13 @@ HEAD = 1 << 19
 SIDE = 32
 VOCABULARY = SIDE * SIDE
 WIDTH, WINDOW, STRIDE = 16, 48, 32
-SAMPLE_TEXTS, STEPS, BATCH = 3000, 500, 128
-#: Rounds over all training texts, of which each takes one window in SHARE, and their rate.
-ROUNDS, SHARE, RATE = 2, 64, 0.003
+#: Steps of BATCH windows that a corpus gives at least, where need be by going through it again.
+STEPS, BATCH = 250, 256
+#: Passes over all windows of all training texts. A pass goes by SHARE parts of the texts, each text
+#: in one of them; after a part, the tasks' tables are averaged. RATE: at first, it falls to nothing.
+ROUNDS, SHARE, RATE = 1, 4, 0.02
+#: Parts of the tables that are averaged at once.
+_PARTS = 16
 #: Bytes of text, and of ids, that are looked at together: below 2^21 places, so that a worker's table
 #: of powers stays small.
 _BLOCK, _IDS = 1_900_000, 3_900_000
@@ -225,6 +228,7 @@ class Model:
         self.rest[order[VOCABULARY - 1 :]] = np.log((rare + 1.0) / (rare.sum() + len(rare)))
         self.end = end
         self.tables: dict[str, np.ndarray] = {}
+        self.seen = 0
 
     def pairs(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bins of (before, after) for each id; before a text's first id stands the end."""
@@ -258,7 +262,7 @@ class Model:
         last = np.flatnonzero(first + STRIDE > ends)
         where[last] = np.where(where[last] < ends[last, None], where[last], -1)
         small = np.r_[np.full(WINDOW, _PAD, np.int32), self.small[ids], np.full(STRIDE, _PAD, np.int32)]
-        inputs = small[first[:, None] + np.arange(STRIDE - 1, STRIDE + WINDOW - 1, dtype=np.int32)]
+        inputs = np.lib.stride_tricks.sliding_window_view(small, WINDOW)[first + (STRIDE - 1)]
         begin = offsets[text]
         for i in range(-(-(WINDOW - STRIDE) // STRIDE) + 1):  # windows that reach before their text
             early = np.flatnonzero(first == begin + i * STRIDE)
@@ -266,7 +270,7 @@ class Model:
             if back >= 0:
                 inputs[early, :back] = _PAD
                 inputs[early, back] = self.small[self.end]
-        targets = small[first[:, None] + np.arange(WINDOW, WINDOW + STRIDE, dtype=np.int32)]
+        targets = np.lib.stride_tricks.sliding_window_view(small, STRIDE)[first + WINDOW]
         targets[where < 0] = _PAD
         return inputs, targets, where
 
@@ -274,11 +278,10 @@ class Model:
         """Masked attention of the last STRIDE positions over those up to each: queries, keys,
         values, weights before they are divided, their sums, and the contexts."""
         t = self.tables
-        q = t["query"][inputs[:, WINDOW - STRIDE :]]
-        k = t["key"][inputs]
-        k[:, 1:] += t["key_before"][inputs[:, :-1]]
-        v = np.empty((*inputs.shape, WIDTH + 1), np.float32)  # the last column adds up the weights
-        v[:, :, :WIDTH], v[:, :, WIDTH] = t["value"][inputs], 1
+        q = t["query"].take(inputs[:, WINDOW - STRIDE :], axis=0)
+        k = t["key"].take(inputs, axis=0)
+        k[:, 1:] += t["key_before"].take(inputs[:, :-1], axis=0)
+        v = np.c_[t["value"], np.ones(VOCABULARY + 1, np.float32)].take(inputs, axis=0)  # the last column adds up the weights
         q *= np.float32(WIDTH**-0.5)
         s = q @ k.transpose(0, 2, 1)
         s += self._near() if near is None else near
@@ -310,60 +313,53 @@ class Model:
         same = (self._near(), self._small_scores()) if self.tables else ()
         for a in range(0, len(inputs), _TOGETHER):
             x, y, w = (z[a : a + _TOGETHER] for z in (inputs, targets, where))
-            real = w >= 0
-            before, target = x[:, WINDOW - STRIDE :][real], y[real]
-            order = np.argsort((target // SIDE).astype(np.uint8), kind="stable")
-            before, target, place = before[order], target[order], w[real][order]
-            kind, member = target // SIDE, target % SIDE
-            rows = np.arange(len(target))
-            one, two = self.log_class[before], self.log_member[before, kind]
+            real, before, kind, member, groups = _by_class(x, y)
+            rows = np.arange(len(real))
+            one, two = self.log_class.take(before, axis=0), self.log_member.reshape(-1, SIDE).take(before * SIDE + kind, axis=0)
             if self.tables:
-                context = np.concatenate([self.attend(x[i : i + _AT_ONCE], *same)[-1] for i in range(0, len(x), _AT_ONCE)])[real][order]
+                context = np.concatenate([self.attend(x[i : i + _AT_ONCE], *same)[-1] for i in range(0, len(x), _AT_ONCE)])
+                context = context.reshape(-1, WIDTH).take(real, axis=0)
                 one += context @ self.tables["class"]
-                edges = np.searchsorted(kind, np.arange(SIDE + 1))
-                for c in np.flatnonzero(np.diff(edges)):
-                    own = slice(edges[c], edges[c + 1])
+                for c, own in groups:
                     two[own] += context[own] @ self.tables["member"][c]
-            out[place] += one[rows, kind] - _log_sum(one) + two[rows, member] - _log_sum(two)
+            out[w.ravel()[real]] += one[rows, kind] - _log_sum(one) + two[rows, member] - _log_sum(two)
         return out
 
     def step(self, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss of a batch, and the gradients of the tables."""
         t = self.tables
         q, k, v, weight, total, context = self.attend(inputs)
-        weight, q = weight / total, q * np.float32(WIDTH**0.5)
-        real = (targets != _PAD).ravel()
-        before, target = inputs[:, WINDOW - STRIDE :].ravel()[real], targets.ravel()[real]
-        kind, member, flat = target // SIDE, target % SIDE, context.reshape(-1, WIDTH)[real]
-        rows, n = np.arange(len(target)), max(1, len(target))
-        one = self.log_class[before] + flat @ t["class"]
-        two = self.log_member[before, kind] + np.einsum("td,tdk->tk", flat, t["member"][kind])
-        one -= _log_sum(one)[:, None]
-        two -= _log_sum(two)[:, None]
-        loss = -(one[rows, kind].sum() + two[rows, member].sum()) / n
-        d1, d2 = np.exp(one), np.exp(two)
-        d1[rows, kind] -= 1
-        d2[rows, member] -= 1
-        d1, d2 = d1 / n, d2 / n
-        grad = {"class": flat.T @ d1, "member": np.zeros_like(t["member"])}
-        for c in range(SIDE):
-            own = kind == c
-            grad["member"][c] = flat[own].T @ d2[own]
-        d_context = np.zeros_like(context).reshape(-1, WIDTH)
-        d_context[real] = d1 @ t["class"].T + np.einsum("tk,tdk->td", d2, t["member"][kind])
-        d_context = d_context.reshape(context.shape)
-        d_weight = d_context @ v.transpose(0, 2, 1)
-        d_score = weight * (d_weight - (weight * d_weight).sum(2, keepdims=True))
-        scale = np.float32(WIDTH**-0.5)
-        d_key = d_score.transpose(0, 2, 1) @ q * scale
+        weight /= total
+        real, before, kind, member, groups = _by_class(inputs, targets)
+        n, flat = max(1, len(real)), context.reshape(-1, WIDTH).take(real, axis=0)
+        one = self.log_class.take(before, axis=0)
+        one += flat @ t["class"]
+        two = self.log_member.reshape(-1, SIDE).take(before * SIDE + kind, axis=0)
+        for c, own in groups:
+            two[own] += flat[own] @ t["member"][c]
+        loss = (_to_gradient(one, kind, n) + _to_gradient(two, member, n)) / n
+        grad = {"class": flat.T @ one, "member": np.zeros_like(t["member"])}
+        d_flat = one @ t["class"].T
+        for c, own in groups:
+            grad["member"][c] = flat[own].T @ two[own]
+            d_flat[own] += two[own] @ t["member"][c].T
+        d_context = np.zeros_like(context)
+        d_context.reshape(-1, WIDTH)[real] = d_flat
+        d_score = d_context @ v.transpose(0, 2, 1)
+        d_score -= np.einsum("bsd,bsd->bs", d_context, context)[:, :, None]
+        d_score *= weight
+        d_key = d_score.transpose(0, 2, 1) @ q
+        d_query = d_score @ k
+        d_query *= np.float32(WIDTH**-0.5)
+        cells = _CELLS.take(inputs, axis=0)
         for name, index, value in (
-            ("query", inputs[:, WINDOW - STRIDE :], d_score @ k * scale),
-            ("key", inputs, d_key),
-            ("key_before", inputs[:, :-1], d_key[:, 1:]),
-            ("value", inputs, weight.transpose(0, 2, 1) @ d_context),
+            ("query", cells[:, WINDOW - STRIDE :], d_query),
+            ("key", cells, d_key),
+            ("key_before", cells[:, :-1], d_key[:, 1:]),
+            ("value", cells, weight.transpose(0, 2, 1) @ d_context),
         ):
             grad[name] = np.zeros_like(t[name])
-            np.add.at(grad[name], index.ravel(), value.reshape(-1, WIDTH))
+            np.add.at(grad[name].reshape(-1), index.ravel(), value.ravel())
         back = np.arange(WINDOW - STRIDE, WINDOW)[:, None] - np.arange(WINDOW)
         grad["near"] = np.bincount(back[back >= 0], d_score.sum(0)[back >= 0], minlength=WINDOW).astype(np.float32)
         return float(loss), grad
@@ -380,21 +376,62 @@ class Model:
 
 
 class Adam:
+    """Steps of a model of which the tables are copied first."""
+
     def __init__(self, model: Model) -> None:
+        model.tables = {k: v.copy() for k, v in model.tables.items()}
         self.model, self.steps = model, 0
         self.m, self.s = ({k: np.zeros_like(v) for k, v in model.tables.items()} for _ in range(2))
 
     def step(self, inputs: np.ndarray, targets: np.ndarray, rate: float) -> float:
         loss, grad = self.model.step(inputs, targets)
         self.steps += 1
+        rate = np.float32(rate / (1 - 0.9**self.steps))
+        scale = np.float32(1 / (1 - 0.99**self.steps))
         for k, g in grad.items():
-            self.m[k] = 0.9 * self.m[k] + 0.1 * g
-            self.s[k] = 0.99 * self.s[k] + 0.01 * g * g
-            change = rate * (self.m[k] / (1 - 0.9**self.steps)) / (np.sqrt(self.s[k] / (1 - 0.99**self.steps)) + 1e-8)
-            self.model.tables[k] = (self.model.tables[k] - change).astype(np.float32)
+            m, s = self.m[k], self.s[k]
+            m += np.float32(0.1) * (g - m)
+            g *= g
+            s += np.float32(0.01) * (g - s)
+            np.sqrt(np.multiply(s, scale, out=g), out=g)
+            g += np.float32(1e-8)
+            np.divide(m, g, out=g)
+            g *= rate
+            self.model.tables[k] -= g
         return loss
 
 
+def _by_class(inputs: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]:
+    """The places (in targets, ravelled) of all that is there, by class; the token before each, its
+    class and member; and (class, slice) of the classes that occur."""
+    target = targets.ravel()
+    real = np.flatnonzero(target != _PAD)
+    kind = (target[real] // SIDE).astype(np.uint8)
+    order = np.argsort(kind, kind="stable")
+    real, kind = real[order], kind[order].astype(np.intp)
+    edges = np.searchsorted(kind, np.arange(SIDE + 1))
+    groups = [(c, slice(edges[c], edges[c + 1])) for c in range(SIDE) if edges[c] < edges[c + 1]]
+    return real, inputs[:, WINDOW - STRIDE :].ravel()[real], kind, target[real] % SIDE, groups
+
+
+def _to_gradient(x: np.ndarray, target: np.ndarray, n: int) -> float:
+    """The loss of logits x; x becomes the gradient of its mean over n."""
+    rows = np.arange(len(x))
+    if x.max(initial=0) > 60:
+        x -= x.max(1, keepdims=True)
+    loss = -x[rows, target].sum(dtype=float)
+    np.exp(x, out=x)
+    total = x @ np.ones((x.shape[1], 1), x.dtype)
+    loss += np.log(total).sum(dtype=float)
+    x /= total * np.float32(n)
+    x[rows, target] -= np.float32(1 / n)
+    return loss
+
+
+#: Places of a table's numbers in one row, by token.
+_CELLS = np.arange((VOCABULARY + 1) * WIDTH).reshape(-1, WIDTH)
+
+
 def _log_sum(x: np.ndarray) -> np.ndarray:
     ones = np.ones(x.shape[1], x.dtype)
     if x.max(initial=0) > 60:
@@ -403,78 +440,72 @@ def _log_sum(x: np.ndarray) -> np.ndarray:
     return np.log(np.exp(x) @ ones)
 
 
-def _start(ids: DataFrame, shared, steps: int) -> dict[str, np.ndarray]:
-    """Tables learnt in one task from the sample."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [_ids(b.column("ids")) for b in batches]
-        if parts:
-            own = shared.value
-            own.learn(np.concatenate([x for x, _ in parts]), np.r_[0, np.cumsum(np.concatenate([np.diff(o) for _, o in parts]))], steps)
-            out = io.BytesIO()
-            np.savez(out, **own.tables)
-            yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], ["tables"])
-
-    order = F.xxhash64("doc_id")
-    sample = ids.filter("not held_out").select(order.alias("at"), "row").orderBy("at", "row").limit(SAMPLE_TEXTS)
-    # SAMPLE_TEXTS numbers, a bounded broadcast
-    rows = ids.select("row", "ids").join(F.broadcast(sample), "row").repartition(1).sortWithinPartitions("at", "row").select("ids")
-    for (tables,) in rows.mapInArrow(run, "tables binary").collect():
-        return dict(np.load(io.BytesIO(tables)))
-    return {}
-
-
-def _round(ids: DataFrame, model: Model, turn: int) -> dict[str, np.ndarray]:
-    """Tables after a round: every task learns on from the model by windows of all of its training
-    texts (one in SHARE), and the tables are averaged by the windows that they have seen."""
+def _round(ids: DataFrame, model: Model, turn: int, turns: int, repeat: int) -> tuple[dict[str, np.ndarray], int]:
+    """Tables after a round, and how many windows it has learnt from: every task learns on from the
+    model by all windows of its training texts that are in the round's part, `repeat` times, and the
+    tables are averaged by the windows that they have seen."""
     shared = ids.sparkSession.sparkContext.broadcast(model)
     names = list(model.tables)
+    rate = RATE * (1 - turn / turns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen, held = copy.copy(shared.value), 0, []
-        own.tables = dict(own.tables)
         adam, random = Adam(own), np.random.default_rng(turn)
         for batch in _blocks(batches):
-            inputs, targets, _ = own.windows(*_ids(batch.column("ids")))
-            pick = np.flatnonzero(random.random(len(inputs)) * SHARE < 1)
-            held.append((inputs[pick], targets[pick]))
+            held.append(own.windows(*_ids(batch.column("ids")))[:2])
             if sum(len(x) for x, _ in held) < 16 * BATCH:
                 continue
-            seen += _learn_on(adam, held, random)
+            seen += _learn_on(adam, held, random, rate, repeat)
             held = []
-        seen += _learn_on(adam, held, random)
-        flat = np.concatenate([own.tables[n].ravel() for n in names]).astype(float)
+        seen += _learn_on(adam, held, random, rate, repeat)
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(flat)), pa.int32()), pa.array(np.r_[1.0, flat] * seen)], ["i", "v"])
+            flat = np.concatenate([own.tables[n].ravel() for n in names]).astype(float) * seen
+            parts = [x.tobytes() for x in np.array_split(flat, _PARTS)] + [np.array([seen], float).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array(range(_PARTS + 1), pa.int32()), pa.array(parts, pa.binary())], ["part", "sums"])
 
-    rows = ids.filter("not held_out").select("ids").mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow()  # as many rows as the tables have numbers
-    if not rows.num_rows:
-        return model.tables
-    total = np.zeros(rows.num_rows)
-    total[rows["i"].to_numpy() + 1] = rows["v"].to_numpy()
-    parts = np.split(total[1:] / total[0], np.cumsum([model.tables[n].size for n in names])[:-1])
-    return {n: x.reshape(model.tables[n].shape).astype(np.float32) for n, x in zip(names, parts, strict=True)}
-
-
-def _learn_on(adam: Adam, held: list, random: np.random.Generator) -> int:
-    """Steps over the held windows in random order; how many those are."""
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, x in zip(batch.column("part").to_pylist(), batch.column("sums").to_pylist(), strict=True):
+                total[part] = total.get(part, 0) + np.frombuffer(x)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["part", "sums"])
+
+    mine = F.pmod(F.xxhash64("row"), F.lit(SHARE)) == turn % SHARE
+    rows = ids.filter("not held_out").filter(mine).select("ids").mapInArrow(run, "part int, sums binary")
+    found = dict(map(tuple, rows.repartition(_PARTS, "part").mapInArrow(add_up, "part int, sums binary").collect()))  # a row a part
+    if not found:
+        return model.tables, 0
+    seen = np.frombuffer(found[_PARTS])[0]
+    flat = np.concatenate([np.frombuffer(found[i]) for i in range(_PARTS)]) / seen
+    parts = np.split(flat, np.cumsum([model.tables[n].size for n in names])[:-1])
+    return {n: x.reshape(model.tables[n].shape).astype(np.float32) for n, x in zip(names, parts, strict=True)}, int(seen)
+
+
+def _learn_on(adam: Adam, held: list, random: np.random.Generator, rate: float, repeat: int) -> int:
+    """Steps over all held windows, each time in random order; how many windows those are."""
     if not held:
         return 0
     inputs, targets = (np.concatenate(x) for x in zip(*held, strict=True))
-    order = random.permutation(len(inputs))
-    for a in range(0, len(order), BATCH):
-        pick = order[a : a + BATCH]
-        adam.step(inputs[pick], targets[pick], RATE * min(1.0, (adam.steps + 1) / 10) * len(pick) / BATCH)
-    return len(order)
+    for _ in range(repeat):
+        order = random.permutation(len(inputs))
+        for a in range(0, len(order), BATCH):
+            pick = order[a : a + BATCH]
+            adam.step(inputs[pick], targets[pick], rate * min(1.0, (adam.steps + 1) / 10) * len(pick) / BATCH)
+    return len(inputs)
 
 
 def train(ids: DataFrame, size: int, steps: int = STEPS) -> Model:
-    """size: of the subword vocabulary; its last id is the end."""
-    model = Model(_bins(ids, size, lambda x, _: x), size - 1)
+    """size: of the subword vocabulary; its last id is the end. A small corpus is gone through again
+    until it gives so many steps. model.seen: the windows learnt from, in all passes."""
+    single = _bins(ids, size, lambda x, _: x)
+    model = Model(single, size - 1)
     model.use_counts(_bins(ids, VOCABULARY * VOCABULARY, model.pairs))
-    model.tables = _start(ids, ids.sparkSession.sparkContext.broadcast(model), steps)
-    for turn in range(ROUNDS if model.tables else 0):
-        model.tables = _round(ids, model, turn)
+    model.start()
+    windows = int(single.sum()) // STRIDE + 1
+    repeat = -(-steps * BATCH // windows)
+    for turn in range(ROUNDS * SHARE if single.any() else 0):
+        model.tables, seen = _round(ids, model, turn, ROUNDS * SHARE, repeat)
+        model.seen += seen
     return model
 
 
@@ -508,7 +539,8 @@ def scores(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
             own, at = _ids(batch.column("ids"))
             starts, key = words.keys(own)
             text = np.searchsorted(at, starts, "right") - 1
-            place = np.searchsorted(keys, key).clip(max=max(0, len(keys) - 1))
+            once, which = np.unique(key, return_inverse=True)
+            place = np.searchsorted(keys, once).clip(max=max(0, len(keys) - 1))[which]
             known = keys[place] == key if len(keys) else np.zeros(len(key), bool)
             n = batch.num_rows
             others = np.r_[0, np.cumsum(np.bincount(text[~known], minlength=n))]
