@@ -13,8 +13,9 @@ rest through an escape and their own counts. Its output is a class and a member
 start from the smoothed counts of neighbours over all training texts, and causal self-attention
 adds to them. Keys come from a token and the one before it, so that attention can find what
 followed earlier. The attention's tables are learnt from every window of every training text, by
-Adam in all tasks. A pass goes by SHARE parts of the texts; after each part the tasks' tables are
-averaged. There is no sample: what is learnt from grows with the corpus. Overlapping windows of
+Adam in as many tasks as the corpus needs, LEARNER windows each. A pass goes by SHARE parts of the
+texts; after each part the tasks' tables are averaged. There is no sample: what is learnt from grows
+with the corpus, and texts are dealt by hash, so that it doesn't depend on their layout. Overlapping windows of
 WINDOW ids score STRIDE ids each, in batches of masked attention; every id is scored once, with
 WINDOW - STRIDE ids before it at least, or all that there are.
 
@@ -50,6 +51,8 @@ STEPS, BATCH = 250, 256
 #: Passes over all windows of all training texts. A pass goes by SHARE parts of the texts, each text
 #: in one of them; after a part, the tasks' tables are averaged. RATE: at first, it falls to nothing.
 ROUNDS, SHARE, RATE = 1, 4, 0.02
+#: Windows of a pass to a learner (a task), so that their number grows with the corpus.
+LEARNER = 256_000
 #: Parts of the tables that are averaged at once.
 _PARTS = 16
 #: Bytes of text, and of ids, that are looked at together: below 2^21 places, so that a worker's table
@@ -440,10 +443,11 @@ def _log_sum(x: np.ndarray) -> np.ndarray:
     return np.log(np.exp(x) @ ones)
 
 
-def _round(ids: DataFrame, model: Model, turn: int, turns: int, repeat: int) -> tuple[dict[str, np.ndarray], int]:
+def _round(ids: DataFrame, model: Model, turn: int, turns: int, repeat: int, learners: int) -> tuple[dict[str, np.ndarray], int]:
     """Tables after a round, and how many windows it has learnt from: every task learns on from the
     model by all windows of its training texts that are in the round's part, `repeat` times, and the
-    tables are averaged by the windows that they have seen."""
+    tables are averaged by the windows that they have seen. Texts are dealt and put in order by hashes
+    of what they are, so that what is learnt doesn't depend on where they lay."""
     shared = ids.sparkSession.sparkContext.broadcast(model)
     names = list(model.tables)
     rate = RATE * (1 - turn / turns)
@@ -470,8 +474,9 @@ def _round(ids: DataFrame, model: Model, turn: int, turns: int, repeat: int) ->
                 total[part] = total.get(part, 0) + np.frombuffer(x)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["part", "sums"])
 
-    mine = F.pmod(F.xxhash64("row"), F.lit(SHARE)) == turn % SHARE
-    rows = ids.filter("not held_out").filter(mine).select("ids").mapInArrow(run, "part int, sums binary")
+    mine = ids.filter("not held_out").select(F.xxhash64("doc_id", "ids").alias("at"), "doc_id", "ids").filter(F.pmod("at", F.lit(SHARE)) == turn % SHARE)
+    dealt = mine.repartition(learners, "at").sortWithinPartitions("at", "doc_id").select("ids")
+    rows = dealt.mapInArrow(run, "part int, sums binary")
     found = dict(map(tuple, rows.repartition(_PARTS, "part").mapInArrow(add_up, "part int, sums binary").collect()))  # a row a part
     if not found:
         return model.tables, 0
@@ -504,7 +509,7 @@ def train(ids: DataFrame, size: int, steps: int = STEPS) -> Model:
     windows = int(single.sum()) // STRIDE + 1
     repeat = -(-steps * BATCH // windows)
     for turn in range(ROUNDS * SHARE if single.any() else 0):
-        model.tables, seen = _round(ids, model, turn, ROUNDS * SHARE, repeat)
+        model.tables, seen = _round(ids, model, turn, ROUNDS * SHARE, repeat, -(-windows // LEARNER))
         model.seen += seen
     return model
 
