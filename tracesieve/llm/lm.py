@@ -43,14 +43,18 @@ from pyspark.sql import functions as F
 from tracesieve.llm.common import bucket, byte_view, cut, mix64, run_hashes, slices, span_hashes, texts, word_spans
 
 HEAD = 1 << 19
-SIDE = 32
-VOCABULARY = SIDE * SIDE
-WIDTH, WINDOW, STRIDE = 16, 48, 32
+#: Words whose ids a worker keeps from block to block.
+KNOWN = 1 << 18
+#: Classes, and the members of each, by what their table is called: few members in those of the most
+#: frequent tokens, so that most tokens take few logits.
+SIDES = {"member": (16, 8), "rare": (16, 56)}
+CLASSES, VOCABULARY = sum(n for n, _ in SIDES.values()), sum(n * size for n, size in SIDES.values())
+WIDTH, WINDOW, STRIDE = 8, 48, 32
 #: Steps of BATCH windows that a corpus gives at least, where need be by going through it again.
 STEPS, BATCH = 250, 256
 #: Passes over all windows of all training texts. A pass goes by SHARE parts of the texts, each text
 #: in one of them; after a part, the tasks' tables are averaged. RATE: at first, it falls to nothing.
-ROUNDS, SHARE, RATE = 1, 4, 0.02
+ROUNDS, SHARE, RATE = 1, 4, 0.05
 #: Windows of a pass to a learner (a task), so that their number grows with the corpus.
 LEARNER = 256_000
 #: Parts of the tables that are averaged at once.
@@ -59,8 +63,10 @@ _PARTS = 16
 #: of powers stays small.
 _BLOCK, _IDS = 1_900_000, 3_900_000
 #: Windows whose targets are grouped together, and that attend together.
-_TOGETHER, _AT_ONCE = 2048, 128
+_TOGETHER, _AT_ONCE = 256, 64
 _PAD = VOCABULARY
+#: How far each of a window's last STRIDE places stands behind each of its places.
+_BACK = np.arange(WINDOW - STRIDE, WINDOW)[:, None] - np.arange(WINDOW)
 
 
 # --- subword ids -----------------------------------------------------------------------------
@@ -90,6 +96,7 @@ class Subwords:
         self.begins = np.zeros(self.end + 1, bool)
         self.begins[[i for x, i in ranks.items() if x[:1] == b" "]] = True
         self.begins[self.end] = True
+        self.known = np.empty(0, np.uint64), np.empty(0, np.uint16), np.zeros(1, np.int64)
 
     def of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, each after a space, and the n + 1 offsets of the words. Words with
@@ -107,6 +114,20 @@ class Subwords:
             parts |= zip((i for i in range(len(words)) if i not in apart), np.split(ids, at[1:-1]), strict=True)
         return np.concatenate([parts[i] for i in range(len(words))]), np.r_[0, np.cumsum([len(parts[i]) for i in range(len(words))])]
 
+    def of_hashed(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words and their offsets, and which of these words each key (rising hashes of the
+        words from starts to ends in data) is. Words of the blocks before are kept, KNOWN at most."""
+        old, ids, at = self.known
+        place = np.searchsorted(old, keys)
+        new = np.flatnonzero(old.take(place, mode="clip") != keys) if len(old) else np.arange(len(keys))
+        place[new] = len(old) + np.arange(len(new))
+        raw = data.tobytes()
+        more, ends_of = self.of_words([raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+        ids, at = np.concatenate([ids, more]), np.concatenate([at, at[-1] + ends_of[1:]])
+        order = np.argsort(np.concatenate([old, keys[new]]), kind="stable") if len(old) + len(new) <= KNOWN else place
+        self.known = np.concatenate([old, keys[new]])[order], *_expand(ids, at, order)
+        return ids, at, place
+
 
 #: Everything that any engine may take for white space, besides what splits words.
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
@@ -122,10 +143,10 @@ def encode_texts(column: pa.Array, vocabulary: str, pattern: str) -> tuple[np.nd
     data, offsets = byte_view(column)
     data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
     starts, ends, at = word_spans(data, offsets)
-    _, first, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-    raw, model = data.tobytes(), subwords(vocabulary, pattern)
-    known, sizes = model.of_words([raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
-    ids, word_at = _expand(known, sizes, which)
+    once, first, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    model = subwords(vocabulary, pattern)
+    known, sizes, place = model.of_hashed(once, data, starts[first], ends[first])
+    ids, word_at = _expand(known, sizes, place[which])
     text_at = word_at[at]
     return np.insert(ids, text_at[1:], model.end), text_at + np.arange(len(text_at))
 
@@ -219,8 +240,8 @@ def _bins(ids: DataFrame, bins: int, index) -> np.ndarray:
 
 class Model:
     """small: id to place in the vocabulary (the last place is the escape); rest: log-probability
-    of an id under the escape; log_class (V, SIDE) and log_member (V, SIDE, SIDE): from counts;
-    tables: what attention has learnt."""
+    of an id under the escape; log_class (V, CLASSES) and log_members, by SIDES (V * classes,
+    members): from counts; tables: what attention has learnt."""
 
     def __init__(self, single: np.ndarray, end: int) -> None:
         order = np.argsort(-single, kind="stable")
@@ -240,17 +261,22 @@ class Model:
         return self.small[before] * VOCABULARY + self.small[ids]
 
     def use_counts(self, pairs: np.ndarray, strength: float = 8.0) -> None:
-        n = pairs.reshape(VOCABULARY, SIDE, SIDE).astype(float)
-        single = n.sum(0) + 0.1
-        of_class = single.sum(1)
-        by_class = n.sum(2)
+        n = pairs.reshape(VOCABULARY, VOCABULARY).astype(float)
+        single, at, by_class = n.sum(0) + 0.1, 0, []
+        self.log_members = {}
+        for name, (classes, size) in SIDES.items():
+            own, share = n[:, at : at + classes * size].reshape(-1, classes, size), single[at : at + classes * size].reshape(classes, size)
+            by_class.append((own.sum(2), share.sum(1)))
+            logs = np.log((own + strength * share / share.sum(1, keepdims=True)) / (by_class[-1][0][:, :, None] + strength))
+            self.log_members[name] = logs.reshape(-1, size).astype(np.float32)
+            at += classes * size
+        by_class, of_class = (np.concatenate(x, axis=-1) for x in zip(*by_class, strict=True))
         self.log_class = np.log((by_class + strength * of_class / of_class.sum()) / (by_class.sum(1, keepdims=True) + strength)).astype(np.float32)
-        self.log_member = np.log((n + strength * single / of_class[:, None]) / (by_class[:, :, None] + strength)).astype(np.float32)
 
     def start(self) -> None:
         r = np.random.default_rng(1)
         t = {k: r.standard_normal((VOCABULARY + 1, WIDTH)) * 0.3 for k in ("query", "key", "key_before", "value")}
-        t |= {"near": np.zeros(WINDOW), "class": np.zeros((WIDTH, SIDE)), "member": np.zeros((SIDE, WIDTH, SIDE))}
+        t |= {"near": np.zeros(WINDOW), "class": np.zeros((WIDTH, CLASSES))} | {k: np.zeros((n, WIDTH, size)) for k, (n, size) in SIDES.items()}
         self.tables = {k: v.astype(np.float32) for k, v in t.items()}
 
     def windows(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -277,33 +303,42 @@ class Model:
         targets[where < 0] = _PAD
         return inputs, targets, where
 
-    def attend(self, inputs: np.ndarray, near: np.ndarray | None = None, small: bool | None = None) -> tuple[np.ndarray, ...]:
+    def looked_up(self) -> tuple[np.ndarray, ...]:
+        """What attention looks up: queries over the root of their width; keys; keys of the token
+        before; values and a one that adds up the weights (of no token: nothing); the weights that
+        distances give; and whether no score can be so large that its exponential overflows."""
+        t = self.tables
+        value = np.ones((VOCABULARY + 1, WIDTH + 1), np.float32)
+        value[:, :WIDTH] = t["value"]
+        value[_PAD] = 0
+        near = np.where(_BACK >= 0, t["near"].take(_BACK, mode="clip"), np.float32(-1e4))
+        small = self._small_scores()
+        return t["query"] * np.float32(WIDTH**-0.5), t["key"], t["key_before"], value, np.exp(near) if small else near, small
+
+    def attend(self, inputs: np.ndarray, tables: tuple[np.ndarray, ...] | None = None) -> tuple[np.ndarray, ...]:
         """Masked attention of the last STRIDE positions over those up to each: queries, keys,
         values, weights before they are divided, their sums, and the contexts."""
-        t = self.tables
-        q = t["query"].take(inputs[:, WINDOW - STRIDE :], axis=0)
-        k = t["key"].take(inputs, axis=0)
-        k[:, 1:] += t["key_before"].take(inputs[:, :-1], axis=0)
-        v = np.c_[t["value"], np.ones(VOCABULARY + 1, np.float32)].take(inputs, axis=0)  # the last column adds up the weights
-        q *= np.float32(WIDTH**-0.5)
+        query, key, key_before, value, near, small = tables or self.looked_up()
+        q = query.take(inputs[:, WINDOW - STRIDE :], axis=0)
+        k = key.take(inputs, axis=0)
+        k[:, 1:] += key_before.take(inputs[:, :-1], axis=0)
+        v = value.take(inputs, axis=0)
         s = q @ k.transpose(0, 2, 1)
-        s += self._near() if near is None else near
-        early = np.flatnonzero(inputs[:, 0] == _PAD)  # only a text's first windows lack ids before
-        s[early] += np.where(inputs[early] == _PAD, np.float32(-1e4), np.float32(0))[:, None, :]
-        if not (self._small_scores() if small is None else small):
+        if small:
+            np.exp(s, out=s)
+            s *= near
+        else:
+            s += near
+            s += np.where(inputs == _PAD, np.float32(-1e4), np.float32(0))[:, None, :]
             s -= s.max(2, keepdims=True)
-        np.exp(s, out=s)
+            np.exp(s, out=s)
         mixed = s @ v
         total = mixed[:, :, WIDTH:]
         total[total == 0] = 1  # positions after a text's end
-        return q, k, v[:, :, :WIDTH], s, total, mixed[:, :, :WIDTH] / total
-
-    def _near(self) -> np.ndarray:
-        back = np.arange(WINDOW - STRIDE, WINDOW)[:, None] - np.arange(WINDOW)
-        return np.where(back >= 0, self.tables["near"][back.clip(0)], np.float32(-1e4))
+        return q, k, v, s, total, mixed[:, :, :WIDTH] / total
 
     def _longest(self, *names: str) -> float:
-        return sum(float(np.sqrt((self.tables[n].reshape(-1, self.tables[n].shape[-1]) ** 2).sum(1).max())) for n in names)
+        return sum(float(np.sqrt(np.einsum("ij,ij->i", x, x).max())) for x in (self.tables[n] for n in names))
 
     def _small_scores(self) -> bool:
         """Whether no score can be so large that its exponential overflows."""
@@ -313,43 +348,58 @@ class Model:
         """Natural log-probability of each id."""
         out = self.rest[ids]
         inputs, targets, where = self.windows(ids, offsets)
-        same = (self._near(), self._small_scores()) if self.tables else ()
+        tables = self.looked_up() if self.tables else ()
         for a in range(0, len(inputs), _TOGETHER):
             x, y, w = (z[a : a + _TOGETHER] for z in (inputs, targets, where))
-            real, before, kind, member, groups = _by_class(x, y)
-            rows = np.arange(len(real))
-            one, two = self.log_class.take(before, axis=0), self.log_member.reshape(-1, SIDE).take(before * SIDE + kind, axis=0)
+            real, before, kind, member, sides = _by_class(x, y)
+            context = None
             if self.tables:
-                context = np.concatenate([self.attend(x[i : i + _AT_ONCE], *same)[-1] for i in range(0, len(x), _AT_ONCE)])
+                context = np.concatenate([self.attend(x[i : i + _AT_ONCE], tables)[-1] for i in range(0, len(x), _AT_ONCE)])
                 context = context.reshape(-1, WIDTH).take(real, axis=0)
-                one += context @ self.tables["class"]
-                for c, own in groups:
-                    two[own] += context[own] @ self.tables["member"][c]
-            out[w.ravel()[real]] += one[rows, kind] - _log_sum(one) + two[rows, member] - _log_sum(two)
+            found = _log_share(self.logits(before, context), kind)
+            for side in sides:
+                found[side[1]] += _log_share(self.member_logits(side, before, kind, context), member[side[1]])
+            out[w.ravel()[real]] += found
         return out
 
+    def logits(self, before: np.ndarray, context: np.ndarray | None) -> np.ndarray:
+        """What counts and attention say of the classes."""
+        x = self.log_class.take(before, axis=0)
+        if context is not None:
+            x += context @ self.tables["class"]
+        return x
+
+    def member_logits(self, side: tuple, before: np.ndarray, kind: np.ndarray, context: np.ndarray | None) -> np.ndarray:
+        """What they say of the members of the classes of a side."""
+        name, rows, first, groups = side
+        x = self.log_members[name].take(before[rows] * SIDES[name][0] + (kind[rows] - first), axis=0)
+        if context is not None:
+            for c, own, part in groups:
+                x[part] += context[own] @ self.tables[name][c]
+        return x
+
     def step(self, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss of a batch, and the gradients of the tables."""
         t = self.tables
         q, k, v, weight, total, context = self.attend(inputs)
-        weight /= total
-        real, before, kind, member, groups = _by_class(inputs, targets)
+        real, before, kind, member, sides = _by_class(inputs, targets)
         n, flat = max(1, len(real)), context.reshape(-1, WIDTH).take(real, axis=0)
-        one = self.log_class.take(before, axis=0)
-        one += flat @ t["class"]
-        two = self.log_member.reshape(-1, SIDE).take(before * SIDE + kind, axis=0)
-        for c, own in groups:
-            two[own] += flat[own] @ t["member"][c]
-        loss = (_to_gradient(one, kind, n) + _to_gradient(two, member, n)) / n
-        grad = {"class": flat.T @ one, "member": np.zeros_like(t["member"])}
-        d_flat = one @ t["class"].T
-        for c, own in groups:
-            grad["member"][c] = flat[own].T @ two[own]
-            d_flat[own] += two[own] @ t["member"][c].T
-        d_context = np.zeros_like(context)
-        d_context.reshape(-1, WIDTH)[real] = d_flat
-        d_score = d_context @ v.transpose(0, 2, 1)
-        d_score -= np.einsum("bsd,bsd->bs", d_context, context)[:, :, None]
+        x = self.logits(before, flat)
+        loss = _to_gradient(x, kind, n) / n
+        grad = {"class": flat.T @ x} | {name: np.zeros_like(t[name]) for name in SIDES}
+        d_flat = x @ t["class"].T
+        for side in sides:
+            name, rows, _, groups = side
+            x = self.member_logits(side, before, kind, flat)
+            loss += _to_gradient(x, member[rows], n) / n
+            for c, own, part in groups:
+                grad[name][c] = flat[own].T @ x[part]
+                d_flat[own] += x[part] @ t[name][c].T
+        d_mixed = np.zeros((len(inputs), STRIDE, WIDTH + 1), np.float32)  # of the weighted sums; at last, of the weights' sum
+        d_mixed.reshape(-1, WIDTH + 1)[real, :WIDTH] = d_flat
+        d_mixed /= total
+        np.negative(np.einsum("bsd,bsd->bs", d_mixed[:, :, :WIDTH], context), out=d_mixed[:, :, WIDTH])
+        d_score = d_mixed @ v.transpose(0, 2, 1)
         d_score *= weight
         d_key = d_score.transpose(0, 2, 1) @ q
         d_query = d_score @ k
@@ -359,12 +409,13 @@ class Model:
             ("query", cells[:, WINDOW - STRIDE :], d_query),
             ("key", cells, d_key),
             ("key_before", cells[:, :-1], d_key[:, 1:]),
-            ("value", cells, weight.transpose(0, 2, 1) @ d_context),
+            ("value", cells, weight.transpose(0, 2, 1) @ d_mixed[:, :, :WIDTH]),
         ):
             grad[name] = np.zeros_like(t[name])
-            np.add.at(grad[name].reshape(-1), index.ravel(), value.ravel())
-        back = np.arange(WINDOW - STRIDE, WINDOW)[:, None] - np.arange(WINDOW)
-        grad["near"] = np.bincount(back[back >= 0], d_score.sum(0)[back >= 0], minlength=WINDOW).astype(np.float32)
+            np.add.at(grad[name].reshape(-1).view(np.complex64), index.ravel(), value.ravel().view(np.complex64))
+        grad["value"][_PAD] = 0
+        by_place = (np.ones(len(inputs), np.float32) @ d_score.reshape(len(inputs), -1)).reshape(_BACK.shape)
+        grad["near"] = np.bincount(_BACK[_BACK >= 0], by_place[_BACK >= 0], minlength=WINDOW).astype(np.float32)
         return float(loss), grad
 
     def learn(self, ids: np.ndarray, offsets: np.ndarray, steps: int, rate: float = 0.02) -> list[float]:
@@ -404,43 +455,69 @@ class Adam:
         return loss
 
 
+#: The class of a place in the vocabulary, and its place there.
+_CLASS = np.repeat(np.arange(CLASSES, dtype=np.uint8), np.repeat([size for _, size in SIDES.values()], [n for n, _ in SIDES.values()]))
+_MEMBER = np.concatenate([np.tile(np.arange(size), n) for n, size in SIDES.values()])
+
+
 def _by_class(inputs: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]:
     """The places (in targets, ravelled) of all that is there, by class; the token before each, its
-    class and member; and (class, slice) of the classes that occur."""
+    class and member; and by side that occurs its name, its rows, its first class and (class, rows,
+    rows among the side's) of the classes that occur."""
     target = targets.ravel()
     real = np.flatnonzero(target != _PAD)
-    kind = (target[real] // SIDE).astype(np.uint8)
+    target = target.take(real)
+    kind = _CLASS.take(target)
     order = np.argsort(kind, kind="stable")
-    real, kind = real[order], kind[order].astype(np.intp)
-    edges = np.searchsorted(kind, np.arange(SIDE + 1))
-    groups = [(c, slice(edges[c], edges[c + 1])) for c in range(SIDE) if edges[c] < edges[c + 1]]
-    return real, inputs[:, WINDOW - STRIDE :].ravel()[real], kind, target[real] % SIDE, groups
+    real, target, kind = real.take(order), target.take(order), kind.take(order).astype(np.intp)
+    edges = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    sides, first = [], 0
+    for name, (n, _) in SIDES.items():
+        a, b = edges[first], edges[first + n]
+        if a < b:
+            groups = [(c, slice(x, y), slice(x - a, y - a)) for c, (x, y) in enumerate(zip(edges[first : first + n], edges[first + 1 : first + n + 1], strict=True)) if x < y]
+            sides.append((name, slice(a, b), first, groups))
+        first += n
+    return real, inputs[:, WINDOW - STRIDE :].ravel().take(real), kind, _MEMBER.take(target), sides
 
 
-def _to_gradient(x: np.ndarray, target: np.ndarray, n: int) -> float:
-    """The loss of logits x; x becomes the gradient of its mean over n."""
-    rows = np.arange(len(x))
+def _picked(x: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Places, in x ravelled, of a column in each row."""
+    return np.arange(0, x.size, x.shape[1]) + columns
+
+
+def _below(x: np.ndarray) -> np.ndarray:
+    """x itself, less each row's largest if an exponential could overflow."""
     if x.max(initial=0) > 60:
         x -= x.max(1, keepdims=True)
-    loss = -x[rows, target].sum(dtype=float)
+    return x
+
+
+def _to_gradient(x: np.ndarray, target: np.ndarray, n: int) -> float:
+    """The loss of logits x; x becomes the gradient of its mean over n."""
+    at, x = _picked(x, target), _below(x)
+    loss = -x.take(at).sum(dtype=float)
     np.exp(x, out=x)
     total = x @ np.ones((x.shape[1], 1), x.dtype)
     loss += np.log(total).sum(dtype=float)
     x /= total * np.float32(n)
-    x[rows, target] -= np.float32(1 / n)
+    x.reshape(-1)[at] -= np.float32(1 / n)
     return loss
 
 
-#: Places of a table's numbers in one row, by token.
-_CELLS = np.arange((VOCABULARY + 1) * WIDTH).reshape(-1, WIDTH)
+#: Places of a table's numbers, taken in twos (as one complex number, which is added up faster), by token.
+_CELLS = np.arange((VOCABULARY + 1) * WIDTH // 2).reshape(-1, WIDTH // 2)
 
 
-def _log_sum(x: np.ndarray) -> np.ndarray:
-    ones = np.ones(x.shape[1], x.dtype)
-    if x.max(initial=0) > 60:
-        top = x.max(1)
-        return np.log(np.exp(x - top[:, None]) @ ones) + top
-    return np.log(np.exp(x) @ ones)
+def _log_share(x: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log-probability of the target of each row of logits x, which is overwritten."""
+    x = _below(x)
+    out = x.take(_picked(x, target))
+    np.exp(x, out=x)
+    return out - np.log(x @ np.ones(x.shape[1], x.dtype))
+
+
+_LEARNT = "part int, seen long, table binary"
 
 
 def _round(ids: DataFrame, model: Model, turn: int, turns: int, repeat: int, learners: int) -> tuple[dict[str, np.ndarray], int]:
@@ -463,27 +540,29 @@ def _round(ids: DataFrame, model: Model, turn: int, turns: int, repeat: int, lea
             held = []
         seen += _learn_on(adam, held, random, rate, repeat)
         if seen:
-            flat = np.concatenate([own.tables[n].ravel() for n in names]).astype(float) * seen
-            parts = [x.tobytes() for x in np.array_split(flat, _PARTS)] + [np.array([seen], float).tobytes()]
-            yield pa.RecordBatch.from_arrays([pa.array(range(_PARTS + 1), pa.int32()), pa.array(parts, pa.binary())], ["part", "sums"])
+            parts = [x.tobytes() for x in np.array_split(np.concatenate([own.tables[n].ravel() for n in names]), _PARTS)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(_PARTS), pa.int32()), pa.array([seen] * _PARTS), pa.array(parts, pa.binary())], ["part", "seen", "table"])
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
+        many: dict[int, int] = {}
         for batch in batches:
-            for part, x in zip(batch.column("part").to_pylist(), batch.column("sums").to_pylist(), strict=True):
-                total[part] = total.get(part, 0) + np.frombuffer(x)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["part", "sums"])
+            for part, seen, x in zip(*(batch.column(k).to_pylist() for k in ("part", "seen", "table")), strict=True):
+                total[part] = total.get(part, 0) + np.frombuffer(x, np.float32).astype(float) * seen
+                many[part] = many.get(part, 0) + seen
+        means = pa.array([(x / many[k]).tobytes() for k, x in total.items()], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(many.values()), pa.int64()), means], ["part", "seen", "table"])
 
     mine = ids.filter("not held_out").select(F.xxhash64("doc_id", "ids").alias("at"), "doc_id", "ids").filter(F.pmod("at", F.lit(SHARE)) == turn % SHARE)
-    dealt = mine.repartition(learners, "at").sortWithinPartitions("at", "doc_id").select("ids")
-    rows = dealt.mapInArrow(run, "part int, sums binary")
-    found = dict(map(tuple, rows.repartition(_PARTS, "part").mapInArrow(add_up, "part int, sums binary").collect()))  # a row a part
+    # coalesce: where the session has more partitions for a key, there are still no more learners, and tables
+    dealt = mine.repartition(learners, "at").coalesce(learners).sortWithinPartitions("at", "doc_id").select("ids")
+    rows = dealt.mapInArrow(run, _LEARNT)
+    found = {x["part"]: x for x in rows.repartition(_PARTS, "part").mapInArrow(add_up, _LEARNT).collect()}  # a row a part
     if not found:
         return model.tables, 0
-    seen = np.frombuffer(found[_PARTS])[0]
-    flat = np.concatenate([np.frombuffer(found[i]) for i in range(_PARTS)]) / seen
+    flat = np.concatenate([np.frombuffer(found[i]["table"]) for i in range(_PARTS)])
     parts = np.split(flat, np.cumsum([model.tables[n].size for n in names])[:-1])
-    return {n: x.reshape(model.tables[n].shape).astype(np.float32) for n, x in zip(names, parts, strict=True)}, int(seen)
+    return {n: x.reshape(model.tables[n].shape).astype(np.float32) for n, x in zip(names, parts, strict=True)}, found[0]["seen"]
 
 
 def _learn_on(adam: Adam, held: list, random: np.random.Generator, rate: float, repeat: int) -> int:
@@ -495,7 +574,7 @@ def _learn_on(adam: Adam, held: list, random: np.random.Generator, rate: float,
         order = random.permutation(len(inputs))
         for a in range(0, len(order), BATCH):
             pick = order[a : a + BATCH]
-            adam.step(inputs[pick], targets[pick], rate * min(1.0, (adam.steps + 1) / 10) * len(pick) / BATCH)
+            adam.step(inputs.take(pick, axis=0), targets.take(pick, axis=0), rate * min(1.0, (adam.steps + 1) / 10) * len(pick) / BATCH)
     return len(inputs)
 
 
