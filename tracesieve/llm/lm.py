@@ -8,16 +8,17 @@ The base score is an add-one unigram model over words. Counts are taken over all
 the most frequent words (HEAD at most, a broadcast of bounded size) are looked up on the spot, the
 others by a join on the word's hash.
 
-The model predicts each subword from those before it: the VOCABULARY - 1 most frequent ids, the
-rest through an escape and their own counts. Its output is a class and a member of the class; both
-start from the smoothed counts of neighbours over all training texts, and causal self-attention
-adds to them. Keys come from a token and the one before it, so that attention can find what
-followed earlier. The attention's tables are learnt from every window of every training text, by
-Adam in as many tasks as the corpus needs, LEARNER windows each. A pass goes by SHARE parts of the
-texts; after each part the tasks' tables are averaged. There is no sample: what is learnt from grows
-with the corpus, and texts are dealt by hash, so that it doesn't depend on their layout. Overlapping windows of
-WINDOW ids score STRIDE ids each, in batches of masked attention; every id is scored once, with
-WINDOW - STRIDE ids before it at least, or all that there are.
+The model predicts each subword from those before it: the VOCABULARY - 1 most frequent ids, the rest
+through an escape and their own counts. Its output is a class (a small one for frequent ids) and a
+member of the class; both start from the smoothed counts of neighbours over all training texts, and
+causal self-attention adds to them. Keys come from a token and the one before it, so that attention
+can find what followed earlier. The attention's tables are learnt from every window of every
+training text, by Adam in as many tasks as the corpus needs, LEARNER windows each. A pass goes by
+SHARE parts of the texts; after each part the tasks' tables are averaged. There is no sample: what
+is learnt from grows with the corpus, and texts are dealt by hash, so that it doesn't depend on
+their layout. Overlapping windows of WINDOW ids score STRIDE ids each, in batches of masked
+attention; every id is scored once, with WINDOW - STRIDE ids before it at least, or all that there
+are.
 
 Null and empty texts: the end alone. Training rows are those whose crc32 (of the id as text, mod
 7) isn't 2; without any, counts are 0 and the model is uniform. Empty tables: no rows. Repeated
