@@ -67,18 +67,39 @@ def decision(aggregate: Column, n_eff: Column, decisive: Column, accept: float =
     return F.when(aggregate.isNull(), "reject").when(F.coalesce(guarded, F.lit(False)), "escalate").otherwise(band(aggregate, accept, reject_below))
 
 
-def panel(votes: DataFrame, rho: float, key: str = "record_id") -> DataFrame:
+def panel(votes: DataFrame, rho: float, key: str = "record_id", order: tuple[str, ...] = ()) -> DataFrame:
     """key, votes, decisive, aggregate, agreement, n_eff, decision. Uncertain votes leave the mean
-    and the guard; without a decisive vote the agreement is that of all."""
+    and the guard; without a decisive vote the agreement is that of all. Sums of doubles depend on their order: with
+    columns to order by, each panel is added up vote by vote in that order, whatever the layout; without, as Spark meets them."""
     sure = F.col("verdict") != "uncertain"
     s, w = F.when(sure, F.col("score")), F.when(sure, F.col("weight"))
     marked = votes.withColumns({"_s": s, "_w": w})
-    out = marked.groupBy(key).agg(
-        F.count("*").alias("votes"),
-        F.count("_s").alias("decisive"),
-        weighted_mean("_s", "_w").alias("aggregate"),
-        F.coalesce(agreement("_s"), agreement("score")).alias("agreement"),
-        F.when(F.count("_w") > 0, F.least(F.try_divide(F.sum("_w") ** 2, (1 - rho) * F.sum(F.col("_w") ** 2) + rho * F.sum("_w") ** 2), F.count("_w").cast("double"))).alias("n_eff"),
+    sums = {
+        "votes": F.count("*"),
+        "decisive": F.count("_s"),
+        "_k": F.count("_w"),
+        "_least": F.min("_w"),
+        "_one": F.sum("_w"),
+        "_two": F.sum(F.col("_w") * F.col("_w")),
+        "_scored": F.sum(F.col("_w") * F.col("_s")),
+        "_var": F.var_pop("_s"),
+        "_var_all": F.var_pop("score"),
+    }
+    if order:
+        by = Window.partitionBy(key).orderBy(*order)
+        whole = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        out = marked.select(key, *(x.over(whole).alias(c) for c, x in sums.items()), F.row_number().over(by).alias("_row")).filter("_row = 1")
+    else:
+        out = marked.groupBy(key).agg(*(x.alias(c) for c, x in sums.items()))
+    one, two, k = F.col("_one"), F.col("_two"), F.col("_k")
+    within = lambda x: F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
+    out = out.select(
+        key,
+        "votes",
+        "decisive",
+        F.when((F.col("_least") >= 0) & (one > 0), within(F.try_divide("_scored", "_one"))).alias("aggregate"),
+        F.coalesce(within(1 - F.col("_var")), within(1 - F.col("_var_all"))).alias("agreement"),
+        F.when(k > 0, F.least(F.try_divide(one * one, (1 - rho) * two + rho * one * one), k.cast("double"))).alias("n_eff"),
     )
     return out.withColumn("decision", decision(F.col("aggregate"), F.col("n_eff"), F.col("decisive")))
 
